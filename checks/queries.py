@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kerbscope.functions.numeric import half_even
-from kerbscope.functions.text import parse_items
+from kerbscope.functions.text import with_items
 from kerbscope.operators import cells, cleaning, profiles, scaling, shifts, stations, windows
 from kerbscope.operators.features import (
     history_with_station,
@@ -72,15 +72,10 @@ def clean_events(spark, folder):
     )
 
 
-def parse_items_query(spark, folder):
-    return (
-        violations(spark, folder)
-        .withColumn("parsed", parse_items(F.col("violation_type")))
-        .select(
-            "id",
-            F.array_join("parsed", " | ").alias("items"),
-            F.size("parsed").alias("n_items"),
-        )
+def parse_items(spark, folder):
+    parsed = with_items(violations(spark, folder), "violation_type", "parsed")
+    return parsed.select(
+        "id", F.array_join("parsed", " | ").alias("items"), F.size("parsed").alias("n_items")
     )
 
 
@@ -468,7 +463,7 @@ def sink_roundtrip(spark, folder):
 def all_queries() -> dict[str, Query]:
     return {
         "clean_events": clean_events,
-        "parse_items": parse_items_query,
+        "parse_items": parse_items,
         "calendar_features": calendar_features,
         "junction_flag": junction_flag,
         "incident_impact": incident_impact,

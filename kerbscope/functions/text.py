@@ -2,29 +2,142 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_BLANK = r"[\s\x{1c}-\x{1f}]"
+# ---------------------------------------------------------------- fixed values
+# Every character that counts as white space when a text is stripped.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+# ------------------------------------------------------------ end fixed values
+
 _JSON_OPTIONS = {"allowBackslashEscapingAnyCharacter": "true"}
 
 
 def strip(c: Column) -> Column:
-    """Remove all leading and trailing white space (``trim`` removes spaces only)."""
-    return F.regexp_replace(c, rf"(?U)^{_BLANK}+|{_BLANK}+$", "")
+    """Remove all leading and trailing white space (``trim`` alone removes spaces only)."""
+    visible = F.ascii(c).between(33, 126) & F.ascii(F.right(c, F.lit(1))).between(33, 126)
+    return F.when(visible, c).otherwise(F.btrim(c, F.lit(WHITE_SPACE)))
 
 
 def not_blank(c: Column) -> Column:
-    """True when a non-null text has any character that is not white space."""
-    return c.rlike(r"(?U)[^\s\x{1c}-\x{1f}]")
+    return strip(c) != F.lit("")
+
+
+def text_literal(text: str) -> str:
+    """SQL literal of a text."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once, however often ``body`` names it.
+
+    The body of a higher-order function stays out of the generated code, so the
+    stage around a long expression remains small enough for the JVM to compile.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def _read_array(body: Column, element: str) -> Column:
     return F.from_json(F.concat(F.lit("["), body, F.lit("]")), f"array<{element}>", _JSON_OPTIONS)
 
 
-def parse_items(value: Column) -> Column:
-    """Text holding a list literal -> array of items.
+def _pieces(text: Column) -> Column:
+    """Quoted parts of a text that starts like a list of strings, else null."""
+    return F.when(
+        text.startswith('["'), F.regexp_extract_all(text, F.lit(r'"([^"\\\n\r]*)"'), F.lit(1))
+    ).when(text.startswith("['"), F.regexp_extract_all(text, F.lit(r"'([^'\\\n\r]*)'"), F.lit(1)))
+
+
+def _spelled(pieces: Column, quote: Column, separator: str) -> Column:
+    between = F.concat(quote, F.lit(separator), quote)
+    joined = F.call_function("array_join", pieces, between)
+    return F.concat(F.lit("["), quote, joined, quote, F.lit("]"))
+
+
+def _plain_list(text: Column, pieces: Column) -> Column:
+    """True when the text is exactly the pieces, quoted and separated by "," or ", "."""
+    quote = F.substring(text, 2, 1)
+    same = (text == _spelled(pieces, quote, ",")) | (text == _spelled(pieces, quote, ", "))
+    return F.coalesce(same, F.lit(False))
+
+
+def _tidy(items: Column) -> Column:
+    return F.filter(F.transform(items, lambda x: F.upper(strip(x))), lambda x: x != F.lit(""))
+
+
+def _list_items(text: Column) -> Column:
+    """A list is read as the only element of an outer array, so text after its
+    closing bracket makes the whole read fail instead of being dropped."""
+
+    def from_outer(outer: Column) -> Column:
+        inner = F.get(outer, F.lit(0))
+        complete = (F.size(outer) == 1) & ~F.exists(inner, lambda x: x.isNull())
+        return F.when(F.coalesce(complete, F.lit(False)), _tidy(inner)).otherwise(F.array(text))
+
+    return _let(_read_array(_no_last_comma(text), "array<string>"), from_outer)
+
+
+def _no_last_comma(text: Column) -> Column:
+    return F.regexp_replace(text, r",\s*([\])])$", "$1")
+
+
+def _one_item(item: Column, text: Column) -> Column:
+    return F.when(item.isNotNull(), F.array(F.upper(strip(item)))).otherwise(F.array(text))
+
+
+def _scalar_item(text: Column) -> Column:
+    def from_members(members: Column) -> Column:
+        return _one_item(F.when(F.size(members) == 1, F.get(members, F.lit(0))), text)
+
+    return _let(_read_array(text, "string"), from_members)
+
+
+def _tuple_item(text: Column) -> Column:
+    """A parenthesised text is its content; a tuple is spelled out as one item."""
+
+    def from_body(body: Column) -> Column:
+        def from_members(members: Column) -> Column:
+            quoted = F.transform(members, lambda x: F.concat(F.lit("'"), x, F.lit("'")))
+            end = F.when(F.size(members) == 1, F.lit(",)")).otherwise(F.lit(")"))
+            spelled = F.concat(F.lit("("), F.array_join(quoted, ", "), end)
+            bare = (F.size(members) == 1) & (body == text)
+            return _one_item(F.when(bare, F.get(members, F.lit(0))).otherwise(spelled), text)
+
+        inside = F.substring(body, F.lit(2), F.length(body) - 2)
+        return _let(_read_array(inside, "string"), from_members)
+
+    return _let(_no_last_comma(text), from_body)
+
+
+def _any_literal(text: Column) -> Column:
+    """Lists with escapes or odd spacing, quoted scalars, tuples, broken literals."""
+    first, last = F.left(text, F.lit(1)), F.right(text, F.lit(1))
+    return (
+        F.when((first == "[") & (last == "]"), _list_items(text))
+        .when((first == last) & first.isin("'", '"'), _scalar_item(text))
+        .when((first == "(") & (last == ")"), _tuple_item(text))
+        .otherwise(F.array(text))
+    )
+
+
+def compute_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a costly column that later filters read.
+
+    It leaves through ``explode(array(...))``, one row out per row in.  A filter
+    on it then stays above, where a plain projection would be copied into the
+    filter and computed again for every row.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
+def with_items(df: DataFrame, source: str, name: str) -> DataFrame:
+    """Add ``name``: the items of the list literal in ``source``.
 
     * null or blank -> empty array
     * a list -> its elements, stripped, upper-cased, blanks removed
@@ -32,44 +145,16 @@ def parse_items(value: Column) -> Column:
     * a number -> one item
     * anything that does not parse -> the stripped text as one item, case kept
 
-    The list is read as the only element of an outer array, so text after the
-    closing bracket makes the whole read fail instead of being dropped.
+    Bare text and plainly spelled lists, nearly all real rows, are read without
+    the JSON parser.
     """
-    text = strip(value)
-    no_comma = F.regexp_replace(text, rf",{_BLANK}*([\])])$", "$1")
-    raw = F.array(text)
-
-    outer = _read_array(no_comma, "array<string>")
-    inner = F.get(outer, F.lit(0))
-    items = F.filter(
-        F.transform(inner, lambda x: F.upper(strip(x))), lambda x: x != F.lit("")
-    )
-    complete = (F.size(outer) == 1) & inner.isNotNull() & ~F.exists(inner, lambda x: x.isNull())
-    from_list = F.when(F.coalesce(complete, F.lit(False)), items).otherwise(raw)
-
-    scalar = _read_array(text, "string")
-    from_scalar = F.when(
-        F.size(scalar) == 1, F.array(F.upper(strip(F.get(scalar, F.lit(0)))))
-    ).otherwise(raw)
-
-    body = F.substring(no_comma, F.lit(2), F.length(no_comma) - 2)
-    members = _read_array(body, "string")
-    quoted = F.transform(members, lambda x: F.concat(F.lit("'"), x, F.lit("'")))
-    tuple_text = F.when(
-        F.size(members) == 1,
-        F.when(
-            no_comma == text, F.get(members, F.lit(0))
-        ).otherwise(F.concat(F.lit("("), F.get(quoted, F.lit(0)), F.lit(",)"))),
-    ).when(
-        F.size(members) > 1, F.concat(F.lit("("), F.array_join(quoted, ", "), F.lit(")"))
-    )
-    from_tuple = F.when(tuple_text.isNotNull(), F.array(F.upper(strip(tuple_text)))).otherwise(raw)
-
-    first, last = F.left(text, F.lit(1)), F.right(text, F.lit(1))
-    return (
-        F.when(value.isNull() | ~not_blank(value), F.array().cast("array<string>"))
-        .when((first == "[") & (last == "]"), from_list)
-        .when((first == last) & first.isin("'", '"'), from_scalar)
-        .when((first == "(") & (last == ")"), from_tuple)
-        .otherwise(raw)
+    text, pieces = F.col("_text"), F.col("_pieces")
+    bare = ~F.left(text, F.lit(1)).isin("[", "(", "'", '"')
+    items = (
+        F.when(text.isNull() | (text == F.lit("")), F.array().cast("array<string>"))
+        .when(bare, F.array(text))
+        .when(_plain_list(text, pieces), _tidy(pieces))
+        .otherwise(_let(text, _any_literal))
     )
+    prepared = df.withColumn("_text", strip(F.col(source))).withColumn("_pieces", _pieces(text))
+    return compute_once(prepared, name, items).drop("_text", "_pieces")

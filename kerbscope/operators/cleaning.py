@@ -19,7 +19,7 @@ from kerbscope.functions.calendar import (
     weekend_flag,
 )
 from kerbscope.functions.numeric import half_even
-from kerbscope.functions.text import not_blank, parse_items
+from kerbscope.functions.text import compute_once, not_blank, text_literal, with_items
 from kerbscope.settings import KEPT_WORD, NO_JUNCTION, CleanSettings, hundredths
 
 UNIT = Decimal("0.00000001")  # one impact unit; a product of four two-digit weights is whole in it
@@ -27,9 +27,8 @@ UNIT = Decimal("0.00000001")  # one impact unit; a product of four two-digit wei
 
 def lookup(weights: dict[str, str], key: Column, other: str) -> Column:
     """Hundredths for ``key``; the fallback for unknown or null keys."""
-    pairs = [F.lit(x) for name, text in weights.items() for x in (name, hundredths(text))]
-    found = F.try_element_at(F.create_map(*pairs), key)
-    return F.coalesce(found, F.lit(hundredths(other)))
+    pairs = ", ".join(f"{text_literal(k)}, {hundredths(v)}" for k, v in weights.items())
+    return F.coalesce(F.try_element_at(F.expr(f"map({pairs})"), key), F.lit(hundredths(other)))
 
 
 def severity_hundredths(items: Column, settings: CleanSettings) -> Column:
@@ -60,15 +59,13 @@ def _as_weight(hundred: Column) -> Column:
 
 def keep_complete(violations: DataFrame, settings: CleanSettings) -> DataFrame:
     """Rows with a readable time, latitude and longitude (NaN counts as missing)."""
-    timed = violations.withColumn(
-        "created_at_ist", local_time(F.col("created_datetime"), settings.zone)
-    )
-    return timed.dropna(subset=["created_at_ist", "latitude", "longitude"])
+    time = local_time(F.col("created_datetime"), settings.zone)
+    return compute_once(violations, "created_at_ist", time).dropna(subset=["created_at_ist", "latitude", "longitude"])
 
 
 def keep_parking(events: DataFrame) -> DataFrame:
     """Rows where any parsed item names parking."""
-    parsed = events.withColumn("violation_items", parse_items(F.col("violation_type")))
+    parsed = with_items(events, "violation_type", "violation_items")
     flagged = F.exists("violation_items", lambda x: x.contains(KEPT_WORD))
     return parsed.withColumn("parking_violation", flagged).filter("parking_violation")
 

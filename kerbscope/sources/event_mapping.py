@@ -7,8 +7,9 @@ so that all branches of the cleaning stage occur.  No event is left out.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
+
+from kerbscope.functions.text import text_literal
 
 VIOLATION_TEXTS = (
     '["NO PARKING","PARKING ON FOOTPATH"]',
@@ -35,40 +36,31 @@ VEHICLES = (
 )
 
 
-def _choice(texts: tuple[str | None, ...], key: Column) -> Column:
-    options = F.array(*[F.lit(t).cast("string") for t in texts])
-    return F.get(options, (key % len(texts)).cast("int"))
+def _choice(texts: tuple[str | None, ...], key: str) -> str:
+    options = ", ".join("null" if t is None else text_literal(t) for t in texts)
+    return f"get(array({options}), cast({key} % {len(texts)} as int))"
 
 
 def violations_from_events(events: DataFrame) -> DataFrame:
-    e, u = F.col("event_id"), F.col("user_id")
-    shifted = F.expr("cast(ts as timestamp_ntz) - make_ym_interval(0, cast(event_id % 6 as int))")
-    stamp = F.concat(F.left(shifted.cast("string"), F.lit(19)), F.lit("+00"))
-    lat = (
-        F.lit(12.9)
-        + F.floor((u % 97) * (u % 97) / 97) / F.lit(1000.0)
-        + ((e % 9) - 4) / F.lit(10000.0)
-    )
-    lon = F.lit(77.5) + ((e % 5) * (e % 3)) / F.lit(1000.0) + ((e % 7) - 3) / F.lit(10000.0)
-    place = u % 6
-    return events.select(
-        e.alias("id"),
-        F.when(e % 97 == 0, "not-a-date")
-        .when(e % 193 == 0, None)
-        .otherwise(stamp)
-        .alias("created_datetime"),
-        F.when(e % 101 != 0, lat).alias("latitude"),
-        F.when(e % 103 != 0, lon).alias("longitude"),
-        _choice(VIOLATION_TEXTS, e).alias("violation_type"),
-        _choice(VEHICLES, e).alias("vehicle_type"),
-        F.when(e % 29 != 0, F.concat(F.lit("V"), e % 400)).alias("vehicle_number"),
-        F.when(u % 13 != 12, F.concat(F.lit("STN"), u % 13)).alias("police_station"),
-        F.when(place == 0, "NO JUNCTION")
-        .when(place == 1, None)
-        .when(place == 2, "  ")
-        .when(place == 3, "No Junction")
-        .otherwise(F.concat(F.lit("JN"), place, F.lit("-"), F.col("event_type")))
-        .alias("junction_name"),
+    moved = "cast(ts as timestamp_ntz) - make_ym_interval(0, cast(event_id % 6 as int))"
+    return events.selectExpr(
+        "event_id as id",
+        f"""case when event_id % 97 = 0 then 'not-a-date'
+                 when event_id % 193 = 0 then null
+                 else concat(left(cast({moved} as string), 19), '+00') end as created_datetime""",
+        """case when event_id % 101 != 0 then
+                 12.9D + ((user_id % 97) * (user_id % 97)) div 97 / 1000.0D
+                 + (event_id % 9 - 4) / 10000.0D end as latitude""",
+        """case when event_id % 103 != 0 then
+                 77.5D + (event_id % 5) * (event_id % 3) / 1000.0D
+                 + (event_id % 7 - 3) / 10000.0D end as longitude""",
+        f"{_choice(VIOLATION_TEXTS, 'event_id')} as violation_type",
+        f"{_choice(VEHICLES, 'event_id')} as vehicle_type",
+        "case when event_id % 29 != 0 then concat('V', event_id % 400) end as vehicle_number",
+        "case when user_id % 13 != 12 then concat('STN', user_id % 13) end as police_station",
+        """case user_id % 6 when 0 then 'NO JUNCTION' when 1 then null when 2 then '  '
+                 when 3 then 'No Junction'
+                 else concat('JN', user_id % 6, '-', event_type) end as junction_name""",
     )
 
 
