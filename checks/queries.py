@@ -44,8 +44,13 @@ def events(spark: SparkSession, folder: str) -> DataFrame:
     return cleaning.clean_events(violations(spark, folder))
 
 
+def event_table(spark: SparkSession, folder: str) -> DataFrame:
+    """Cleaned events as a table, for the plans that pass over them more than once."""
+    return ranking.event_table(violations(spark, folder))
+
+
 def scored(spark: SparkSession, folder: str) -> DataFrame:
-    return ranking.hotspots(events(spark, folder))
+    return ranking.hotspots(event_table(spark, folder))
 
 
 # ------------------------------------------------------------------- cleaning
@@ -88,7 +93,7 @@ def calendar_features(spark, folder):
 
 def junction_flag(spark, folder):
     return violations(spark, folder).select(
-        "id", cleaning.junction_flag(F.col("junction_name")).alias("near_junction")
+        "id", F.expr(cleaning.junction_flag("junction_name")).alias("near_junction")
     )
 
 
@@ -112,7 +117,7 @@ def clean_sample(spark, folder):
 
 
 def hotspot_rollup(spark, folder):
-    return cells.hotspot_cells(events(spark, folder)).select(
+    return cells.hotspot_cells(event_table(spark, folder)).select(
         "grid_id",
         "latitude",
         "longitude",
@@ -196,7 +201,7 @@ def station_rollup(spark, folder):
 
 
 def _station_summary(spark, folder) -> tuple[DataFrame, DataFrame, DataFrame]:
-    cleaned = events(spark, folder)
+    cleaned = event_table(spark, folder)
     hot = ranking.hotspots(cleaned)
     return cleaned, hot, ranking.station_summary(cleaned, hot)
 
@@ -209,7 +214,7 @@ def station_priority(spark, folder):
 
 
 def grid_hour(spark, folder):
-    cleaned = events(spark, folder)
+    cleaned = event_table(spark, folder)
     top = ranking.top_hotspots(ranking.hotspots(cleaned), 40)
     return shifts.grid_hours(cleaned, top).select(
         "grid_id", "hour", "events", half_even(F.col("impact").cast("double"), 6).alias("impact")
@@ -217,7 +222,7 @@ def grid_hour(spark, folder):
 
 
 def _plan(spark, folder) -> DataFrame:
-    cleaned = events(spark, folder)
+    cleaned = event_table(spark, folder)
     return ranking.shift_plan(cleaned, ranking.hotspots(cleaned))
 
 
@@ -238,7 +243,7 @@ def hour_profile(spark, folder):
 
 def run_summary(spark, folder):
     raw = violations(spark, folder)
-    cleaned = cleaning.clean_events(raw)
+    cleaned = ranking.event_table(raw)
     summary = ranking.run_summary(raw, cleaned, ranking.hotspots(cleaned))
     top = "top_hotspot."
     return summary.select(
@@ -297,7 +302,7 @@ def metric_means(spark, folder):
 
 
 def station_context(spark, folder):
-    cleaned = events(spark, folder)
+    cleaned = event_table(spark, folder)
     history = stage(history_with_station(cleaned, windows.monthly_facts(cleaned)), "history")
     medians = population_median(history, "history")
     return (
@@ -308,12 +313,12 @@ def station_context(spark, folder):
 
 
 def feature_scale(spark, folder):
-    prepared = model.prepare(events(spark, folder))
+    prepared = model.prepare(event_table(spark, folder))
     return prepared.features.select("window_id", "grid_id", *[_six(f) for f in FEATURES])
 
 
 def prediction_features(spark, folder):
-    prepared = model.prepare(events(spark, folder))
+    prepared = model.prepare(event_table(spark, folder))
     exact = ("grid_id", "latitude", "longitude", "police_station", "junction_name")
     return prepared.features.select(
         "window_id", *[c if c in exact else _six(c) for c in model.RANKED_COLUMNS]
@@ -335,13 +340,13 @@ def _ranked(df: DataFrame) -> DataFrame:
 
 
 def blend_rank(spark, folder):
-    prepared = model.prepare(events(spark, folder))
+    prepared = model.prepare(event_table(spark, folder))
     final = prepared.features.filter("is_final")
     return _ranked(model.blend_rank(final, _weights_row(spark, 6)))
 
 
 def _search(spark, folder) -> tuple[model.PreparedWindows, DataFrame, DataFrame]:
-    prepared = model.prepare(events(spark, folder))
+    prepared = model.prepare(event_table(spark, folder))
     detail = stage(model.candidate_backtest(prepared), "candidates")
     return prepared, detail, model.weight_search(detail)
 

@@ -1,41 +1,37 @@
-"""Instant parsing and local calendar fields."""
+"""Instant parsing and local calendar fields, as SQL text."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 WEEKDAY_NAMES = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday")
 
 
-def parse_instant(text: Column) -> Column:
+def parse_instant(text: str) -> str:
     """Lenient ISO date-time parse; anything else is null.
 
     Each row is read on its own.  The date check keeps bare times out, which a
     cast would complete with today's date.  Text without a zone is UTC because
     the session zone is UTC.
     """
-    dated = F.trim(text).like("____-%")
-    return F.when(dated, text.try_cast("timestamp"))
+    return f"case when trim({text}) like '____-%' then try_cast({text} as timestamp) end"
 
 
-def local_time(text: Column, zone: str) -> Column:
-    return F.from_utc_timestamp(parse_instant(text), zone)
+def local_time(text: str, zone: str) -> str:
+    return f"from_utc_timestamp({parse_instant(text)}, '{zone}')"
 
 
-def day_key(ts: Column) -> Column:
-    return ts.cast("date").cast("string")
+def day_key(ts: str) -> str:
+    return f"cast(cast({ts} as date) as string)"
 
 
-def month_key(ts: Column) -> Column:
-    return F.substring(day_key(ts), 1, 7)
+def month_key(ts: str) -> str:
+    return f"substring({day_key(ts)}, 1, 7)"
 
 
-def weekday_name(ts: Column) -> Column:
+def weekday_name(ts: str) -> str:
     """English day name from the weekday number, so no locale is involved."""
-    names = F.array(*[F.lit(n) for n in WEEKDAY_NAMES])
-    return F.get(names, F.weekday(ts))
+    names = ", ".join(f"'{n}'" for n in WEEKDAY_NAMES)
+    return f"get(array({names}), weekday({ts}))"
 
 
-def weekend_flag(ts: Column) -> Column:
-    return (F.weekday(ts) >= 5).cast("int")
+def weekend_flag(ts: str) -> str:
+    return f"cast(weekday({ts}) >= 5 as int)"

@@ -1,10 +1,12 @@
-"""Text expressions: whitespace strip and the list-literal parser."""
+"""Text expressions: white space strip and the list-literal parser.
 
-from __future__ import annotations
+The functions take and return SQL text; ``F.expr`` turns the finished text into
+one column, which is much quicker to build than hundreds of column objects.
+"""
 
-from collections.abc import Callable
+from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # ---------------------------------------------------------------- fixed values
@@ -16,124 +18,111 @@ WHITE_SPACE = (
 )
 # ------------------------------------------------------------ end fixed values
 
-_JSON_OPTIONS = {"allowBackslashEscapingAnyCharacter": "true"}
-
-
-def strip(c: Column) -> Column:
-    """Remove all leading and trailing white space (``trim`` alone removes spaces only)."""
-    visible = F.ascii(c).between(33, 126) & F.ascii(F.right(c, F.lit(1))).between(33, 126)
-    return F.when(visible, c).otherwise(F.btrim(c, F.lit(WHITE_SPACE)))
-
-
-def not_blank(c: Column) -> Column:
-    return strip(c) != F.lit("")
-
 
-def text_literal(text: str) -> str:
+def literal(text: str) -> str:
     """SQL literal of a text."""
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body(value)`` with ``value`` computed once, however often ``body`` names it.
-
-    The body of a higher-order function stays out of the generated code, so the
-    stage around a long expression remains small enough for the JVM to compile.
-    """
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+def literals(texts) -> str:
+    return ", ".join("null" if t is None else literal(t) for t in texts)
 
 
-def _read_array(body: Column, element: str) -> Column:
-    return F.from_json(F.concat(F.lit("["), body, F.lit("]")), f"array<{element}>", _JSON_OPTIONS)
+def strip(x: str) -> str:
+    """Remove all leading and trailing white space (``trim`` alone removes spaces only)."""
+    visible = f"ascii({x}) between 33 and 126 and ascii(right({x}, 1)) between 33 and 126"
+    return f"case when {visible} then {x} else btrim({x}, {literal(WHITE_SPACE)}) end"
 
 
-def _pieces(text: Column) -> Column:
-    """Quoted parts of a text that starts like a list of strings, else null."""
-    return F.when(
-        text.startswith('["'), F.regexp_extract_all(text, F.lit(r'"([^"\\\n\r]*)"'), F.lit(1))
-    ).when(text.startswith("['"), F.regexp_extract_all(text, F.lit(r"'([^'\\\n\r]*)'"), F.lit(1)))
+def not_blank(x: str) -> str:
+    return f"({strip(x)}) != ''"
 
 
-def _spelled(pieces: Column, quote: Column, separator: str) -> Column:
-    between = F.concat(quote, F.lit(separator), quote)
-    joined = F.call_function("array_join", pieces, between)
-    return F.concat(F.lit("["), quote, joined, quote, F.lit("]"))
+def _let(name: str, value: str, body: str) -> str:
+    """``body`` with ``name`` standing for ``value``, which is computed once.
 
+    The body of a higher-order function also stays out of the generated code, so
+    the stage around a long expression remains small enough to be compiled well.
+    """
+    return f"get(transform(array({value}), {name} -> {body}), 0)"
 
-def _plain_list(text: Column, pieces: Column) -> Column:
-    """True when the text is exactly the pieces, quoted and separated by "," or ", "."""
-    quote = F.substring(text, 2, 1)
-    same = (text == _spelled(pieces, quote, ",")) | (text == _spelled(pieces, quote, ", "))
-    return F.coalesce(same, F.lit(False))
 
+def _read_array(body: str, element: str) -> str:
+    options = "map('allowBackslashEscapingAnyCharacter', 'true')"
+    return f"from_json(concat('[', {body}, ']'), 'array<{element}>', {options})"
 
-def _tidy(items: Column) -> Column:
-    return F.filter(F.transform(items, lambda x: F.upper(strip(x))), lambda x: x != F.lit(""))
 
+_QUOTED = literal(r'"[^"\\\n\r]*"')
+_SEPARATOR = literal(r'""\s*,\s*')
+_INSIDE = literal(r'(?U)"[\s\x1c-\x1f]*([^"\\\n\r]*?)[\s\x1c-\x1f]*"')
+_LAST_COMMA = literal(r",\s*([\])])$")
 
-def _list_items(text: Column) -> Column:
-    """A list is read as the only element of an outer array, so text after its
-    closing bracket makes the whole read fail instead of being dropped."""
 
-    def from_outer(outer: Column) -> Column:
-        inner = F.get(outer, F.lit(0))
-        complete = (F.size(outer) == 1) & ~F.exists(inner, lambda x: x.isNull())
-        return F.when(F.coalesce(complete, F.lit(False)), _tidy(inner)).otherwise(F.array(text))
+def _plain_list(quoted: str) -> str:
+    """True when a text is only quoted strings between brackets, separated by commas.
 
-    return _let(_read_array(_no_last_comma(text), "array<string>"), from_outer)
+    The strings are emptied and all but the last are removed; what remains of
+    such a list is an empty pair of quotes or nothing.
+    """
+    emptied = f"regexp_replace({quoted}, {_QUOTED}, '\"\"')"
+    rest = f"regexp_replace({emptied}, {_SEPARATOR}, '')"
+    return f"startswith({quoted}, '[') and {rest} in ('[\"\"]', '[]')"
 
 
-def _no_last_comma(text: Column) -> Column:
-    return F.regexp_replace(text, r",\s*([\])])$", "$1")
+def _tidy(items: str) -> str:
+    return f"filter(transform({items}, x -> upper({strip('x')})), x -> x != '')"
 
 
-def _one_item(item: Column, text: Column) -> Column:
-    return F.when(item.isNotNull(), F.array(F.upper(strip(item)))).otherwise(F.array(text))
+def _no_last_comma(x: str) -> str:
+    return f"regexp_replace({x}, {_LAST_COMMA}, '$1')"
 
 
-def _scalar_item(text: Column) -> Column:
-    def from_members(members: Column) -> Column:
-        return _one_item(F.when(F.size(members) == 1, F.get(members, F.lit(0))), text)
+def _list_items(text: str) -> str:
+    """A list is read as the only element of an outer array, so text after its
+    closing bracket makes the whole read fail instead of being dropped."""
+    inner = "get(parsed, 0)"
+    complete = f"size(parsed) = 1 and not exists({inner}, x -> x is null)"
+    body = f"case when {complete} then {_tidy(inner)} else array({text}) end"
+    return _let("parsed", _read_array(_no_last_comma(text), "array<string>"), body)
 
-    return _let(_read_array(text, "string"), from_members)
 
+def _one_item(item: str, text: str) -> str:
+    return f"case when {item} is not null then array(upper({strip(item)})) else array({text}) end"
 
-def _tuple_item(text: Column) -> Column:
-    """A parenthesised text is its content; a tuple is spelled out as one item."""
 
-    def from_body(body: Column) -> Column:
-        def from_members(members: Column) -> Column:
-            quoted = F.transform(members, lambda x: F.concat(F.lit("'"), x, F.lit("'")))
-            end = F.when(F.size(members) == 1, F.lit(",)")).otherwise(F.lit(")"))
-            spelled = F.concat(F.lit("("), F.array_join(quoted, ", "), end)
-            bare = (F.size(members) == 1) & (body == text)
-            return _one_item(F.when(bare, F.get(members, F.lit(0))).otherwise(spelled), text)
+def _scalar_item(text: str) -> str:
+    only = "case when size(members) = 1 then get(members, 0) end"
+    return _let("members", _read_array(text, "string"), _let("only", only, _one_item("only", text)))
 
-        inside = F.substring(body, F.lit(2), F.length(body) - 2)
-        return _let(_read_array(inside, "string"), from_members)
 
-    return _let(_no_last_comma(text), from_body)
+def _tuple_item(text: str) -> str:
+    """A parenthesised text is its content; a tuple is spelled out as one item."""
+    spelled = """concat('(', array_join(transform(members, x -> concat("'", x, "'")), ', '),
+        case when size(members) = 1 then ',)' else ')' end)"""
+    item = f"case when size(members) = 1 and body = {text} then get(members, 0) else {spelled} end"
+    found = _let("item", item, _one_item("item", text))
+    inside = "substring(body, 2, length(body) - 2)"
+    return _let("body", _no_last_comma(text), _let("members", _read_array(inside, "string"), found))
 
 
-def _any_literal(text: Column) -> Column:
+def _any_literal(text: str) -> str:
     """Lists with escapes or odd spacing, quoted scalars, tuples, broken literals."""
-    first, last = F.left(text, F.lit(1)), F.right(text, F.lit(1))
-    return (
-        F.when((first == "[") & (last == "]"), _list_items(text))
-        .when((first == last) & first.isin("'", '"'), _scalar_item(text))
-        .when((first == "(") & (last == ")"), _tuple_item(text))
-        .otherwise(F.array(text))
-    )
+    first, last = f"left({text}, 1)", f"right({text}, 1)"
+    return f"""case
+        when {first} = '[' and {last} = ']' then {_list_items(text)}
+        when {first} = {last} and {first} in ("'", '"') then {_scalar_item(text)}
+        when {first} = '(' and {last} = ')' then {_tuple_item(text)}
+        else array({text}) end"""
 
 
-def compute_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+def compute_once(df: DataFrame, name: str, value: str) -> DataFrame:
     """Add a costly column that later filters read.
 
     It leaves through ``explode(array(...))``, one row out per row in.  A filter
     on it then stays above, where a plain projection would be copied into the
     filter and computed again for every row.
     """
-    return df.select("*", F.explode(F.array(value)).alias(name))
+    return df.selectExpr("*", f"explode(array({value})) as {name}")
 
 
 def with_items(df: DataFrame, source: str, name: str) -> DataFrame:
@@ -145,16 +134,19 @@ def with_items(df: DataFrame, source: str, name: str) -> DataFrame:
     * a number -> one item
     * anything that does not parse -> the stripped text as one item, case kept
 
-    Bare text and plainly spelled lists, nearly all real rows, are read without
-    the JSON parser.
+    Bare text and lists of plain strings, nearly all real rows, are read inside
+    the generated code; only the others reach the JSON parser.
     """
-    text, pieces = F.col("_text"), F.col("_pieces")
-    bare = ~F.left(text, F.lit(1)).isin("[", "(", "'", '"')
-    items = (
-        F.when(text.isNull() | (text == F.lit("")), F.array().cast("array<string>"))
-        .when(bare, F.array(text))
-        .when(_plain_list(text, pieces), _tidy(pieces))
-        .otherwise(_let(text, _any_literal))
+    double_quoted = "case when contains(_text, '\"') then _text else replace(_text, \"'\", '\"') end"
+    contents = f"regexp_extract_all(upper(_quoted), {_INSIDE}, 1)"
+    common = f"""case
+        when _text is null or _text = '' then cast(array() as array<string>)
+        when left(_text, 1) not in ('[', '(', "'", '"') then array(_text)
+        when {_plain_list("_quoted")} then array_remove({contents}, '') end"""
+    prepared = (
+        df.withColumn("_text", F.expr(strip(source)))
+        .withColumn("_quoted", F.expr(double_quoted))
+        .withColumn("_common", F.expr(common))
     )
-    prepared = df.withColumn("_text", strip(F.col(source))).withColumn("_pieces", _pieces(text))
-    return compute_once(prepared, name, items).drop("_text", "_pieces")
+    rare = _let("t", "_text", _any_literal("t"))
+    return compute_once(prepared, name, f"coalesce(_common, {rare})").drop("_text", "_quoted", "_common")

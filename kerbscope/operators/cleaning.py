@@ -6,9 +6,7 @@ and only the columns a later step reads are computed.
 
 from __future__ import annotations
 
-from decimal import Decimal
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kerbscope.functions.calendar import (
@@ -19,69 +17,90 @@ from kerbscope.functions.calendar import (
     weekend_flag,
 )
 from kerbscope.functions.numeric import half_even
-from kerbscope.functions.text import compute_once, not_blank, text_literal, with_items
+from kerbscope.functions.text import compute_once, literal, literals, not_blank, with_items
 from kerbscope.settings import KEPT_WORD, NO_JUNCTION, CleanSettings, hundredths
 
-UNIT = Decimal("0.00000001")  # one impact unit; a product of four two-digit weights is whole in it
+# One impact unit: a product of four two-digit weights is whole in it.
+UNIT = "0.00000001BD"
 
 
-def lookup(weights: dict[str, str], key: Column, other: str) -> Column:
+def lookup(weights: dict[str, str], key: str, other: str) -> str:
     """Hundredths for ``key``; the fallback for unknown or null keys."""
-    pairs = ", ".join(f"{text_literal(k)}, {hundredths(v)}" for k, v in weights.items())
-    return F.coalesce(F.try_element_at(F.expr(f"map({pairs})"), key), F.lit(hundredths(other)))
+    pairs = ", ".join(f"{literal(k)}, {hundredths(v)}" for k, v in weights.items())
+    return f"coalesce(try_element_at(map({pairs}), {key}), {hundredths(other)})"
 
 
-def severity_hundredths(items: Column, settings: CleanSettings) -> Column:
-    worst = F.array_max(
-        F.transform(items, lambda x: lookup(settings.severity, x, settings.other_severity))
-    )
-    return F.coalesce(worst, F.lit(hundredths(settings.other_severity)))
+def severity_hundredths(items: str, settings: CleanSettings) -> str:
+    """Highest weight among the items; an item outside the table has the other weight.
+
+    Membership tests instead of a lambda over the items keep the expression
+    inside the generated code.
+    """
+    other = hundredths(settings.other_severity)
+    present = [
+        f"case when array_contains({items}, {literal(name)}) then {hundredths(weight)} end"
+        for name, weight in settings.severity.items()
+    ]
+    names = literals(settings.severity)
+    unlisted = f"case when size(array_except({items}, array({names}))) > 0 then {other} end"
+    return f"coalesce(greatest({', '.join([unlisted, *present])}), {other})"
 
 
-def vehicle_hundredths(vehicle: Column, settings: CleanSettings) -> Column:
-    known = lookup(settings.footprint, F.upper(vehicle), settings.other_footprint)
-    return F.when(vehicle.isNull(), F.lit(hundredths(settings.other_footprint))).otherwise(known)
+def vehicle_hundredths(vehicle: str, settings: CleanSettings) -> str:
+    known = lookup(settings.footprint, f"upper({vehicle})", settings.other_footprint)
+    other = hundredths(settings.other_footprint)
+    return f"case when {vehicle} is null then {other} else {known} end"
 
 
-def junction_flag(name: Column) -> Column:
+def junction_flag(name: str) -> str:
     """1 for a named junction; the sentinel is compared without stripping."""
-    named = not_blank(name) & (F.upper(name) != F.lit(NO_JUNCTION))
-    return F.coalesce(named, F.lit(False)).cast("int")
+    named = f"{not_blank(name)} and upper({name}) != {literal(NO_JUNCTION)}"
+    return f"case when {named} then 1 else 0 end"
 
 
-def peak_flag(hour: Column, settings: CleanSettings) -> Column:
-    return hour.isin(*settings.peak_hours).cast("int")
+def peak_flag(hour: str, settings: CleanSettings) -> str:
+    hours = ", ".join(str(h) for h in settings.peak_hours)
+    return f"cast({hour} in ({hours}) as int)"
 
 
-def _as_weight(hundred: Column) -> Column:
-    return (hundred.cast("decimal(6,0)") * F.lit(Decimal("0.01"))).cast("decimal(4,2)")
+def _as_weight(column: str) -> str:
+    return f"cast(cast({column} as decimal(6,0)) * 0.01BD as decimal(4,2))"
+
+
+def _columns(expressions: dict[str, str]) -> dict:
+    return {name: F.expr(sql) for name, sql in expressions.items()}
 
 
 def keep_complete(violations: DataFrame, settings: CleanSettings) -> DataFrame:
     """Rows with a readable time, latitude and longitude (NaN counts as missing)."""
-    time = local_time(F.col("created_datetime"), settings.zone)
-    return compute_once(violations, "created_at_ist", time).dropna(subset=["created_at_ist", "latitude", "longitude"])
+    time = local_time("created_datetime", settings.zone)
+    return compute_once(violations, "created_at_ist", time).dropna(
+        subset=["created_at_ist", "latitude", "longitude"]
+    )
 
 
 def keep_parking(events: DataFrame) -> DataFrame:
     """Rows where any parsed item names parking."""
     parsed = with_items(events, "violation_type", "violation_items")
-    flagged = F.exists("violation_items", lambda x: x.contains(KEPT_WORD))
+    # The separator is no part of the word, so no match can span two items.
+    flagged = F.array_join("violation_items", "\n").contains(KEPT_WORD)
     return parsed.withColumn("parking_violation", flagged).filter("parking_violation")
 
 
 def add_calendar(events: DataFrame, settings: CleanSettings) -> DataFrame:
-    ts = F.col("created_at_ist")
-    hour = F.hour(ts)
+    ts = "created_at_ist"
+    hour = f"hour({ts})"
     return events.withColumns(
-        {
-            "date": day_key(ts),
-            "month": month_key(ts),
-            "weekday": weekday_name(ts),
-            "hour": hour,
-            "is_peak_hour": peak_flag(hour, settings),
-            "is_weekend": weekend_flag(ts),
-        }
+        _columns(
+            {
+                "date": day_key(ts),
+                "month": month_key(ts),
+                "weekday": weekday_name(ts),
+                "hour": hour,
+                "is_peak_hour": peak_flag(hour, settings),
+                "is_weekend": weekend_flag(ts),
+            }
+        )
     )
 
 
@@ -92,37 +111,46 @@ def add_weights(events: DataFrame, settings: CleanSettings) -> DataFrame:
     and the same under any partitioning.  ``incident_impact`` is the same number
     as a decimal.
     """
-    near = junction_flag(F.col("junction_name"))
-    severity = severity_hundredths(F.col("violation_items"), settings)
-    vehicle = vehicle_hundredths(F.col("vehicle_type"), settings)
-    at_junction = F.when(near == 1, F.lit(hundredths(settings.junction_weight))).otherwise(100)
-    at_peak = F.when(
-        F.col("is_peak_hour") == 1, F.lit(hundredths(settings.peak_weight))
-    ).otherwise(100)
-    units = severity.cast("bigint") * vehicle * at_junction * at_peak
-    return events.withColumns(
-        {
-            "near_junction": near,
-            "violation_severity": _as_weight(severity),
-            "vehicle_pcu": _as_weight(vehicle),
-            "junction_weight": _as_weight(at_junction),
-            "peak_weight": _as_weight(at_peak),
-            "impact_units": units,
-            "incident_impact": (units.cast("decimal(18,0)") * F.lit(UNIT)).cast("decimal(17,8)"),
-        }
+    parts = events.withColumns(
+        _columns(
+            {
+                "near_junction": junction_flag("junction_name"),
+                "_severity": severity_hundredths("violation_items", settings),
+                "_vehicle": vehicle_hundredths("vehicle_type", settings),
+            }
+        )
     )
+    at_junction, at_peak = hundredths(settings.junction_weight), hundredths(settings.peak_weight)
+    weighted = parts.withColumns(
+        _columns(
+            {
+                "_junction": f"if(near_junction = 1, {at_junction}, 100)",
+                "_peak": f"if(is_peak_hour = 1, {at_peak}, 100)",
+            }
+        )
+    ).withColumn("impact_units", F.expr("bigint(_severity) * _vehicle * _junction * _peak"))
+    return weighted.withColumns(
+        _columns(
+            {
+                "violation_severity": _as_weight("_severity"),
+                "vehicle_pcu": _as_weight("_vehicle"),
+                "junction_weight": _as_weight("_junction"),
+                "peak_weight": _as_weight("_peak"),
+                "incident_impact": f"cast(cast(impact_units as decimal(18,0)) * {UNIT} as decimal(17,8))",
+            }
+        )
+    ).drop("_severity", "_vehicle", "_junction", "_peak")
 
 
 def add_cells(events: DataFrame, digits: int = 3) -> DataFrame:
     """Grid cell of about 100 m and its text id."""
-    lat, lon = half_even(F.col("latitude"), digits), half_even(F.col("longitude"), digits)
-    return events.withColumns(
+    binned = events.withColumns(
         {
-            "grid_lat": lat,
-            "grid_lon": lon,
-            "grid_id": F.concat_ws(",", lat.cast("string"), lon.cast("string")),
+            "grid_lat": half_even(F.col("latitude"), digits),
+            "grid_lon": half_even(F.col("longitude"), digits),
         }
     )
+    return binned.withColumn("grid_id", F.expr("concat_ws(',', string(grid_lat), string(grid_lon))"))
 
 
 def clean_events(violations: DataFrame, settings: CleanSettings | None = None) -> DataFrame:

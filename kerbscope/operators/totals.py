@@ -39,7 +39,7 @@ def daily_totals(events: DataFrame, *keys: str, centroid: bool = False) -> DataF
 
 
 def exact_impact(units: Column) -> Column:
-    return F.sum(units.cast("decimal(19,0)")) * F.lit(UNIT)
+    return F.sum(units.cast("decimal(19,0)")) * F.expr(UNIT)
 
 
 def combine_days(daily: DataFrame, *keys: str, centroid: bool = False) -> DataFrame:

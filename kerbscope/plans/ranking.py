@@ -7,11 +7,32 @@ from pyspark.sql import functions as F
 
 from kerbscope.operators import ordering, shifts, stations
 from kerbscope.operators.cells import hotspot_cells
+from kerbscope.operators.cleaning import clean_events
 from kerbscope.operators.scoring import COMPONENTS, classify, score_cells
+from kerbscope.settings import CleanSettings
 from kerbscope.staging import stage
 
 SCORE = "congestion_impact_score"
 
+EVENT_COLUMNS = (
+    "id",
+    "date",
+    "month",
+    "hour",
+    "is_peak_hour",
+    "near_junction",
+    "impact_units",
+    "latitude",
+    "longitude",
+    "grid_lat",
+    "grid_lon",
+    "grid_id",
+    "police_station",
+    "junction_name",
+    "vehicle_type",
+    "vehicle_number",
+)
+
 HOTSPOT_COLUMNS = (
     "grid_id",
     "latitude",
@@ -37,6 +58,16 @@ HOTSPOT_COLUMNS = (
 )
 
 
+def event_table(violations: DataFrame, settings: CleanSettings | None = None) -> DataFrame:
+    """Cleaned events written once, with the columns later steps read.
+
+    Most plans pass over the events several times (totals, modes, vehicles,
+    hours); each pass then scans only its own columns instead of parsing the raw
+    texts again.
+    """
+    return stage(clean_events(violations, settings).select(*EVENT_COLUMNS), "events")
+
+
 def hotspots(events: DataFrame) -> DataFrame:
     """Scored and classified cells, unranked.
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kerbscope.functions.text import text_literal
+from kerbscope.functions.text import literals
 
 VIOLATION_TEXTS = (
     '["NO PARKING","PARKING ON FOOTPATH"]',
@@ -37,8 +37,7 @@ VEHICLES = (
 
 
 def _choice(texts: tuple[str | None, ...], key: str) -> str:
-    options = ", ".join("null" if t is None else text_literal(t) for t in texts)
-    return f"get(array({options}), cast({key} % {len(texts)} as int))"
+    return f"get(array({literals(texts)}), cast({key} % {len(texts)} as int))"
 
 
 def violations_from_events(events: DataFrame) -> DataFrame:
