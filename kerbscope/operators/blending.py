@@ -16,9 +16,9 @@ def candidate_array(candidates: Sequence[Sequence[float]] = CANDIDATES) -> Colum
     """Literal array of (candidate, weights): the parameter list itself, not data."""
     rows = []
     for number, weights in enumerate(candidates, start=1):
-        named = [F.lit(float(w)).alias(f) for f, w in zip(FEATURES, weights, strict=True)]
-        rows.append(F.struct(F.lit(number).alias("candidate"), *named))
-    return F.array(*rows)
+        fields = [f"'{f}', {float(w)!r}D" for f, w in zip(FEATURES, weights, strict=True)]
+        rows.append(f"named_struct('candidate', {number}, {', '.join(fields)})")
+    return F.expr(f"array({', '.join(rows)})")
 
 
 def blend_score(weight: Column) -> Column:

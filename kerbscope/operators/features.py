@@ -77,8 +77,8 @@ def prediction_features(events: DataFrame, facts: MonthlyFacts, scores: DataFram
     """Five features per (window, cell), each 0..100 within its window.
 
     The station mean comes from the same rows it is joined to, and a modal
-    station is never null, so that join always finds its row; the reference
-    default for a miss (the population median) is ``population_median``.
+    station is never null, so that join always finds its row.  The value a miss
+    would take, the population median, is ``population_median``.
     """
     history = stage(history_with_station(events, facts), "history")
     joined = (

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kerbscope.functions.numeric import half_even, sort_value
-from kerbscope.operators.ordering import average_rank, top_per_group
+from kerbscope.operators.ordering import SINGLE_TASK_ROWS, average_rank, top_per_group
 
 WINDOW = "window_id"
 
@@ -67,17 +67,22 @@ def ideal_quality(actual: DataFrame, ks: Sequence[int]) -> DataFrame:
 
 
 def rank_correlation(
-    base: DataFrame, predict: Callable[[DataFrame], DataFrame], by: Sequence[str]
+    base: DataFrame,
+    predict: Callable[[DataFrame], DataFrame],
+    by: Sequence[str],
+    single_task_rows: int = SINGLE_TASK_ROWS,
 ) -> DataFrame:
     """Spearman over the cells that occur on both sides; null below three of them.
 
     The actual side does not depend on the candidate, so it is ranked once per
-    window before the candidates fan out.
+    window before the candidates fan out.  ``base`` is a staged table, so counting
+    it reads the file footers only.
     """
+    rows = base.count()
     common = base.filter("actual IS NOT NULL").withColumn("_y", sort_value(F.col("actual")))
-    pairs = predict(average_rank(common, "_y", "actual_rank", [WINDOW]))
+    pairs = predict(average_rank(common, "_y", "actual_rank", [WINDOW], rows, single_task_rows))
     pairs = pairs.withColumn("_x", sort_value(F.col("predicted"))).select(*by, "_x", "actual_rank")
-    ranked = average_rank(pairs, "_x", "predicted_rank", by)
+    ranked = average_rank(pairs, "_x", "predicted_rank", by, rows, single_task_rows)
     n = F.count(F.lit(1))
     return ranked.groupBy(*by).agg(
         n.alias("common_hotspots"),

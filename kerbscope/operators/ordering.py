@@ -95,6 +95,7 @@ def top_per_group(
 ) -> DataFrame:
     """First ``n`` rows per group; Spark trims every map task to ``n`` rows per group first."""
     window = Window.partitionBy(*by).orderBy(*by_score(score))
+    # Per group the last task sees n rows from each map task, whatever the group's size.
     return table.withColumn(name, F.row_number().over(window)).filter(F.col(name) <= n)
 
 
@@ -103,15 +104,22 @@ def average_rank(
     value: str,
     name: str,
     by: Sequence[str],
+    group_rows: int,
     single_task_rows: int = SINGLE_TASK_ROWS,
 ) -> DataFrame:
     """Add the ascending rank of ``value`` within ``by``; equal values share the mean rank.
 
-    Works on the distinct values: equal values are counted before any shuffle,
-    the running total of the counts gives each value's last position, and the
-    rank comes back by an equality join, which Spark sizes (broadcast) or splits
-    (skewed value) at run time.
+    ``group_rows`` is a counted upper bound of a group's rows.  Groups that may
+    be larger than one task's share are ranked through their distinct values:
+    equal values are counted before any shuffle, the running total of the counts
+    gives each value's last position, and the rank comes back by an equality
+    join, which Spark sizes (broadcast) or splits (skewed value) at run time.
     """
+    if group_rows <= single_task_rows:
+        first = F.rank().over(Window.partitionBy(*by).orderBy(value))
+        ties = F.count(F.lit(1)).over(Window.partitionBy(*by, value))
+        return table.withColumn(name, first + (ties - 1) / F.lit(2.0))
+
     distinct_values = stage(
         table.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n")), "value-counts"
     )

@@ -93,7 +93,7 @@ def monthly_facts(events: DataFrame) -> MonthlyFacts:
         "month", F.substring("date", 1, 7)
     )
     cells = stage(combine_days(daily, "grid_id", "month", centroid=True), "monthly-cells")
-    index = month_index(cells)
+    index = stage(month_index(cells), "months")
     return MonthlyFacts(cells.join(F.broadcast(index), "month"), index)
 
 

@@ -2,38 +2,45 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 _CSV = {"header": True, "quote": '"', "escape": '"'}
 
 
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV folder with a header; a field with a comma is quoted."""
-    df.write.mode("errorifexists").options(**_CSV).csv(path)
+    df.write.options(**_CSV).csv(path)
 
 
 def write_json(df: DataFrame, path: str) -> None:
-    df.write.mode("errorifexists").option("ignoreNullFields", False).json(path)
+    """One JSON record per line, null fields kept, UTF-8."""
+    df.write.option("ignoreNullFields", False).json(path)
 
 
 def write_events(events: DataFrame, path: str) -> None:
     """Cleaned events as parquet by month.
 
-    Rows are first spread by (month, day), so a month is written by up to as many
-    tasks as it has days, and AQE splits a day that is too large.
+    Rows are rebalanced by (month, day), so that a month is written by as many
+    tasks as its days need and AQE splits a day that is too large for one.
     """
-    spread = events.hint("rebalance", F.col("month"), F.col("date"))
-    spread.write.mode("errorifexists").partitionBy("month").parquet(path)
+    events.hint("rebalance", F.col("month"), F.col("date")).write.partitionBy("month").parquet(path)
 
 
-def read_csv_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+def read_or_empty(
+    spark: SparkSession, schema: str, read: Callable[[DataFrameReader], DataFrame]
+) -> DataFrame:
     """Declared schema; a table that was never written reads as empty."""
     try:
-        return spark.read.schema(schema).options(**_CSV).csv(path)
+        return read(spark.read.schema(schema))
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)
+
+
+def read_csv_table(spark: SparkSession, path: str, schema) -> DataFrame:
+    return read_or_empty(spark, schema, lambda reader: reader.options(**_CSV).csv(path))
