@@ -25,6 +25,7 @@ from kerbscope.plans import model, ranking, views
 from kerbscope.settings import CANDIDATES, FEATURES, KS, CleanSettings
 from kerbscope.sources import tables
 from kerbscope.sources.event_mapping import read_event_violations
+from kerbscope.sources.violations import spread
 from kerbscope.staging import new_path, stage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,7 +42,7 @@ def violations(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def events(spark: SparkSession, folder: str) -> DataFrame:
-    return cleaning.clean_events(violations(spark, folder))
+    return cleaning.clean_events(spread(violations(spark, folder)))
 
 
 def event_table(spark: SparkSession, folder: str) -> DataFrame:

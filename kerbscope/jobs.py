@@ -28,7 +28,7 @@ from kerbscope.sources.tables import (
     write_json,
 )
 from kerbscope.sources.violations import read_violations
-from kerbscope.staging import stage
+from kerbscope.staging import remove_staged, stage
 
 DEFAULT_INPUT = "data/violations.csv"
 
@@ -209,8 +209,11 @@ def main() -> None:
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
     )
-    JOBS[args.job](spark, resolve_input(args.input), args.output)
-    spark.stop()
+    try:
+        JOBS[args.job](spark, resolve_input(args.input), args.output)
+    finally:
+        remove_staged(spark)
+        spark.stop()
 
 
 if __name__ == "__main__":

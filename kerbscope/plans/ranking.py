@@ -10,6 +10,7 @@ from kerbscope.operators.cells import hotspot_cells
 from kerbscope.operators.cleaning import clean_events
 from kerbscope.operators.scoring import COMPONENTS, classify, score_cells
 from kerbscope.settings import CleanSettings
+from kerbscope.sources.violations import spread
 from kerbscope.staging import stage
 
 SCORE = "congestion_impact_score"
@@ -65,7 +66,7 @@ def event_table(violations: DataFrame, settings: CleanSettings | None = None) ->
     hours); each pass then scans only its own columns instead of parsing the raw
     texts again.
     """
-    return stage(clean_events(violations, settings).select(*EVENT_COLUMNS), "events")
+    return stage(clean_events(spread(violations), settings).select(*EVENT_COLUMNS), "events")
 
 
 def hotspots(events: DataFrame) -> DataFrame:

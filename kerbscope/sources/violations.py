@@ -52,20 +52,36 @@ def require_utc(spark: SparkSession) -> None:
         raise ValueError(f"set spark.sql.session.timeZone to UTC (is {zone!r})")
 
 
+def spread(raw: DataFrame) -> DataFrame:
+    """Use all cores for an input of few pieces, such as one compressed file.
+
+    Cleaning is bound by text parsing, so such an input is dealt out to the cores
+    first.  An input with a piece per core, any large one, is not moved.
+    """
+    cores = raw.sparkSession.sparkContext.defaultParallelism
+    return raw.repartition(cores) if raw.rdd.getNumPartitions() < cores else raw
+
+
 def normalise(raw: DataFrame) -> DataFrame:
     """The nine raw columns, typed; unreadable or NaN coordinates become null."""
     coordinates = {c: F.nanvl(F.col(c).try_cast("double"), F.lit(None)) for c in _COORDINATES}
     return raw.select(*RAW_COLUMNS).withColumns(coordinates)
 
 
-def read_csv(spark: SparkSession, path: str, columns: tuple[str, ...] = RAW_COLUMNS) -> DataFrame:
+def read_csv(
+    spark: SparkSession,
+    path: str,
+    columns: tuple[str, ...] = RAW_COLUMNS,
+    multi_line: bool = False,
+) -> DataFrame:
     """CSV with a header, commas and doubled quotes; columns are found by header name.
 
     A missing path raises Spark's PATH_NOT_FOUND.  The header alone is read for
-    the column names; nothing is inferred from the data.
+    the column names; nothing is inferred from the data.  ``multi_line`` allows
+    line breaks inside quotes, at the price that a file cannot be split.
     """
     require_utc(spark)
-    options = {"header": True, "quote": '"', "escape": '"', "multiLine": False}
+    options = {"header": True, "quote": '"', "escape": '"', "multiLine": multi_line}
     header = spark.read.options(**options, inferSchema=False).csv(path).columns
     schema = T.StructType([T.StructField(name, T.StringType()) for name in header])
     rows = spark.read.schema(schema).options(**options, enforceSchema=False).csv(path)

@@ -30,8 +30,21 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_roots[app]
 
 
+def run_folder(spark: SparkSession) -> str:
+    """This application's own part of the shared folder."""
+    app = spark.sparkContext.applicationId
+    return f"{shared_folder(spark).rstrip('/')}/kerbscope/{app}"
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark).rstrip('/')}/kerbscope/{name}-{uuid.uuid4().hex}"
+    return f"{run_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def remove_staged(spark: SparkSession) -> None:
+    """Delete what this application staged; for the end of a batch job."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:

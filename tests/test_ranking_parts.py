@@ -11,7 +11,7 @@ from kerbscope.operators import ordering
 from kerbscope.operators.features import population_median
 from kerbscope.operators.metrics import ranking_quality, with_actual
 from kerbscope.operators.scaling import feature_minmax, minmax
-from kerbscope.staging import shared_folder, stage
+from kerbscope.staging import run_folder, shared_folder, stage
 
 
 def test_minmax_spread_null_constant_single(spark):
@@ -138,4 +138,15 @@ def test_spearman_ties_short_and_constant(spark):
 
 
 def test_staging_uses_the_named_folder(spark):
-    assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+    named = spark.conf.get("spark.checkpoint.dir")
+    assert shared_folder(spark) == named
+    assert run_folder(spark).startswith(named) and run_folder(spark).endswith(spark.sparkContext.applicationId)
+
+
+def test_a_cluster_needs_a_named_folder():
+    from types import SimpleNamespace
+
+    context = SimpleNamespace(getCheckpointDir=lambda: None, master="yarn", applicationId="app")
+    session = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default), sparkContext=context)
+    with pytest.raises(RuntimeError):
+        shared_folder(session)
