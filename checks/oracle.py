@@ -49,6 +49,10 @@ def six(name: str) -> str:
     return f"{rnd(name, 6)} AS {name}"
 
 
+def two(name: str) -> str:
+    return f"{rnd(name, 2)} AS {name}"
+
+
 def _case(key: str, pairs, other: str) -> str:
     return f"CASE {key} " + " ".join(f"WHEN {k} THEN {v}" for k, v in pairs) + f" ELSE {other} END"
 
@@ -591,6 +595,18 @@ def all_sql() -> dict[str, str]:
         "view_shifts": chain(*hot, SHIFTS)
         + """SELECT priority_rank, police_station, junction_name, risk_band, congestion_impact_score,
           best_enforcement_hours, recommended_action FROM shifts""",
+        "summary_hotspots": chain(*hot)
+        + f"""SELECT priority_rank, police_station, junction_name, violation_count,
+          {rnd("congestion_impact_score", 2)} AS congestion_impact_score, risk_band, recommended_action
+          FROM hotspots WHERE priority_rank <= 15""",
+        "summary_stations": chain(*stations_of_clean)
+        + f"""SELECT police_station, violation_count, {two("impact_sum")}, {two("peak_hour_share")},
+          {two("junction_share")}, unique_hotspots, high_priority_hotspots, {two("station_priority_score")}
+          FROM ordered_stations WHERE place <= 10""",
+        "summary_shifts": chain(*hot, SHIFTS)
+        + f"""SELECT priority_rank, grid_id, {two("latitude")}, {two("longitude")}, police_station, junction_name,
+          risk_band, {two("congestion_impact_score")}, best_enforcement_hours, recommended_action
+          FROM shifts WHERE priority_rank <= 20""",
         "view_model": chain(*clean, SEARCH, ranked("best"))
         + f"""SELECT model_rank, police_station, junction_name,
           {", ".join(f"{rnd(c, 2)} AS {c}" for c in ("model_priority_score", "history", "last_month"))}

@@ -389,6 +389,18 @@ def view_shifts(spark, folder):
     return views.shift_view(_plan(spark, folder))
 
 
+def summary_hotspots(spark, folder):
+    return views.summary_hotspots(scored(spark, folder))
+
+
+def summary_stations(spark, folder):
+    return views.summary_stations(_station_summary(spark, folder)[2])
+
+
+def summary_shifts(spark, folder):
+    return views.summary_shifts(_plan(spark, folder))
+
+
 def view_model(spark, folder):
     prepared, _, search = _search(spark, folder)
     return views.model_view(model.final_ranking(prepared, search))
@@ -507,6 +519,9 @@ def all_queries() -> dict[str, Query]:
         "view_hotspots": view_hotspots,
         "view_stations": view_stations,
         "view_shifts": view_shifts,
+        "summary_hotspots": summary_hotspots,
+        "summary_stations": summary_stations,
+        "summary_shifts": summary_shifts,
         "view_model": view_model,
         "view_backtest": view_backtest,
         "view_filtered": view_filtered,

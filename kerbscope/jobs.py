@@ -183,6 +183,9 @@ def run_views(spark: SparkSession, source: str, output: str) -> None:
         "preview_points": views.preview_points(hot),
         "records": views.record_view(view),
         "station_filter": views.station_filter_list(view),
+        "summary_hotspots": views.summary_hotspots(hot),
+        "summary_stations": views.summary_stations(station),
+        "summary_shifts": views.summary_shifts(table("enforcement_shift_plan", SHIFT_SCHEMA)),
         "kpi": views.kpi_strip(hot, station, blend),
     }
     for name, frame in out.items():

@@ -62,6 +62,31 @@ def shift_view(plan: DataFrame, n: int = 40) -> DataFrame:
     )
 
 
+def summary_hotspots(scored: DataFrame, n: int = 15) -> DataFrame:
+    return top_hotspots(scored, n).select(
+        "priority_rank",
+        "police_station",
+        "junction_name",
+        "violation_count",
+        _rounded(SCORE, 2),
+        "risk_band",
+        "recommended_action",
+    )
+
+
+def _two_digits(df: DataFrame) -> DataFrame:
+    doubles = [f.name for f in df.schema.fields if f.dataType.typeName() == "double"]
+    return df.select(*[_rounded(c, 2) if c in doubles else c for c in df.columns])
+
+
+def summary_stations(stations: DataFrame, n: int = 10) -> DataFrame:
+    return _two_digits(order_stations(stations).limit(n))
+
+
+def summary_shifts(plan: DataFrame, n: int = 20) -> DataFrame:
+    return _two_digits(plan.orderBy("priority_rank").limit(n))
+
+
 def model_view(ranked: DataFrame, n: int = 20) -> DataFrame:
     return ranked.orderBy("model_rank").limit(n).select(
         "model_rank",
