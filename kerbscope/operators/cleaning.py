@@ -47,9 +47,9 @@ def severity_hundredths(items: str, settings: CleanSettings) -> str:
 
 
 def vehicle_hundredths(vehicle: str, settings: CleanSettings) -> str:
-    known = lookup(settings.footprint, f"upper({vehicle})", settings.other_footprint)
-    other = hundredths(settings.other_footprint)
-    return f"case when {vehicle} is null then {other} else {known} end"
+    """A missing vehicle type counts as ``OTHERS``, which the default table does not list."""
+    key = f"upper(coalesce({vehicle}, 'OTHERS'))"
+    return lookup(settings.footprint, key, settings.other_footprint)
 
 
 def junction_flag(name: str) -> str:
