@@ -3,11 +3,13 @@
 import pytest
 
 import __spark_entry__ as entry
+from checks import oracle
 from checks.compare import connect, difference
+from checks.queries import all_queries
 
 SMALL = "/root/testdata/sf0.001"
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+QUERIES = all_queries()
+SQL = oracle.all_sql()
 
 
 @pytest.fixture(scope="module")
@@ -46,5 +48,10 @@ def test_query(spark, duck, name):
     assert difference(result, duck.sql(SQL[name]).df()) is None
 
 
+def test_entry_registers_every_query_here():
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(SQL) <= set(entry.oracle_sql()) <= set(entry.queries())
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() == 21
