@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kerbscope.staging import stage
@@ -20,6 +23,48 @@ def crc_fold(id_column: str, folds: int):
     return F.crc32(F.col(id_column).cast("string").cast("binary")) % F.lit(folds)
 
 
+def map_text(
+    docs: DataFrame,
+    text_col: str,
+    keep: list[str],
+    fields: str,
+    function: Callable[[list[str | None]], list[pa.Array]],
+) -> DataFrame:
+    """Columns ``keep`` of ``docs``, then the ``fields`` that ``function`` makes of the texts.
+
+    One Arrow pass without a shuffle; rows go through one for one.  A kept column
+    named like a new field is replaced by it.
+    """
+    made = [field.split()[0] for field in fields.split(", ")]
+    keep = [name for name in keep if name not in made]
+    inner = keep.index(text_col) if text_col in keep else None
+    columns = [F.struct(*[docs[name] for name in keep]).alias("row")]
+    source = docs.select(*columns) if inner is not None else docs.select(*columns, docs[text_col].alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(0, batch.num_rows, 512):
+                part = batch.slice(k, 512)
+                rows = part.column(0)
+                texts = part.column(1) if inner is None else rows.field(inner)
+                yield pa.RecordBatch.from_arrays([rows, *function(texts.to_pylist())], ["row", *made])
+
+    kind = source.schema["row"].dataType.simpleString()
+    out = source.mapInArrow(run, f"row {kind}, {fields}")
+    return out.select(*[F.col("row").getField(name).alias(name) for name in keep], *made)
+
+
+def sample_ids(rows: DataFrame, id_col: str, by: str, per_value: int) -> DataFrame:
+    """At most ``per_value`` ids of each non-null value of ``by``: rows ``id``, ``value``.
+
+    The choice follows a hash of the id, so it does not depend on the order of
+    the rows.  Spark keeps ``per_value`` rows a task before it shuffles.
+    """
+    known = rows.select(rows[id_col].alias("id"), rows[by].alias("value")).where("id is not null and value is not null")
+    order = Window.partitionBy("value").orderBy(F.xxhash64("id"), "id")
+    return known.withColumn("n", F.row_number().over(order)).where(F.col("n") <= per_value).select("id", "value")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of the links ``a``, ``b`` (long): rows ``node``, ``component``.
 

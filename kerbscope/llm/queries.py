@@ -12,12 +12,88 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbscope.llm import bpe
-from kerbscope.llm.common import read_table
+from kerbscope.llm import bpe, language, lattice, merkle, onebit, packing, toxicity
+from kerbscope.llm.common import crc_fold, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_lattice_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return lattice.near_duplicates(read_table(spark, folder, "embeddings"), threshold=0.9)
+
+
+def damaged_copies(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Two copies of the archive, damaged by fixed arithmetic on the page id.
+
+    First copy: every 1,747th page from 3 was never written.  Second copy: of every
+    997 pages number 13 has another first character, of every 1,499 number 7 is
+    lost, of every 1,999 number 5 was written twice.
+    """
+    page = F.col("page_id")
+    first = pages.where(~F.coalesce(page % 1747 == 3, F.lit(False)))
+    kept = pages.where(~F.coalesce(page % 1499 == 7, F.lit(False)))
+    broken = F.when(page % 997 == 13, F.concat(F.lit("X"), F.substring("html", 2, 2**31 - 1))).otherwise(F.col("html"))
+    second = kept.withColumn("html", broken)
+    return first, second.unionByName(second.where(page % 1999 == 5))
+
+
+def op2_merkle_audit(spark: SparkSession, folder: str) -> DataFrame:
+    """One row for each damaged record and one (position -1) for each file, by comparing the trees of two copies."""
+    copies = [merkle.warc_records(c) for c in damaged_copies(read_table(spark, folder, "pages"))]
+    depth = merkle.depth_for(*copies)
+    first, second = (merkle.build(c, depth) for c in copies)
+    found = merkle.audit(first, second)
+    a = merkle.roots(first).select("file", "hash", "bytes")
+    b = merkle.roots(second).select("file", F.col("hash").alias("other"), F.col("bytes").alias("other_bytes"))
+    files = a.join(b, "file", "full").select(
+        "file",
+        F.lit(-1).cast("long").alias("position"),
+        F.when(F.col("hash").eqNullSafe(F.col("other")), "same file").otherwise("other file").alias("kind"),
+        F.lit(0).cast("long").alias("offset"),
+        "bytes",
+        "other_bytes",
+    )
+    return found.unionByName(files).fillna(0, ["bytes", "other_bytes"])
+
+
+_OP2_SQL = r"""
+WITH pages_2 AS (
+  SELECT page_id AS position, regexp_extract(coalesce(url, ''), '^[a-z]+://([^/]*)', 1) AS file,
+         strlen('WARC/1.0') + strlen('WARC-Type: response') + strlen('WARC-Target-URI: ') + strlen('Content-Length: ') + 14
+           + strlen(coalesce(url, '')) + strlen(strlen(html)::varchar) + strlen(html) AS bytes,
+         page_id % 1747 = 3 AS not_a, page_id % 1499 = 7 AS not_b, page_id % 997 = 13 AND substr(html, 1, 1) <> 'X' AS broken, page_id % 1999 = 5 AS twice
+  FROM pages),
+placed AS (
+  SELECT *, coalesce(sum(CASE WHEN not_a THEN 0 ELSE bytes END) OVER (PARTITION BY file ORDER BY position
+           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS place
+  FROM pages_2),
+apart AS (
+  SELECT file, position, CASE WHEN not_b THEN 'missing' WHEN not_a THEN 'extra' ELSE 'changed' END AS kind, place,
+         CASE WHEN not_a THEN 0 ELSE bytes END AS bytes,
+         CASE WHEN not_b THEN 0 ELSE bytes * CASE WHEN twice THEN 2 ELSE 1 END END AS other_bytes
+  FROM placed WHERE (not_a OR not_b OR broken OR twice) AND NOT (not_a AND not_b)),
+files AS (
+  SELECT file, sum(CASE WHEN NOT not_a THEN bytes END) AS bytes,
+         sum(CASE WHEN NOT not_b THEN bytes * CASE WHEN twice THEN 2 ELSE 1 END END) AS other_bytes
+  FROM pages_2 GROUP BY file)
+SELECT file, position::bigint AS position, kind, place::bigint AS "offset", bytes::bigint AS bytes, other_bytes::bigint AS other_bytes FROM apart
+UNION ALL
+SELECT file, -1::bigint, CASE WHEN file IN (SELECT file FROM apart) THEN 'other file' ELSE 'same file' END, 0::bigint, coalesce(bytes, 0)::bigint, coalesce(other_bytes, 0)::bigint
+FROM files WHERE bytes IS NOT NULL OR other_bytes IS NOT NULL
+"""
+
+
+def op5_onebit_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return onebit.search(read_table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+def op6_kernel_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents")
+    held_out = F.coalesce(crc_fold("doc_id", 4) == 2, F.lit(False))
+    model = language.train(docs.where(~held_out))
+    return language.predict(docs, model, ["doc_id"]).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op7_bitmap_bpe(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     encoded = bpe.encode(read_table(spark, folder, "documents"), path, public_tokenizers.PATTERN)
@@ -29,11 +105,31 @@ def op7_bitmap_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_clause_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents")
+    held_out = F.coalesce(crc_fold("doc_id", 5) == 0, F.lit(False))
+    model = toxicity.train(docs, read_table(spark, folder, "labels").where(~held_out))
+    return toxicity.predict(docs, model, ["doc_id"]).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+def op9_configuration_packing(spark: SparkSession, folder: str) -> DataFrame:
+    cut = packing.pieces(read_table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2048)
+    return packing.pack(cut.withColumn("ids_crc32", F.crc32("ids")).drop("ids"), 2048).select(
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
+        "op1_lattice_near_duplicates": op1_lattice_near_duplicates,
+        "op2_merkle_audit": op2_merkle_audit,
+        "op5_onebit_neighbours": op5_onebit_neighbours,
+        "op6_kernel_language": op6_kernel_language,
         "op7_bitmap_bpe": op7_bitmap_bpe,
+        "op8_clause_toxicity": op8_clause_toxicity,
+        "op9_configuration_packing": op9_configuration_packing,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_merkle_audit": _OP2_SQL}
