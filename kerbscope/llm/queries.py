@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbscope.llm import bpe, language, lattice, merkle, onebit, packing, toxicity
+from kerbscope.llm import bpe, katz, language, lattice, merkle, onebit, packing, toxicity
 from kerbscope.llm.common import crc_fold, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,6 +83,14 @@ FROM files WHERE bytes IS NOT NULL OR other_bytes IS NOT NULL
 """
 
 
+def op3_katz_scores(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents")
+    held_out = F.coalesce(crc_fold("doc_id", 7) == 2, F.lit(False))
+    return katz.score(docs, ~held_out).select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op5_onebit_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return onebit.search(read_table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
@@ -123,6 +131,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_lattice_near_duplicates": op1_lattice_near_duplicates,
         "op2_merkle_audit": op2_merkle_audit,
+        "op3_katz_scores": op3_katz_scores,
         "op5_onebit_neighbours": op5_onebit_neighbours,
         "op6_kernel_language": op6_kernel_language,
         "op7_bitmap_bpe": op7_bitmap_bpe,
