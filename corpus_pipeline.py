@@ -1,11 +1,83 @@
-"""Corpus pipeline: filled in as its operators arrive."""
+"""Corpus pipeline: from raw documents to packed training sequences.
 
-STAGES = []
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written
+as parquet and read again as the next stage's ``docs``.  All but the last return
+the columns of ``documents``.
+"""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from kerbscope.llm import groups, language, packing, toxicity, winnow
+from kerbscope.llm.common import read_table
+from kerbscope.staging import stage
+
+CAPACITY = 2048
+
+
+def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Language ID (6): texts without a letter have no language and go.
+
+    The classifier learns from the labelled rows of ``docs``; the predicted language
+    fills a missing one and replaces none.
+    """
+    model = language.train(docs)
+    found = language.predict(docs, model, docs.columns)
+    lang = F.coalesce("lang", "lang_pred") if "lang" in docs.columns else F.col("lang_pred")
+    return found.where(F.col("lang_pred") != language.UNKNOWN).withColumn("lang", lang).select(*docs.columns)
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Toxicity (8): texts that score one half or more go."""
+    model = toxicity.train(docs, read_table(spark, sf_dir, "labels"))
+    return toxicity.predict(docs, model, docs.columns).where("predicted = 0").select(*docs.columns)
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Line dedup (4): later repeated runs of lines are cut; a text of which nothing is left goes."""
+    cut = winnow.remove_repeats(docs)
+    emptied = (F.size("removed") > 0) & (F.trim("text") == "")
+    left = cut.where(~F.coalesce(emptied, F.lit(False)))
+    if "n_chars" in docs.columns:
+        counted = F.when(F.size("removed") > 0, F.char_length("text")).otherwise(F.col("n_chars"))
+        left = left.withColumn("n_chars", counted.cast(docs.schema["n_chars"].dataType))
+    return left.select(*docs.columns)
+
+
+def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """N-gram Jaccard join (10): of each group of near duplicates the smallest id stays.
+
+    Rows with a null id are in no group and stay; of rows that repeat an id one stays.
+    """
+    found = groups.near_duplicates(docs)
+    kept = stage(found.where("doc_id = component_id").select("doc_id").distinct(), "kept")
+    return docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id is null")).select(*docs.columns)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Best-fit packing (9): pieces of at most 2,048 tokens and their places in the sequences."""
+    cut = packing.pieces(docs, public_tokenizers.path("word_bpe_49k.json"), CAPACITY)
+    return packing.pack(cut.withColumn("ids_crc32", F.crc32("ids")).drop("ids"), CAPACITY)
+
+
+STAGES = [
+    ("language ID", keep_known_language),
+    ("toxicity", drop_toxic),
+    ("line dedup", drop_repeated_lines),
+    ("n-gram Jaccard join", keep_one_of_each_group),
+    ("best-fit packing", pack_sequences),
+]
+
+#: SQL has no kernel regression, learned grammar, winnowing or packing.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; the rows of the last."""
+    docs = read_table(spark, sf_dir, "documents")
+    for name, function in STAGES[:-1]:
+        docs = stage(function(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)

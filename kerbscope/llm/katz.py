@@ -28,13 +28,22 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
-import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kerbscope.llm.arrays import (
+    mix,
+    pack,
+    pack_sorted,
+    range_edges,
+    split_words,
+    text_slices,
+    unpack,
+    unpack_sorted,
+    word_numbers,
+)
 from kerbscope.staging import stage
 
 TOP = 5
@@ -44,56 +53,14 @@ BLOCK_BYTES = 20_000_000
 START, END = (xxhash.xxh64_intdigest(mark) for mark in (b"\n\n", b"\n"))
 
 
-# ------------------------------------------------------------------ packing
-
-
-def pack(values: np.ndarray) -> bytes:
-    """Numbers as compressed byte planes."""
-    planes = values.view(np.uint8).reshape(len(values), values.itemsize).T
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
-
-
-def unpack(data: bytes, kind) -> np.ndarray:
-    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
-    return np.ascontiguousarray(raw.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
-
-
-def pack_sorted(values: np.ndarray) -> bytes:
-    return pack(np.diff(values, prepend=values.dtype.type(0)))
-
-
-def unpack_sorted(data: bytes) -> np.ndarray:
-    return np.cumsum(unpack(data, np.uint64), dtype=np.uint64)
-
-
 # ------------------------------------------------------------------ blocks
 
 
-def _mix(values: np.ndarray) -> np.ndarray:
-    """Scrambles 64-bit numbers (finishing steps of the public SplitMix64 generator)."""
-    x = (values ^ (values >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
-    """Lower-case words of all texts, and how many each has; null counts as empty."""
-    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
-    words, sizes = lists.flatten(), lists.value_lengths().to_numpy()
-    full = pc.not_equal(words, "")
-    filled = full.to_numpy(zero_copy_only=False)
-    if filled.all():
-        return words, sizes
-    row = np.repeat(np.arange(len(sizes)), sizes)
-    return words.filter(full), np.bincount(row[filled], minlength=len(sizes))
-
-
 def number_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hash of each distinct word (the end included, most frequent first), word numbers, tokens a text."""
     words, sizes = split_words(texts)
-    coded = words.dictionary_encode()
-    number = coded.indices.to_numpy().astype(np.int64)
-    names = np.array([xxhash.xxh64_intdigest(w) for w in coded.dictionary.cast(pa.binary()).to_pylist()] + [END], np.uint64)
+    number, names = word_numbers(words)
+    names = np.append(names, np.uint64(END))
     ends = np.cumsum(sizes + 1) - 1
     tokens = np.full(len(number) + len(sizes), len(names) - 1)
     inner = np.ones(len(tokens), bool)
@@ -139,7 +106,7 @@ class Block:
         counts = np.bincount(which[np.repeat(self.train, self.sizes)], minlength=len(distinct))
         first, second = distinct // width, distinct % width
         names = np.append(self.names, np.uint64(START))
-        key = _mix(_mix(names[first]) + names[second])
+        key = mix(mix(names[first]) + names[second])
         order = np.argsort(key)
         return Pairs(key[order], counts[order], first[order], second[order], order, which)
 
@@ -162,11 +129,8 @@ def blocks(docs: DataFrame, train: Column, id_col: str, text_col: str) -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, made = TaskContext.get().partitionId(), 0
         for batch in batches:
-            size = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
-            group = np.cumsum(size) // BLOCK_BYTES
-            for g in np.unique(group):
-                rows = np.flatnonzero(group == g)
-                own = batch.slice(rows[0], len(rows))
+            for rows in text_slices(batch.column(1), BLOCK_BYTES):
+                own = batch.slice(rows.start, rows.stop - rows.start)
                 names, tokens, sizes = number_words(own.column(1))
                 ids = pa.ListArray.from_arrays(pa.array([0, len(own)], pa.int32()), pa.concat_arrays([own.column(0)]))
                 learn = own.column(2).fill_null(False).to_numpy(zero_copy_only=False)
@@ -185,16 +149,8 @@ def blocks(docs: DataFrame, train: Column, id_col: str, text_col: str) -> DataFr
 # ------------------------------------------------------------------ asking and answering
 
 
-def _ranges(names: np.ndarray, bits: int) -> np.ndarray:
-    """Where each range begins among names in order; one more for the end."""
-    if not bits:
-        return np.array([0, len(names)])
-    firsts = np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits)
-    return np.r_[0, np.searchsorted(names, firsts), len(names)]
-
-
 def _asks(block: int, names: np.ndarray, columns: list[np.ndarray], bits: int) -> Iterator[pa.RecordBatch]:
-    at = _ranges(names, bits)
+    at = range_edges(names, bits)
     own = np.flatnonzero(np.diff(at))
     data = [[pack_sorted(names[at[p] : at[p + 1]]) for p in own]]
     data += [[pack(c[at[p] : at[p + 1]]) for p in own] for c in columns]

@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kerbscope.llm.arrays import mix
 from kerbscope.llm.common import components
 from kerbscope.llm.onebit import sound
 from kerbscope.staging import stage
@@ -92,20 +93,12 @@ def _projections(dim: int, tables: int, blocks: int, seed: int = 11) -> np.ndarr
     return out
 
 
-def _mix(values: np.ndarray) -> np.ndarray:
-    """Scrambles 64-bit numbers (finishing steps of the public SplitMix64 generator)."""
-    x = values.astype(np.uint64)
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
 def _point_code(points: np.ndarray, salt: int) -> np.ndarray:
     """64-bit name of lattice points; a clash only adds candidates."""
     code = np.full(points.shape[0], salt, np.uint64)
     twice = np.rint(points * 2).astype(np.int64).astype(np.uint64)
     for k in range(8):
-        code = _mix(code * np.uint64(31) + twice[:, k] + np.uint64(1))
+        code = mix(code * np.uint64(31) + twice[:, k] + np.uint64(1))
     return code
 
 
@@ -147,7 +140,7 @@ def cells(unit: np.ndarray, tables: int = TABLES, blocks: int = BLOCKS, probes:
 def _join(codes: np.ndarray, table: int) -> np.ndarray:
     joined = np.full(codes.shape[0], 1_000_003 * (table + 1), np.uint64)
     for b in range(codes.shape[1]):
-        joined = _mix(joined + codes[:, b])
+        joined = mix(joined + codes[:, b])
     # The table's number leads, so that cells are in order of their tables.
     return (joined >> np.uint64(8)) | (np.uint64(table) << np.uint64(56))
 

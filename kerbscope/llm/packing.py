@@ -19,6 +19,7 @@ n-th slot that the plan has for that length.
 from __future__ import annotations
 
 import os
+import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -37,36 +38,79 @@ SLACK = 0.02
 RATE = 4.0
 
 #: Words kept per worker with their ids; emptied when full, results do not depend on it.
-CACHED_WORDS = 500_000
+CACHED_WORDS = 600_000
 CACHED_LENGTH = 64
 
 
 # ------------------------------------------------------------------ tokens
 
 
+#: A lone mark after a letter or digit; a space before it changes no token, and
+#: the word is then the same word as without it.
+_MARK = re.compile(rb"(?<=[a-z0-9])([.,;:!?])(?=[ \t\r\n]|$)")
+
+
 @lru_cache(maxsize=2)
 def _tokenizer(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
-    return Tokenizer.from_file(path), {}
+    tokenizer = Tokenizer.from_file(path)
+    ends = np.zeros(tokenizer.get_vocab_size(), bool)
+    for token, number in tokenizer.get_vocab().items():
+        ends[number] = token.endswith("</w>")
+    return tokenizer, ends, {}
+
 
+def _words(text: str | None) -> list[bytes]:
+    """The parts between ASCII white space, ASCII letters in lower case as the tokenizer has them."""
+    return _MARK.sub(rb" \1", (text or "").encode().lower()).split()
 
-def word_ids(words: set[bytes], path: str) -> dict[bytes, bytes]:
-    """The ids (unsigned little-endian 32 bit) of each word; words hold no ASCII white space."""
-    tokenizer, known = _tokenizer(path)
-    if len(known) > CACHED_WORDS:
-        known.clear()
-    new = [w for w in words if w not in known]
-    for k in range(0, len(new), 50_000):
-        part = new[k : k + 50_000]
-        for word, made in zip(part, tokenizer.encode_batch([w.decode() for w in part], add_special_tokens=False)):
-            known[word] = np.array(made.ids, "<u4").tobytes()
-    found = {w: known[w] for w in words}
-    for word in new:
-        if len(word) > CACHED_LENGTH:
-            del known[word]
-    return found
+
+def _encode(words: list[bytes], tokenizer, ends: np.ndarray) -> Iterator[tuple[bytes, bytes]]:
+    """Words with their ids (unsigned little-endian 32 bit).
+
+    Words of plain letters have one end mark each, so many are encoded as one text
+    and told apart by it; all others are encoded one by one.
+    """
+    plain, other = [], []
+    for word in words:
+        text = word.decode()
+        (plain if len(word) <= CACHED_LENGTH and text.isalpha() and max(text) < "\u0100" else other).append((word, text))
+    groups = [plain[k : k + 200] for k in range(0, len(plain), 200)]
+    for group, made in zip(groups, tokenizer.encode_batch_fast([" ".join(t for _, t in g) for g in groups], add_special_tokens=False)):
+        ids = np.array(made.ids, "<u4")
+        stops = ((np.flatnonzero(ends[ids]) + 1) * 4).tolist()
+        if len(stops) != len(group):
+            other += group
+            continue
+        data, start = ids.tobytes(), 0
+        for (word, _), stop in zip(group, stops):
+            yield word, data[start:stop]
+            start = stop
+    for (word, _), made in zip(other, tokenizer.encode_batch_fast([t for _, t in other], add_special_tokens=False)):
+        yield word, np.array(made.ids, "<u4").tobytes()
+
+
+class WordIds:
+    """Ids of every word of some texts, for as long as the texts are worked on."""
+
+    def __init__(self, texts: list[list[bytes]], path: str):
+        self.tokenizer, self.ends, self.known = _tokenizer(path)
+        words = set().union(*texts)
+        if len(self.known) > CACHED_WORDS:
+            self.known.clear()
+        new = list(words.difference(self.known))
+        self.long = [w for w in new if len(w) > CACHED_LENGTH]
+        for k in range(0, len(new), 20_000):
+            self.known.update(_encode(new[k : k + 20_000], self.tokenizer, self.ends))
+
+    def __enter__(self) -> dict[bytes, bytes]:
+        return self.known
+
+    def __exit__(self, *_) -> None:
+        for word in self.long:
+            self.known.pop(word, None)
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -84,11 +128,11 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int, end_id: int = 0,
         for batch in batches:
             for k in range(0, batch.num_rows, 512):
                 part = batch.slice(k, 512)
-                texts = [(t or "").encode().split() for t in part.column(1).to_pylist()]
-                known = word_ids(set().union(*texts), tokenizer_path)
+                texts = [_words(t) for t in part.column(1).to_pylist()]
                 row, piece, start, data = [], [], [], []
-                for i, words in enumerate(texts):
-                    ids = b"".join(map(known.__getitem__, words)) + end
+                with WordIds(texts, tokenizer_path) as known:
+                    whole = [b"".join(map(known.__getitem__, words)) + end for words in texts]
+                for i, ids in enumerate(whole):
                     for n, at in enumerate(range(0, len(ids), 4 * capacity)):
                         row.append(i)
                         piece.append(n)

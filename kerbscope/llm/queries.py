@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbscope.llm import bpe, katz, language, lattice, merkle, onebit, packing, toxicity
+from kerbscope.llm import bpe, groups, katz, language, lattice, merkle, onebit, packing, toxicity, winnow
 from kerbscope.llm.common import crc_fold, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -91,6 +91,17 @@ def op3_katz_scores(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_winnowed_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Every text without its repeated runs, and which lines were removed."""
+    return winnow.remove_repeats(read_table(spark, folder, "documents").select("doc_id", "text")).select(
+        "doc_id",
+        "n_lines",
+        F.coalesce(F.aggregate("removed", F.lit(0), lambda n, r: n + r["end"] - r["start"] + 1), F.lit(0)).alias("n_removed"),
+        F.array_join(F.transform("removed", lambda r: F.concat_ws("-", r["start"], r["end"])), " ").alias("removed_lines"),
+        "text",
+    )
+
+
 def op5_onebit_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return onebit.search(read_table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
@@ -127,16 +138,22 @@ def op9_configuration_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_group_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return groups.near_duplicates(read_table(spark, folder, "documents"), percent=80)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_lattice_near_duplicates": op1_lattice_near_duplicates,
         "op2_merkle_audit": op2_merkle_audit,
         "op3_katz_scores": op3_katz_scores,
+        "op4_winnowed_lines": op4_winnowed_lines,
         "op5_onebit_neighbours": op5_onebit_neighbours,
         "op6_kernel_language": op6_kernel_language,
         "op7_bitmap_bpe": op7_bitmap_bpe,
         "op8_clause_toxicity": op8_clause_toxicity,
         "op9_configuration_packing": op9_configuration_packing,
+        "op10_group_jaccard": op10_group_jaccard,
     }
 
 
