@@ -1,11 +1,10 @@
 """Positions and running totals over a whole ordered table.
 
-A window without partition keys sends every row to one task.  Here the table's
-row count is checked first: up to ``SINGLE_TASK_ROWS`` one sorted task is the
-cheapest way; beyond it the rows are range partitioned by the sort key into
-blocks, each block is numbered in parallel, and every block is shifted by the
-totals of the blocks before it.  The block number is written with the rows, so
-a recomputed task can never see another split.
+A window without partition keys sends every row to one task.  Here the rows are
+range partitioned by the sort key into blocks, each block is numbered in
+parallel, and every block is shifted by the totals of the blocks before it.  The
+block number is written with the rows, so a recomputed task can never see
+another split.  Small tables go the same way; Spark merges their blocks.
 """
 
 from __future__ import annotations
@@ -18,8 +17,6 @@ from pyspark.sql import functions as F
 from kerbscope.functions.numeric import sort_value
 from kerbscope.staging import stage
 
-SINGLE_TASK_ROWS = 1_000_000
-
 
 def running_total(
     table: DataFrame,
@@ -27,22 +24,14 @@ def running_total(
     order: Sequence[Column],
     name: str,
     by: Sequence[str] = (),
-    single_task_rows: int = SINGLE_TASK_ROWS,
 ) -> DataFrame:
     """Add ``name``: the inclusive running sum of ``amount`` in ``order`` within ``by``.
 
-    ``order`` must be total within ``by``.  ``table`` should be staged: it is counted.
+    ``order`` must be total within ``by``.  The number of blocks is the session's
+    ``spark.sql.shuffle.partitions``.
     """
-    count = table.count()
-    if count <= single_task_rows:
-        window = Window.partitionBy(*by).orderBy(*order)
-        return table.withColumn(
-            name, F.sum(amount).over(window.rowsBetween(Window.unboundedPreceding, 0))
-        )
-
-    blocks = -(-count // single_task_rows) * 2
     split = stage(
-        table.repartitionByRange(blocks, *[F.col(c) for c in by], *order).withColumns(
+        table.repartitionByRange(*[F.col(c) for c in by], *order).withColumns(
             {"_block": F.spark_partition_id(), "_amount": amount}
         ),
         "blocks",
@@ -58,7 +47,7 @@ def running_total(
     )
     return (
         split.withColumn("_inside", F.sum("_amount").over(inside))
-        .join(F.broadcast(shift.drop("_total")), [*by, "_block"])
+        .join(shift.drop("_total"), [*by, "_block"])
         .withColumn(name, F.col("_shift") + F.col("_inside"))
         .drop("_block", "_amount", "_inside", "_shift")
     )
@@ -69,17 +58,9 @@ def by_score(score: str, key: str = "grid_id") -> list[Column]:
     return [sort_value(F.col(score)).desc(), F.col(key).asc()]
 
 
-def with_rank(
-    table: DataFrame,
-    score: str,
-    name: str,
-    key: str = "grid_id",
-    single_task_rows: int = SINGLE_TASK_ROWS,
-) -> DataFrame:
+def with_rank(table: DataFrame, score: str, name: str, key: str = "grid_id") -> DataFrame:
     """Rank 1..n of the whole table as the first column."""
-    ranked = running_total(
-        table, F.lit(1), by_score(score, key), name, single_task_rows=single_task_rows
-    )
+    ranked = running_total(table, F.lit(1), by_score(score, key), name)
     return ranked.select(F.col(name).cast("int").alias(name), *table.columns)
 
 
@@ -99,32 +80,14 @@ def top_per_group(
     return table.withColumn(name, F.row_number().over(window)).filter(F.col(name) <= n)
 
 
-def average_rank(
-    table: DataFrame,
-    value: str,
-    name: str,
-    by: Sequence[str],
-    group_rows: int,
-    single_task_rows: int = SINGLE_TASK_ROWS,
-) -> DataFrame:
-    """Add the ascending rank of ``value`` within ``by``; equal values share the mean rank.
+def average_rank(table: DataFrame, value: str, name: str, by: Sequence[str]) -> DataFrame:
+    """Add the ascending rank of ``value`` (not null) within ``by``; equal values share the mean rank.
 
-    ``group_rows`` is a counted upper bound of a group's rows.  Groups that may
-    be larger than one task's share are ranked through their distinct values:
-    equal values are counted before any shuffle, the running total of the counts
+    Equal values are counted before any shuffle, the running total of the counts
     gives each value's last position, and the rank comes back by an equality
     join, which Spark sizes (broadcast) or splits (skewed value) at run time.
     """
-    if group_rows <= single_task_rows:
-        first = F.rank().over(Window.partitionBy(*by).orderBy(value))
-        ties = F.count(F.lit(1)).over(Window.partitionBy(*by, value))
-        return table.withColumn(name, first + (ties - 1) / F.lit(2.0))
-
-    distinct_values = stage(
-        table.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n")), "value-counts"
-    )
-    placed = running_total(
-        distinct_values, F.col("_n"), [F.col(value)], "_last", by, single_task_rows
-    )
+    counts = table.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
+    placed = running_total(counts, F.col("_n"), [F.col(value)], "_last", by)
     rank = F.col("_last") - (F.col("_n") - 1) / F.lit(2.0)
     return table.join(placed.select(*by, value, rank.alias(name)), [*by, value])

@@ -109,9 +109,7 @@ def best_blend(hybrid: DataFrame, search: DataFrame, ks: Sequence[int] = KS) ->
     return means.withColumn("best_weights", weights)
 
 
-def blend_rank(
-    features: DataFrame, weights: DataFrame, single_task_rows: int = ordering.SINGLE_TASK_ROWS
-) -> DataFrame:
+def blend_rank(features: DataFrame, weights: DataFrame) -> DataFrame:
     """Rank cells by the blend; ``weights`` is a one-row table of the five weights."""
     w = weights.select(F.struct(*FEATURES)).scalar()
     scored = (
@@ -120,9 +118,7 @@ def blend_rank(
         .withColumn("model_priority_score", blending.blend_score(F.col("_w")))
         .drop("_w")
     )
-    return ordering.with_rank(
-        scored, "model_priority_score", "model_rank", single_task_rows=single_task_rows
-    )
+    return ordering.with_rank(scored, "model_priority_score", "model_rank")
 
 
 def final_ranking(prepared: PreparedWindows, search: DataFrame) -> DataFrame:

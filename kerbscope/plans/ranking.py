@@ -10,7 +10,6 @@ from kerbscope.operators.cells import hotspot_cells
 from kerbscope.operators.cleaning import clean_events
 from kerbscope.operators.scoring import COMPONENTS, classify, score_cells
 from kerbscope.settings import CleanSettings
-from kerbscope.sources.violations import spread
 from kerbscope.staging import stage
 
 SCORE = "congestion_impact_score"
@@ -66,7 +65,7 @@ def event_table(violations: DataFrame, settings: CleanSettings | None = None) ->
     hours); each pass then scans only its own columns instead of parsing the raw
     texts again.
     """
-    return stage(clean_events(spread(violations), settings).select(*EVENT_COLUMNS), "events")
+    return stage(clean_events(violations, settings).select(*EVENT_COLUMNS), "events")
 
 
 def hotspots(events: DataFrame) -> DataFrame:
@@ -79,9 +78,9 @@ def hotspots(events: DataFrame) -> DataFrame:
     return classify(score_cells(cells)).select(*HOTSPOT_COLUMNS)
 
 
-def rank_hotspots(scored: DataFrame, single_task_rows: int = ordering.SINGLE_TASK_ROWS) -> DataFrame:
+def rank_hotspots(scored: DataFrame) -> DataFrame:
     """All cells with ``priority_rank`` 1..n."""
-    return ordering.with_rank(scored, SCORE, "priority_rank", single_task_rows=single_task_rows)
+    return ordering.with_rank(scored, SCORE, "priority_rank")
 
 
 def top_hotspots(scored: DataFrame, n: int) -> DataFrame:

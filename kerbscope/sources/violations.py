@@ -52,17 +52,6 @@ def require_utc(spark: SparkSession) -> None:
         raise ValueError(f"set spark.sql.session.timeZone to UTC (is {zone!r})")
 
 
-def spread(raw: DataFrame) -> DataFrame:
-    """Use all cores for an input of few pieces, such as one compressed file.
-
-    Cleaning is bound by text parsing, so such an input is dealt out to the cores
-    first.  An input with a piece per core, any large one, is not moved.  ``raw``
-    is a scan: asking for its pieces plans it and runs nothing.
-    """
-    cores = raw.sparkSession.sparkContext.defaultParallelism
-    return raw.repartition(cores) if raw.rdd.getNumPartitions() < cores else raw
-
-
 def normalise(raw: DataFrame) -> DataFrame:
     """The nine raw columns, typed; unreadable or NaN coordinates become null."""
     coordinates = {c: F.nanvl(F.col(c).try_cast("double"), F.lit(None)) for c in _COORDINATES}
