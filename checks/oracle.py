@@ -6,7 +6,7 @@ window it belongs to, ranks by window functions, modes by counting and sorting.
 
 from __future__ import annotations
 
-from checks.queries import KS
+from checks.queries import KS, SINKS
 from kerbscope.operators.scoring import COMPONENTS
 from kerbscope.plans.model import RANKED_COLUMNS
 from kerbscope.settings import (
@@ -467,7 +467,15 @@ def chain(*parts: str) -> str:
     return "WITH " + ",".join(p.rstrip() for p in parts) + "\n"
 
 
-def all_sql() -> dict[str, str]:
+# What a CSV scan reads as missing is NULL, all else comes back as it was.
+_CSV_SCAN = """SELECT id, created_datetime, latitude, longitude, nullif(violation_type, '') AS violation_type,
+  vehicle_type, vehicle_number, police_station,
+  CASE id % 13 WHEN 0 THEN 'MAIN' || chr(10) || 'ROAD "EAST", 2' WHEN 3 THEN 'A, B' WHEN 4 THEN 'say "no"'
+    WHEN 5 THEN ' blank ends ' WHEN 1 THEN NULL WHEN 2 THEN NULL WHEN 6 THEN NULL ELSE junction_name END AS junction_name
+  FROM violations"""
+
+
+def _plain_sql() -> dict[str, str]:
     clean = (VIOLATIONS, CALENDAR, CLEAN)
     hot = (*clean, HOTSPOTS)
     weights = ("violation_severity", "vehicle_pcu", "junction_weight", "peak_weight", "incident_impact")
@@ -489,6 +497,7 @@ def all_sql() -> dict[str, str]:
     blend_cols = ", ".join([*FEATURES, "backtest_windows", *_MEANS])
     stations_of_clean = (*clean, HOTSPOTS, STATION_SCORES)
     return {
+        "csv_scan": chain(VIOLATIONS) + _CSV_SCAN,
         "clean_events": chain(*clean)
         + f"""SELECT id, strftime(local_ts, '%Y-%m-%d %H:%M:%S') AS created_at_ist,
           array_to_string(items, ' | ') AS violation_items, parking_violation, date, month, weekday, hour,
@@ -640,3 +649,22 @@ def all_sql() -> dict[str, str]:
           UNION ALL SELECT 'hotspot_priority', count(*) FROM hotspots
           UNION ALL SELECT 'absent', 0""",
     }
+
+
+# Texts that may be empty; an empty text is read again as missing.
+_MAY_BE_EMPTY = {
+    "hotspot_ranked": ("police_station", "junction_name", "top_vehicle_type"),
+    "shift_plan": ("police_station", "junction_name"),
+    "final_ranking": ("police_station", "junction_name"),
+}
+
+
+def _read_again(name: str, sql: str) -> str:
+    texts = ", ".join(f"nullif({c}, '') AS {c}" for c in _MAY_BE_EMPTY.get(name, ()))
+    return f"SELECT * REPLACE ({texts}) FROM ({sql})" if texts else sql
+
+
+def all_sql() -> dict[str, str]:
+    """What is written and read again is the table itself."""
+    found = _plain_sql()
+    return found | {f"sink_{name}": _read_again(name, found[name]) for name in SINKS}

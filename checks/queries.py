@@ -25,6 +25,7 @@ from kerbscope.plans import model, ranking, views
 from kerbscope.settings import CANDIDATES, FEATURES, KS, CleanSettings
 from kerbscope.sources import tables
 from kerbscope.sources.event_mapping import read_event_violations
+from kerbscope.sources.violations import read_violations
 from kerbscope.staging import new_path, stage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -243,8 +244,8 @@ def hour_profile(spark, folder):
 
 def run_summary(spark, folder):
     raw = violations(spark, folder)
-    cleaned = ranking.event_table(raw)
-    summary = ranking.run_summary(raw, cleaned, ranking.hotspots(cleaned))
+    cleaned, input_rows = ranking.counted_event_table(raw)
+    summary = ranking.run_summary(input_rows, cleaned, ranking.hotspots(cleaned))
     top = "top_hotspot."
     return summary.select(
         "input_rows",
@@ -450,6 +451,42 @@ def kpi_strip(spark, folder):
     return strip.select(*[_six(c) if c in doubles else c for c in strip.columns])
 
 
+def csv_scan(spark, folder):
+    """Raw records through a CSV file, with line breaks, quotes, commas and missing marks in them."""
+    odd = {
+        0: 'MAIN\nROAD "EAST", 2',
+        1: "NA",
+        2: "n/a",
+        3: "A, B",
+        4: 'say "no"',
+        5: " blank ends ",
+        6: "null",
+    }
+    rule = F.lit(None).cast("string")
+    for k, text in odd.items():
+        rule = F.when(F.col("id") % 13 == k, F.lit(text)).otherwise(rule)
+    raw = violations(spark, folder)
+    path = f"{new_path(spark, 'violations')}.csv"
+    tables.write_csv(raw.withColumn("junction_name", F.when(F.col("id") % 13 > 6, F.col("junction_name")).otherwise(rule)), path)
+    return read_violations(spark, path)
+
+
+def _through_csv(name: str, query: Query) -> Query:
+    """The table of another query, written and read back."""
+
+    def run(spark, folder):
+        table = query(spark, folder)
+        path = new_path(spark, name)
+        tables.write_csv(table, path)
+        return tables.read_csv_table(spark, path, table.schema)
+
+    return run
+
+
+#: Tables that the jobs write; each is compared whole after writing and reading.
+SINKS = ("hotspot_ranked", "station_priority", "shift_plan", "month_hour_profile", "backtest", "weight_search", "final_ranking")
+
+
 def sink_roundtrip(spark, folder):
     """Profile, plan and hotspot tables through CSV, and a table that was never written."""
     cleaned, hot, _ = _station_summary(spark, folder)
@@ -469,7 +506,7 @@ def sink_roundtrip(spark, folder):
                 F.lit("quoted_grid_id").alias("table_name"), F.count(F.lit(1)).alias("n_rows")
             )
             sizes.append(cell_ids)
-    absent = tables.read_csv_table(spark, new_path(spark, "absent"), hot.schema)
+    absent = tables.read_csv_table(spark, new_path(spark, "absent"), hot.schema, optional=True)
     sizes.append(absent.agg(F.lit("absent").alias("table_name"), F.count(F.lit(1)).alias("n_rows")))
     out = sizes[0]
     for part in sizes[1:]:
@@ -478,7 +515,13 @@ def sink_roundtrip(spark, folder):
 
 
 def all_queries() -> dict[str, Query]:
+    found = _plain_queries()
+    return found | {f"sink_{name}": _through_csv(name, found[name]) for name in SINKS}
+
+
+def _plain_queries() -> dict[str, Query]:
     return {
+        "csv_scan": csv_scan,
         "clean_events": clean_events,
         "parse_items": parse_items,
         "calendar_features": calendar_features,

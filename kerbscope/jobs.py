@@ -3,7 +3,9 @@
     spark-submit kerbscope/jobs.py hotspots --input <csv or parquet> --output <folder>
 
 The input is the argument, else the ``KERBSCOPE_INPUT`` setting, else
-``data/violations.csv``.  Every table becomes a folder under the output.
+``data/violations.csv`` (for ``views``, the tables in ``outputs``).  ``hotspots``,
+``evaluate`` and ``model`` also take the ``cleaned_events`` folder of ``clean``.  Every
+table becomes a folder under the output and replaces an older one.
 """
 
 from __future__ import annotations
@@ -11,7 +13,7 @@ from __future__ import annotations
 import argparse
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from kerbscope.operators.cleaning import clean_events
@@ -19,7 +21,7 @@ from kerbscope.operators.profiles import hour_profile, month_hour_profile
 from kerbscope.operators.stations import order_stations
 from kerbscope.plans import backtest as bt
 from kerbscope.plans import model, ranking, views
-from kerbscope.settings import FEATURES, KS
+from kerbscope.settings import FEATURES, INTERPRETATION, KS
 from kerbscope.sources.tables import (
     read_csv_table,
     read_or_empty,
@@ -31,26 +33,47 @@ from kerbscope.sources.violations import read_violations
 from kerbscope.staging import remove_staged, stage
 
 DEFAULT_INPUT = "data/violations.csv"
+DEFAULT_TABLES = "outputs"
 
 
-def resolve_input(argument: str | None) -> str:
-    return argument or os.environ.get("KERBSCOPE_INPUT") or DEFAULT_INPUT
+def resolve_input(argument: str | None, default: str = DEFAULT_INPUT) -> str:
+    return argument or os.environ.get("KERBSCOPE_INPUT") or default
 
 
-def run_clean(spark: SparkSession, source: str, output: str) -> None:
-    """Cleaned events as parquet by month, for queries that name a month."""
-    write_events(clean_events(read_violations(spark, source)), f"{output}/cleaned_events")
+def _is_cleaned(source: str) -> bool:
+    return source.rstrip("/").endswith("cleaned_events")
 
 
-def run_hotspots(spark: SparkSession, source: str, output: str) -> None:
+def read_events(spark: SparkSession, source: str, multi_line: bool = True) -> DataFrame:
+    """Events for a plan: the table of the ``clean`` job as it is, or raw records cleaned once."""
+    if _is_cleaned(source):
+        return spark.read.parquet(source)
+    return ranking.event_table(read_violations(spark, source, multi_line))
+
+
+def run_clean(spark: SparkSession, source: str, output: str, multi_line: bool = True) -> None:
+    """Cleaned events as parquet by month, which the other jobs take as input, and the input's size."""
+    seen = Observation("violations")
+    raw = read_violations(spark, source, multi_line).observe(seen, F.count(F.lit(1)).alias("rows"))
+    write_events(clean_events(raw), f"{output}/cleaned_events")
+    record = spark.range(1).select(F.lit(seen.get["rows"]).cast("long").alias("input_rows"))
+    write_json(record, f"{output}/clean_summary")
+
+
+def run_hotspots(spark: SparkSession, source: str, output: str, multi_line: bool = True) -> None:
     """Hotspots, stations, shift plan, profile, sample and the run summary."""
-    raw = read_violations(spark, source)
-    events = ranking.event_table(raw)
+    if _is_cleaned(source):
+        cleaned = spark.read.parquet(source)
+        events, sample = cleaned.select(*ranking.EVENT_COLUMNS), ranking.clean_sample(cleaned)
+        record = f"{source.rstrip('/').removesuffix('cleaned_events')}clean_summary"
+        input_rows = spark.read.schema("input_rows long").json(record).first()["input_rows"]
+    else:
+        raw = read_violations(spark, source, multi_line)
+        events, input_rows = ranking.counted_event_table(raw)
+        sample = ranking.sample_of(events, raw)
     hot = stage(ranking.hotspots(events), "hotspots")
     tables = {
-        "cleaned_sample_records": ranking.clean_sample(clean_events(raw)).withColumn(
-            "violation_items", F.to_json("violation_items")
-        ),
+        "cleaned_sample_records": sample.withColumn("violation_items", F.to_json("violation_items")),
         "hotspot_priority": ranking.rank_hotspots(hot).orderBy("priority_rank"),
         "station_priority_summary": order_stations(ranking.station_summary(events, hot)),
         "enforcement_shift_plan": ranking.shift_plan(events, hot),
@@ -59,7 +82,7 @@ def run_hotspots(spark: SparkSession, source: str, output: str) -> None:
     for name, table in tables.items():
         write_csv(table, f"{output}/{name}")
     names = F.array(*[F.lit(n) for n in tables])
-    summary = ranking.run_summary(raw, events, hot).withColumn("outputs", names)
+    summary = ranking.run_summary(input_rows, events, hot).withColumn("outputs", names)
     write_json(summary, f"{output}/run_summary")
 
 
@@ -73,12 +96,13 @@ def backtest_summary(results: DataFrame, ks=KS) -> DataFrame:
         "backtest_windows",
         F.struct(*names).alias("metrics_mean"),
         rows.scalar().alias("metrics_by_month"),  # one element per tested month
+        F.struct(*[F.lit(text).alias(name) for name, text in INTERPRETATION.items()]).alias("interpretation"),
     )
 
 
-def run_evaluation(spark: SparkSession, source: str, output: str) -> None:
+def run_evaluation(spark: SparkSession, source: str, output: str, multi_line: bool = True) -> None:
     """Back-test of the plain score."""
-    events = clean_events(read_violations(spark, source))
+    events = read_events(spark, source, multi_line)
     results = stage(bt.backtest(events), "backtest-result")
     write_csv(results.orderBy("test_month"), f"{output}/prediction_quality_backtest")
     summary = backtest_summary(results)
@@ -98,9 +122,9 @@ def model_summary(hybrid: DataFrame, search: DataFrame, outputs: list[str]) -> D
     )
 
 
-def run_model(spark: SparkSession, source: str, output: str) -> None:
+def run_model(spark: SparkSession, source: str, output: str, multi_line: bool = True) -> None:
     """Blend search, the winner's back-test and the final ranking."""
-    events = ranking.event_table(read_violations(spark, source))
+    events = read_events(spark, source, multi_line)
     prepared = model.prepare(events)
     detail = stage(model.candidate_backtest(prepared), "candidates")
     search = stage(model.weight_search(detail), "search")
@@ -158,11 +182,11 @@ def _blank(c: str):
     return F.coalesce(c, F.lit(""))
 
 
-def run_views(spark: SparkSession, source: str, output: str) -> None:
-    """View tables from the written tables; model tables that are absent read as empty."""
+def run_views(spark: SparkSession, source: str, output: str, multi_line: bool = True) -> None:
+    """View tables from the written tables; only the model's tables may be absent, and read as empty."""
 
-    def table(name: str, schema: str) -> DataFrame:
-        return read_csv_table(spark, f"{source}/{name}", schema)
+    def table(name: str, schema: str, optional: bool = False) -> DataFrame:
+        return read_csv_table(spark, f"{source}/{name}", schema, optional)
 
     hot = stage(table("hotspot_priority", HOTSPOT_SCHEMA), "hotspots").drop("priority_rank")
     hot = hot.withColumns({c: _blank(c) for c in ("police_station", "junction_name", "top_vehicle_type")})
@@ -177,8 +201,8 @@ def run_views(spark: SparkSession, source: str, output: str) -> None:
         "stations": views.station_view(station),
         "shifts": views.shift_view(table("enforcement_shift_plan", SHIFT_SCHEMA)),
         "hours": hour_profile(table("month_hour_profile", PROFILE_SCHEMA)).orderBy("hour"),
-        "model": views.model_view(table("hybrid_model_ranked_hotspots", MODEL_SCHEMA)),
-        "backtest": views.backtest_view(table("hybrid_model_backtest", HYBRID_SCHEMA)),
+        "model": views.model_view(table("hybrid_model_ranked_hotspots", MODEL_SCHEMA, optional=True)),
+        "backtest": views.backtest_view(table("hybrid_model_backtest", HYBRID_SCHEMA, optional=True)),
         "map_points": views.map_points(view),
         "preview_points": views.preview_points(hot),
         "records": views.record_view(view),
@@ -205,7 +229,8 @@ def main() -> None:
     parser = argparse.ArgumentParser(description="Run one batch job.")
     parser.add_argument("job", choices=sorted(JOBS))
     parser.add_argument("--input")
-    parser.add_argument("--output", default="outputs")
+    parser.add_argument("--output", default=DEFAULT_TABLES)
+    parser.add_argument("--split-lines", action="store_true", help="no field of the CSV holds a line break, so files can be split")
     args = parser.parse_args()
     spark = (
         SparkSession.builder.appName(f"kerbscope-{args.job}")
@@ -213,7 +238,8 @@ def main() -> None:
         .getOrCreate()
     )
     try:
-        JOBS[args.job](spark, resolve_input(args.input), args.output)
+        default = DEFAULT_TABLES if args.job == "views" else DEFAULT_INPUT
+        JOBS[args.job](spark, resolve_input(args.input, default), args.output, not args.split_lines)
     finally:
         remove_staged(spark)
         spark.stop()

@@ -74,9 +74,10 @@ def _columns(expressions: dict[str, str]) -> dict:
 def keep_complete(violations: DataFrame, settings: CleanSettings) -> DataFrame:
     """Rows with a readable time, latitude and longitude (NaN counts as missing)."""
     time = local_time("created_datetime", settings.zone)
-    return compute_once(violations, "created_at_ist", time).dropna(
-        subset=["created_at_ist", "latitude", "longitude"]
-    )
+    # On the raw columns first: these reach the scan, and no time text is parsed in vain.
+    placed = violations.filter("latitude IS NOT NULL").filter("longitude IS NOT NULL")
+    placed = placed.filter("created_datetime IS NOT NULL AND NOT isnan(latitude) AND NOT isnan(longitude)")
+    return compute_once(placed, "created_at_ist", time).filter("created_at_ist IS NOT NULL")
 
 
 def keep_parking(events: DataFrame) -> DataFrame:

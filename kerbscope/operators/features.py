@@ -36,9 +36,9 @@ def station_means(history: DataFrame, by: tuple[str, ...] = ("window_id",)) -> D
 
 def population_median(table: DataFrame, value: str, by: tuple[str, ...] = ("window_id",)) -> DataFrame:
     """Exact median of ``value`` per population from value counts and their running total."""
-    counts = stage(table.groupBy(*by, value).agg(F.count(F.lit(1)).alias("n")), "median-counts")
+    counts = table.groupBy(*by, value).agg(F.count(F.lit(1)).alias("n"))
     placed = running_total(counts, F.col("n"), [F.col(value)], "through", by)
-    sizes = counts.groupBy(*by).agg(F.sum("n").alias("total"))  # one row per population
+    sizes = table.groupBy(*by).agg(F.count(value).alias("total"))  # one row per population
     middle = placed.join(F.broadcast(sizes), list(by)).filter(
         (F.col("through") - F.col("n") < F.floor(F.col("total") / 2) + 1)
         & (F.col("through") >= F.floor((F.col("total") + 1) / 2))
@@ -76,16 +76,22 @@ def _as_of(scores: DataFrame, months_back: int, name: str) -> DataFrame:
 def prediction_features(events: DataFrame, facts: MonthlyFacts, scores: DataFrame) -> DataFrame:
     """Five features per (window, cell), each 0..100 within its window.
 
-    The station mean comes from the same rows it is joined to, and a modal
-    station is never null, so that join always finds its row.  The value a miss
-    would take, the population median, is ``population_median``.
+    A cell whose station has no mean takes the median score of its window.
     """
     history = stage(history_with_station(events, facts), "history")
+    return features_of(history, station_means(history), scores)
+
+
+def features_of(history: DataFrame, means: DataFrame, scores: DataFrame) -> DataFrame:
+    medians = population_median(history, "history")
     joined = (
         history.join(_as_of(scores, 1, "last_month"), ["window_id", "grid_id"], "left")
         .join(_as_of(scores, 2, "prev_month"), ["window_id", "grid_id"], "left")
         .fillna(0.0, subset=["last_month", "prev_month"])
-        .join(station_means(history), ["window_id", "police_station"])
+        .join(means, ["window_id", "police_station"], "left")
+        .join(medians, "window_id")
+        .withColumn("station", F.coalesce("station", "median_score"))
+        .drop("median_score")
     )
     trend = F.col("last_month") - F.col("prev_month")
     peak_junction = 0.55 * F.col("peak_hour_weight_score") + 0.45 * F.col("junction_proximity_score")

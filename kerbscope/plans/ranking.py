@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from kerbscope.operators import ordering, shifts, stations
@@ -103,14 +103,28 @@ def clean_sample(events: DataFrame, n: int = 5000) -> DataFrame:
     return events.orderBy("id").limit(n)
 
 
-def run_summary(violations: DataFrame, events: DataFrame, scored: DataFrame) -> DataFrame:
+def counted_event_table(violations: DataFrame, settings: CleanSettings | None = None) -> tuple[DataFrame, int]:
+    """Event table and the number of input rows, from one pass over the input."""
+    seen = Observation("violations")
+    events = event_table(violations.observe(seen, F.count(F.lit(1)).alias("rows")), settings)
+    return events, seen.get["rows"]
+
+
+def sample_of(events: DataFrame, violations: DataFrame, n: int = 5000, settings: CleanSettings | None = None) -> DataFrame:
+    """The cleaned sample with all cleaned columns: only the chosen raw rows are cleaned again."""
+    chosen = clean_sample(events.select("id"), n)
+    raw = violations.join(F.broadcast(chosen.distinct()), "id", "left_semi")  # n ids at most
+    return clean_sample(clean_events(raw, settings), n)
+
+
+def run_summary(input_rows: int, events: DataFrame, scored: DataFrame) -> DataFrame:
     """One record: input rows, rows kept, cells, critical cells and the top cell."""
     top = top_hotspots(scored, 1)
     return scored.agg(
         F.count(F.lit(1)).alias("hotspots"),
         F.count_if(F.col("risk_band") == "Critical").alias("critical_hotspots"),
     ).select(
-        violations.select("id").agg(F.count(F.lit(1))).scalar().alias("input_rows"),
+        F.lit(input_rows).cast("long").alias("input_rows"),
         events.agg(F.count(F.lit(1))).scalar().alias("parking_rows_used"),
         "hotspots",
         "critical_hotspots",

@@ -87,6 +87,13 @@ CANDIDATES = (
 )
 
 KS = (20, 50, 100)
+
+# What the evaluation record says of its metrics.
+INTERPRETATION = {
+    "precision_at_k": "Share of predicted top-k enforcement hotspots that also appeared in the actual top-k next month.",
+    "ndcg_at_k": "Ranking quality where higher-ranked actual high-impact hotspots are rewarded more.",
+    "spearman_score_correlation": "Rank correlation between historical hotspot score and next-month hotspot score for repeated grid cells.",
+}
 # ------------------------------------------------------------ end fixed values
 
 

@@ -8,17 +8,24 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
-_CSV = {"header": True, "quote": '"', "escape": '"'}
+# Blanks around a text are part of it, in both directions.
+_CSV = {
+    "header": True,
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """CSV folder with a header; a field with a comma is quoted."""
-    df.write.options(**_CSV).csv(path)
+    """CSV folder with a header; a field with a comma is quoted.  An older table is replaced."""
+    df.write.mode("overwrite").options(**_CSV).csv(path)
 
 
 def write_json(df: DataFrame, path: str) -> None:
-    """One JSON record per line, null fields kept, UTF-8."""
-    df.write.option("ignoreNullFields", False).json(path)
+    """One JSON record per line, null fields kept, UTF-8.  An older table is replaced."""
+    df.write.mode("overwrite").option("ignoreNullFields", False).json(path)
 
 
 def write_events(events: DataFrame, path: str) -> None:
@@ -27,7 +34,7 @@ def write_events(events: DataFrame, path: str) -> None:
     Rows are rebalanced by (month, day), so that a month is written by as many
     tasks as its days need and AQE splits a day that is too large for one.
     """
-    events.hint("rebalance", F.col("month"), F.col("date")).write.partitionBy("month").parquet(path)
+    events.hint("rebalance", F.col("month"), F.col("date")).write.mode("overwrite").partitionBy("month").parquet(path)
 
 
 def read_or_empty(
@@ -42,5 +49,9 @@ def read_or_empty(
         return spark.createDataFrame([], schema)
 
 
-def read_csv_table(spark: SparkSession, path: str, schema) -> DataFrame:
-    return read_or_empty(spark, schema, lambda reader: reader.options(**_CSV).csv(path))
+def read_csv_table(spark: SparkSession, path: str, schema, optional: bool = False) -> DataFrame:
+    """A table that ``write_csv`` wrote; only an ``optional`` one may be absent, and reads as empty."""
+    options = {**_CSV, "multiLine": True}
+    if optional:
+        return read_or_empty(spark, schema, lambda reader: reader.options(**options).csv(path))
+    return spark.read.schema(schema).options(**options).csv(path)

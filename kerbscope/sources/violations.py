@@ -18,6 +18,7 @@ RAW_COLUMNS = (
     "junction_name",
 )
 _COORDINATES = ("latitude", "longitude")
+_TORN = "_torn_record"
 
 # ---------------------------------------------------------------- fixed values
 # Cell texts that a CSV scan reads as missing.
@@ -53,32 +54,50 @@ def require_utc(spark: SparkSession) -> None:
 
 
 def normalise(raw: DataFrame) -> DataFrame:
-    """The nine raw columns, typed; unreadable or NaN coordinates become null."""
-    coordinates = {c: F.nanvl(F.col(c).try_cast("double"), F.lit(None)) for c in _COORDINATES}
-    return raw.select(*RAW_COLUMNS).withColumns(coordinates)
+    """The nine raw columns with one type each, whatever the format.
+
+    Ids are whole numbers; a text that is none is an error.  Unreadable
+    coordinates become null; columns that are doubles already stay as they are, so
+    that filters on them reach the scan.
+    """
+    kinds = dict(raw.dtypes)
+    typed = {c: F.col(c).try_cast("double") for c in _COORDINATES if kinds[c] != "double"}
+    if kinds["id"] != "bigint":
+        typed["id"] = F.col("id").cast("long")
+    return raw.select(*RAW_COLUMNS).withColumns(typed)
 
 
 def read_csv(
     spark: SparkSession,
     path: str,
     columns: tuple[str, ...] = RAW_COLUMNS,
-    multi_line: bool = False,
+    multi_line: bool = True,
 ) -> DataFrame:
     """CSV with a header, commas and doubled quotes; columns are found by header name.
 
     A missing path raises Spark's PATH_NOT_FOUND.  The header alone is read for
-    the column names; nothing is inferred from the data.  ``multi_line`` allows
-    line breaks inside quotes, at the price that a file cannot be split.
+    the column names; nothing is inferred from the data.  Line breaks inside
+    quotes belong to the field, at the price that a file cannot be split; without
+    ``multi_line`` files are split, and a record that a line break tore apart is an
+    error when all columns are read.
     """
     require_utc(spark)
     options = {"header": True, "quote": '"', "escape": '"', "multiLine": multi_line}
     header = spark.read.options(**options, inferSchema=False).csv(path).columns
+    whole = set(RAW_COLUMNS) <= set(columns)
     schema = T.StructType([T.StructField(name, T.StringType()) for name in header])
-    rows = spark.read.schema(schema).options(**options, enforceSchema=False).csv(path)
+    if whole:
+        schema = schema.add(_TORN, T.StringType())
+    reader = spark.read.schema(schema).options(**options, enforceSchema=False, columnNameOfCorruptRecord=_TORN)
+    rows = reader.csv(path)
     cleaned = rows.select(
-        *[F.when(~F.col(c).isin(*NA_TOKENS), F.col(c)).alias(c) for c in columns]
+        *[F.when(~F.col(c).isin(*NA_TOKENS), F.col(c)).alias(c) for c in columns],
+        *([_TORN] if whole else []),
     )
-    return normalise(cleaned) if set(RAW_COLUMNS) <= set(columns) else cleaned
+    if not whole:
+        return cleaned
+    torn = F.raise_error(F.concat(F.lit("torn or malformed record: "), F.substring(_TORN, 1, 200)))
+    return normalise(cleaned.withColumn("id", F.when(F.col(_TORN).isNull(), F.col("id")).otherwise(torn)))
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
@@ -86,7 +105,7 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return normalise(spark.read.parquet(path))
 
 
-def read_violations(spark: SparkSession, path: str) -> DataFrame:
+def read_violations(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """CSV or parquet by the path's ending."""
     is_csv = path.rstrip("/").endswith((".csv", ".csv.gz"))
-    return read_csv(spark, path) if is_csv else read_parquet(spark, path)
+    return read_csv(spark, path, multi_line=multi_line) if is_csv else read_parquet(spark, path)

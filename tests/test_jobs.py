@@ -2,6 +2,7 @@ import json
 from pathlib import Path
 
 import pytest
+from pyspark.errors import AnalysisException
 
 from kerbscope import jobs
 from kerbscope.sources.event_mapping import read_event_violations
@@ -15,6 +16,7 @@ def written(spark, tmp_path_factory):
     write_csv(read_event_violations(spark, "/root/testdata/sf0.001"), source)
     out = f"{root}/out"
     jobs.run_hotspots(spark, source, out)
+    jobs.run_hotspots(spark, source, out)  # a second run replaces the tables
     jobs.run_views(spark, out, f"{out}/before")
     jobs.run_evaluation(spark, source, out)
     jobs.run_model(spark, source, out)
@@ -53,6 +55,7 @@ def test_summaries(written):
     assert [m["test_month"] for m in plain["metrics_by_month"]] == sorted(
         m["test_month"] for m in plain["metrics_by_month"]
     )
+    assert set(plain["interpretation"]) == {"precision_at_k", "ndcg_at_k", "spearman_score_correlation"}
     (blend,) = record(f"{written}/hybrid_model_summary")
     assert sum(blend["best_weights"].values()) == pytest.approx(1.0)
     assert set(blend["metrics_mean"]) >= {"precision_at_20", "ndcg_at_100", "spearman_score_correlation"}
@@ -77,9 +80,37 @@ def test_clean_job_writes_months(spark, tmp_path):
     assert len(list(Path(f"{out}/cleaned_events").glob("month=*"))) == 6
 
 
+def tables(out):
+    return {
+        p.name: sorted(line for f in p.glob("part-*") for line in f.read_text().splitlines())
+        for p in Path(out).iterdir()
+        if p.is_dir() and p.name not in ("cleaned_events", "clean_summary", "views", "before")
+    }
+
+
+def test_jobs_take_the_cleaned_table(spark, written, tmp_path):
+    source, out = f"{tmp_path}/v.parquet", f"{tmp_path}/out"
+    read_event_violations(spark, "/root/testdata/sf0.001").write.parquet(source)
+    jobs.run_clean(spark, source, out)
+    for job in (jobs.run_hotspots, jobs.run_evaluation, jobs.run_model):
+        job(spark, f"{out}/cleaned_events", out)
+    first, second = tables(written), tables(out)
+    assert set(first) == set(second)
+    for name in set(first) - {"cleaned_sample_records"}:
+        assert first[name] == second[name], name
+    assert len(first["cleaned_sample_records"]) == len(second["cleaned_sample_records"])
+
+
+def test_views_need_their_tables(spark, tmp_path):
+    with pytest.raises(AnalysisException) as error:
+        jobs.run_views(spark, f"{tmp_path}/nowhere", f"{tmp_path}/out")
+    assert error.value.getCondition() == "PATH_NOT_FOUND"
+
+
 def test_input_resolution(monkeypatch):
     monkeypatch.setenv("KERBSCOPE_INPUT", "from-setting")
     assert jobs.resolve_input("given") == "given"
     assert jobs.resolve_input(None) == "from-setting"
     monkeypatch.delenv("KERBSCOPE_INPUT")
     assert jobs.resolve_input(None) == jobs.DEFAULT_INPUT
+    assert jobs.resolve_input(None, jobs.DEFAULT_TABLES) == jobs.DEFAULT_TABLES

@@ -1,6 +1,7 @@
 import pytest
 from pyspark.errors import AnalysisException
 
+from kerbscope.operators.cleaning import clean_events
 from kerbscope.sources import violations as vio
 from kerbscope.sources.tables import read_csv_table, write_csv, write_json
 
@@ -45,15 +46,58 @@ def test_session_zone_is_checked(spark, tmp_path):
 
 
 def test_absent_table_is_empty_with_schema(spark, tmp_path):
-    empty = read_csv_table(spark, f"{tmp_path}/absent", "a int, b string")
+    empty = read_csv_table(spark, f"{tmp_path}/absent", "a int, b string", optional=True)
     assert empty.count() == 0 and empty.columns == ["a", "b"]
 
 
+def test_absent_mandatory_table_is_an_error(spark, tmp_path):
+    with pytest.raises(AnalysisException) as error:
+        read_csv_table(spark, f"{tmp_path}/absent", "a int, b string")
+    assert error.value.getCondition() == "PATH_NOT_FOUND"
+
+
+HEADER = "id,created_datetime,latitude,longitude,violation_type,vehicle_type,vehicle_number,police_station,junction_name\n"
+TORN = HEADER + '1,2024-01-01 00:00:00+00,12.5,77.5,"[""NO PARKING""]",CAR,V1,S1,"MAIN\nROAD"\n2,2024-01-01 00:00:00+00,12.5,77.5,X,CAR,V2,S1,J\n'
+
+
+def test_quoted_line_breaks_belong_to_the_field(spark, tmp_path):
+    (tmp_path / "v.csv").write_text(TORN)
+    first, second = vio.read_violations(spark, f"{tmp_path}/v.csv").orderBy("id").collect()
+    assert (first.id, first.junction_name, second.id) == (1, "MAIN\nROAD", 2)
+
+
+def test_a_torn_record_is_an_error(spark, tmp_path):
+    (tmp_path / "v.csv").write_text(TORN)
+    with pytest.raises(Exception, match="torn or malformed record"):
+        vio.read_violations(spark, f"{tmp_path}/v.csv", multi_line=False).collect()
+
+
+def test_ids_have_one_type(spark, tmp_path):
+    rows = [(i, "2024-01-01", 12.5, 77.5, "x", None, None, None, None) for i in range(1, 13)]
+    names = HEADER.strip().split(",")
+    df = spark.createDataFrame(rows, ", ".join(f"{n} {k}" for n, k in zip(names, ["int", "string", "double", "double"] + ["string"] * 5)))
+    write_csv(df, f"{tmp_path}/v.csv")
+    df.write.parquet(f"{tmp_path}/v.parquet")
+    both = [vio.read_violations(spark, f"{tmp_path}/v.{kind}") for kind in ("csv", "parquet")]
+    assert both[0].schema == both[1].schema
+    assert [r.id for r in both[0].orderBy("id").collect()] == list(range(1, 13))
+
+
+def test_missing_coordinates_are_filtered_in_the_scan(spark, tmp_path):
+    rows = [(1, "2024-01-01 00:00:00", 12.5, 77.5), (2, "2024-01-01 00:00:00", None, 77.5), (3, "2024-01-01 00:00:00", float("nan"), 77.5)]
+    df = spark.createDataFrame(rows, "id long, created_datetime string, latitude double, longitude double")
+    df.selectExpr("*", *[f"'[\"NO PARKING\"]' AS {c}" for c in vio.RAW_COLUMNS[4:]]).write.parquet(f"{tmp_path}/v.parquet")
+    cleaned = clean_events(vio.read_violations(spark, f"{tmp_path}/v.parquet"))
+    assert [r.id for r in cleaned.collect()] == [1]
+    plan = cleaned._jdf.queryExecution().executedPlan().toString()
+    assert "IsNotNull(latitude)" in plan and "IsNotNull(longitude)" in plan
+
+
 def test_sinks_keep_text(spark, tmp_path):
-    df = spark.createDataFrame([("12.9,77.5", 'say "ನಮ"', None)], "g string, t string, n int")
+    df = spark.createDataFrame([("12.9,77.5", 'say "ನಮ"', None), ("  ", "two\nlines", 1)], "g string, t string, n int")
     write_csv(df, f"{tmp_path}/c")
-    assert read_csv_table(spark, f"{tmp_path}/c", df.schema).collect() == df.collect()
+    assert sorted(read_csv_table(spark, f"{tmp_path}/c", df.schema).collect()) == sorted(df.collect())
     write_json(df, f"{tmp_path}/j")
     parts = sorted((tmp_path / "j").glob("part-*"))
     line = "".join(f.read_text(encoding="utf-8") for f in parts)
-    assert "ನಮ" in line and '"n":null' in line
+    assert "ನಮ" in line and '"n":null' in line and '"g":"  "' in line
