@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kerbscope.functions.numeric import half_even
+from kerbscope.functions.numeric import half_even, sort_value
 from kerbscope.operators.scoring import COMPONENTS
 from kerbscope.operators.stations import order_stations
 from kerbscope.plans.ranking import SCORE, top_hotspots
@@ -195,6 +195,10 @@ def kpi_strip(
     model the model columns are 0.
     """
     band = F.col("risk_band")
+    # The first in ranking order by one aggregate each, so no table is read twice.
+    first = F.struct((-sort_value(F.col(SCORE))).alias("s"), "grid_id", "junction_name")
+    station = F.struct((-sort_value(F.col("station_priority_score"))).alias("s"), "police_station")
+    places = stations.agg(F.count(F.lit(1)).alias("n"), F.min(station).alias("first"))
     base = scored.agg(
         F.sum("violation_count").alias("total_violations"),
         F.count(F.lit(1)).alias("hotspots"),
@@ -203,8 +207,8 @@ def kpi_strip(
         F.count_if(band == "Medium").alias("medium"),
         F.count_if(band == "Watch").alias("watch"),
         F.max(SCORE).alias("top_score"),
-    )
-    first = top_hotspots(scored, 1)
+        F.min(first).alias("_first"),
+    ).withColumn("_places", places.select(F.struct("n", "first.police_station")).scalar())
     model = ["precision_at_50", "ndcg_at_50", "spearman_score_correlation"]
     if blend is None:
         zero = F.lit(0.0)
@@ -224,9 +228,9 @@ def kpi_strip(
     return base.withColumns(
         {
             "high_or_critical": F.col("high") + F.col("critical"),
-            "stations": stations.agg(F.count(F.lit(1))).scalar(),
-            "top_station": order_stations(stations).limit(1).select("police_station").scalar(),
-            "top_junction": first.select("junction_name").scalar(),
+            "stations": F.col("_places.n"),
+            "top_station": F.col("_places.police_station"),
+            "top_junction": F.col("_first.junction_name"),
             **numbers,
         }
-    ).drop("_m")
+    ).drop("_m", "_first", "_places")
