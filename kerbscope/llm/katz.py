@@ -47,7 +47,7 @@ from kerbscope.llm.arrays import (
 from kerbscope.staging import stage
 
 TOP = 5
-BLOCK_BYTES = 20_000_000
+BLOCK_BYTES = 8_000_000
 
 #: Hashes of what stands before and after a text; a word holds no white space, so none has these.
 START, END = (xxhash.xxh64_intdigest(mark) for mark in (b"\n\n", b"\n"))
