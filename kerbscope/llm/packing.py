@@ -8,9 +8,10 @@ histogram is covered.  It is solved on the histogram alone, which has at most
 * multiplicative weights keep one price per length, high where coverage lags;
 * a knapsack dynamic program over the prices finds, for every length at once,
   the best configuration that holds it; those within ``SLACK`` of the best get
-  a share of the demand, and the prices of what they cover fall;
-* the shares are rounded by carrying the fractions along, cut to what is still
-  there, and what is left over goes into free room by best fit, longest first.
+  a share of the demand, and the prices of what they cover fall (no length is
+  covered ahead of the others by more than a step, nor beyond its demand);
+* the shares are rounded and cut to what is still there, and what is left over
+  goes into free room by best fit, longest first.
 
 The pieces themselves stay distributed: the n-th piece of a length takes the
 n-th slot that the plan has for that length.
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 
 from kerbscope.staging import stage
 
-ROUNDS = 32
+ROUNDS = 64
 SLACK = 0.02
 RATE = 4.0
 
@@ -45,9 +46,13 @@ CACHED_LENGTH = 64
 # ------------------------------------------------------------------ tokens
 
 
-#: A lone mark after a letter or digit; a space before it changes no token, and
-#: the word is then the same word as without it.
-_MARK = re.compile(rb"(?<=[a-z0-9])([.,;:!?])(?=[ \t\r\n]|$)")
+#: Marks at the end of a word, after a letter (of the first 256 characters) or digit.
+#: They are tokens of their own, so a space before them changes nothing, and the
+#: word is then the same as without them.  Not with an apostrophe, which may
+#: begin a suffix, nor a bar, which ends special tokens.
+_MARK = re.compile(
+    rb"(?:(?<=[a-z0-9])|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]))([!-&(-/:-@\[-`{}~]+)(?=[ \t\r\n]|$)"
+)
 
 
 @lru_cache(maxsize=2)
@@ -200,13 +205,15 @@ def configuration_program(counts: dict[int, int], capacity: int, rounds: int = R
         bound = max(bound, float(demand @ prices) / best[capacity])
         value = prices + best[capacity - lengths]
         lag = (step + 1) / rounds - covered
-        # Lengths behind schedule ask first; what their configurations cover meanwhile counts.
-        for k in np.argsort(-lag * demand, kind="stable"):
-            missing = (step + 1) / rounds - covered[k]
-            if missing <= 0 or value[k] < (1 - SLACK) * best[capacity] and step < rounds - 1:
+        # Lengths behind schedule ask first; a configuration grows until one of its lengths is ahead.
+        due, most = (step + 1) / rounds, min(1.0, (step + 2) / rounds)
+        for k in np.argsort((covered - due) * demand, kind="stable"):
+            if covered[k] >= due or value[k] < (1 - SLACK) * best[capacity]:
                 continue
             taken = Counter([int(k), *_unwind(last, lengths, capacity - int(lengths[k]))])
-            amount = missing * demand[k] / taken[int(k)]
+            amount = min((most - covered[j]) * demand[j] / a for j, a in taken.items())
+            if amount <= 0:
+                continue
             config = tuple(sorted((int(lengths[j]) for j in taken.elements()), reverse=True))
             use[config] = use.get(config, 0.0) + amount
             for j, a in taken.items():
@@ -214,24 +221,27 @@ def configuration_program(counts: dict[int, int], capacity: int, rounds: int = R
     return use, bound
 
 
-def plan(counts: dict[int, int], capacity: int, rounds: int = ROUNDS) -> tuple[Counter, float]:
-    """How many sequences of each configuration hold exactly ``counts``; and the lower bound."""
-    left = Counter({int(n): int(c) for n, c in counts.items() if c > 0})
-    if not left:
-        return Counter(), 0.0
-    use, bound = configuration_program(left, capacity, rounds)
+def _round(use: dict[tuple[int, ...], float], left: Counter, carry: bool) -> Counter:
+    """Whole configurations that ``left`` can fill, fullest first; what they take goes from ``left``.
+
+    The fractions are carried along from one configuration to the next, or dropped.
+    """
     chosen: Counter = Counter()
     carried = 0.0
     for config in sorted(use, key=lambda c: (-sum(c), c)):
-        whole = int(carried + use[config])
-        carried += use[config] - whole
+        wanted = use[config] + (carried if carry else 0.0)
+        carried = wanted - int(wanted)
         need = Counter(config)
-        fits = min(whole, *(left[n] // a for n, a in need.items()))
+        fits = min(int(wanted), *(left[n] // a for n, a in need.items()))
         if fits > 0:
             chosen[config] += fits
             for n, a in need.items():
                 left[n] -= fits * a
-    # What is left, by best fit: sequences of equal content are handled together.
+    return chosen
+
+
+def _fill(chosen: Counter, left: Counter, capacity: int) -> Counter:
+    """What is left goes by best fit, longest first; sequences of equal content are handled together."""
     room: dict[int, Counter] = {}
     for config, n in chosen.items():
         room.setdefault(capacity - sum(config), Counter())[config] += n
@@ -259,7 +269,24 @@ def plan(counts: dict[int, int], capacity: int, rounds: int = ROUNDS) -> tuple[C
     for kinds in room.values():
         for config, n in kinds.items():
             final[tuple(sorted(config, reverse=True))] += n
-    return final, bound
+    return final
+
+
+def plan(counts: dict[int, int], capacity: int, rounds: int = ROUNDS) -> tuple[Counter, float]:
+    """How many sequences of each configuration hold exactly ``counts``; and the lower bound.
+
+    Of the two ways to round, the one with fewer sequences is taken: carried
+    fractions suit many small shares, dropped ones few pieces of each length.
+    """
+    pieces = Counter({int(n): int(c) for n, c in counts.items() if c > 0})
+    if not pieces:
+        return Counter(), 0.0
+    use, bound = configuration_program(pieces, capacity, rounds)
+    plans = []
+    for carry in (True, False):
+        left = pieces.copy()
+        plans.append(_fill(_round(use, left, carry), left, capacity))
+    return min(plans, key=lambda p: sum(p.values())), bound
 
 
 @dataclass(frozen=True)

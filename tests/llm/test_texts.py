@@ -214,7 +214,7 @@ def test_words_by_themselves_are_tokenised_like_whole_texts():
     rnd = random.Random(3)
     letters = "abZÉé́ßİıΣσς  \n\t\x0b\x1c\x85\xa0.,;:!?'s0²Ⅷ漢<|>🙂ªµ"
     texts = ["".join(rnd.choice(letters) for _ in range(rnd.randint(0, 40))) for _ in range(3000)]
-    texts += ["x<|endoftext|>y, a.", "It's you're. we'll!", "A.B. c.. d?! e,", "a" * 5000, None]
+    texts += ["x<|endoftext|>y, a.", "It's you're. we'll!", "A.B. c.. d?! e,", "x<|endoftext|> y*** z### é&&& ×, ÷. ß$%.", "a" * 5000, None]
     tokenizer = Tokenizer.from_file(PATH)
     words = [packing._words(t) for t in texts]
     with packing.WordIds(words, PATH) as known:
