@@ -9,17 +9,68 @@ from __future__ import annotations
 from checks.queries import KS, SINKS
 from kerbscope.operators.scoring import COMPONENTS
 from kerbscope.plans.model import RANKED_COLUMNS
-from kerbscope.settings import (
-    BANDS,
-    CANDIDATES,
-    FEATURES,
-    OTHER_SEVERITY,
-    SCORE_FORMULA,
-    SEVERITY,
-    VEHICLE_FOOTPRINT,
-)
 from kerbscope.sources.event_mapping import VEHICLES, VIOLATION_TEXTS
 
+# ---------------------------------------------------------------- fixed values
+# Stated here a second time, so that a wrong value in the library shows.
+SEVERITY = {'NO PARKING': '1.00',
+ 'WRONG PARKING': '1.05',
+ 'PARKING IN A MAIN ROAD': '1.40',
+ 'DOUBLE PARKING': '1.55',
+ 'PARKING NEAR ROAD CROSSING': '1.60',
+ 'PARKING NEAR TRAFFIC LIGHT OR ZEBRA CROSS': '1.65',
+ 'PARKING OPPOSITE TO ANOTHER PARKED VEHICLE': '1.45',
+ 'PARKING NEAR BUSTOP/SCHOOL/HOSPITAL ETC': '1.35',
+ 'PARKING OTHER THAN BUS STOP': '1.25',
+ 'PARKING ON FOOTPATH': '1.10'}
+
+OTHER_SEVERITY = '0.75'
+
+VEHICLE_FOOTPRINT = {'MOPED': '0.35',
+ 'SCOOTER': '0.40',
+ 'MOTOR CYCLE': '0.40',
+ 'PASSENGER AUTO': '0.75',
+ 'GOODS AUTO': '0.85',
+ 'CAR': '1.00',
+ 'JEEP': '1.00',
+ 'VAN': '1.10',
+ 'MAXI-CAB': '1.20',
+ 'LGV': '1.35',
+ 'TEMPO': '1.45',
+ 'MINI LORRY': '1.60',
+ 'LORRY/GOODS VEHICLE': '1.90',
+ 'HGV': '2.10',
+ 'TANKER': '2.20',
+ 'BUS (BMTC/KSRTC)': '2.50',
+ 'PRIVATE BUS': '2.50',
+ 'TOURIST BUS': '2.50',
+ 'SCHOOL VEHICLE': '2.25',
+ 'FACTORY BUS': '2.40'}
+
+BANDS = (('Critical', 80, 'Tow-away patrol + barricade edge + peak-hour officer'),
+ ('High', 60, 'Focused patrol during top 2 peak hours'),
+ ('Medium', 40, 'Warning drive + repeat-offender monitoring'),
+ ('Watch', None, 'Observe through weekly dashboard'))
+
+FEATURES = ('history', 'last_month', 'trend', 'station', 'peak_junction')
+
+CANDIDATES = ((1.0, 0.0, 0.0, 0.0, 0.0),
+ (0.7, 0.3, 0.0, 0.0, 0.0),
+ (0.55, 0.35, 0.1, 0.0, 0.0),
+ (0.5, 0.3, 0.1, 0.1, 0.0),
+ (0.45, 0.35, 0.1, 0.05, 0.05),
+ (0.4, 0.35, 0.1, 0.1, 0.05),
+ (0.35, 0.45, 0.1, 0.05, 0.05),
+ (0.35, 0.35, 0.15, 0.1, 0.05),
+ (0.3, 0.45, 0.15, 0.05, 0.05),
+ (0.3, 0.4, 0.1, 0.1, 0.1),
+ (0.25, 0.5, 0.1, 0.1, 0.05),
+ (0.25, 0.45, 0.15, 0.1, 0.05))
+
+SCORE_FORMULA = ('0.40*ViolationFrequency + 0.25*RepeatHotspotDensity + 0.15*JunctionProximity + '
+ '0.10*PeakHourFactor + 0.10*VehicleBlockageWeight')
+# ------------------------------------------------------------ end fixed values
+
 # Items each mapped text parses to.
 PARSED = (
     ("NO PARKING", "PARKING ON FOOTPATH"),
