@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -32,26 +32,25 @@ def map_text(
 ) -> DataFrame:
     """Columns ``keep`` of ``docs``, then the ``fields`` that ``function`` makes of the texts.
 
-    One Arrow pass without a shuffle; rows go through one for one.  A kept column
-    named like a new field is replaced by it.
+    Only the texts go to Python and only the fields come back; no shuffle, and rows
+    go through one for one.  A kept column named like a new field is replaced by it.
     """
     made = [field.split()[0] for field in fields.split(", ")]
-    keep = [name for name in keep if name not in made]
-    inner = keep.index(text_col) if text_col in keep else None
-    columns = [F.struct(*[docs[name] for name in keep]).alias("row")]
-    source = docs.select(*columns) if inner is not None else docs.select(*columns, docs[text_col].alias("text"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(0, batch.num_rows, 512):
-                part = batch.slice(k, 512)
-                rows = part.column(0)
-                texts = part.column(1) if inner is None else rows.field(inner)
-                yield pa.RecordBatch.from_arrays([rows, *function(texts.to_pylist())], ["row", *made])
-
-    kind = source.schema["row"].dataType.simpleString()
-    out = source.mapInArrow(run, f"row {kind}, {fields}")
-    return out.select(*[F.col("row").getField(name).alias(name) for name in keep], *made)
+
+    def run(texts: pa.Array) -> pa.Array:
+        parts = []
+        for k in range(0, len(texts), 512):
+            arrays = function(texts.slice(k, 512).to_pylist())
+            parts.append(pa.StructArray.from_arrays(arrays, names=made))
+        # What was freed goes back at once: the worker stays for the next stage.
+        pa.default_memory_pool().release_unused()
+        return pa.concat_arrays(parts)
+
+    kind = ", ".join("{}: {}".format(*field.split()) for field in fields.split(", "))
+    # Declared not deterministic so that no plan evaluates it twice for a row.
+    column = F.arrow_udf(run, f"struct<{kind}>").asNondeterministic()(docs[text_col])
+    source = docs.select(*[docs[name] for name in keep if name not in made], column.alias("_made"))
+    return source.select(*[name for name in keep if name not in made], *[F.col("_made").getField(name).alias(name) for name in made])
 
 
 def sample_ids(rows: DataFrame, id_col: str, by: str, per_value: int) -> DataFrame:
