@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from kerbscope.llm.arrays import release
 from kerbscope.staging import stage
 
 #: ASCII white space, the only separators of words here.
@@ -42,9 +43,10 @@ def map_text(
         for k in range(0, len(texts), 512):
             arrays = function(texts.slice(k, 512).to_pylist())
             parts.append(pa.StructArray.from_arrays(arrays, names=made))
-        # What was freed goes back at once: the worker stays for the next stage.
-        pa.default_memory_pool().release_unused()
-        return pa.concat_arrays(parts)
+        whole = pa.concat_arrays(parts)
+        del parts
+        release()
+        return whole
 
     kind = ", ".join("{}: {}".format(*field.split()) for field in fields.split(", "))
     # Declared not deterministic so that no plan evaluates it twice for a row.

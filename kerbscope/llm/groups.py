@@ -29,15 +29,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kerbscope.llm.arrays import mix, pack, pack_sorted, range_edges, split_words, text_slices, unpack, unpack_sorted, word_numbers
+from kerbscope.llm.arrays import mix, pack, pack_sorted, range_edges, release, split_words, text_slices, unpack, unpack_sorted, word_numbers
 from kerbscope.llm.common import components
 from kerbscope.staging import stage
 
 WIDTH = 5
 PERCENT = 80
-CHUNK_BYTES = 16_000_000
+CHUNK_BYTES = 5_000_000
 #: Shingles of a range, about; and sets of a group, about.
-RANGE = 2_000_000
+RANGE = 1_000_000
 GROUP = 128
 
 
@@ -97,6 +97,8 @@ def _sizes(texts: DataFrame, width: int) -> DataFrame:
                 part = batch.slice(rows.start, rows.stop - rows.start)
                 code, row = shingles(part.column(1), width)
                 yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(x) for x in set_names(code, row, len(part)))], ["id", "n", "x", "y"])
+                del code, row
+                release()
 
     return stage(texts.mapInArrow(run, f"id {kind}, n long, x long, y long"), "sizes")
 
@@ -121,6 +123,8 @@ def repeated_shingles(texts: DataFrame, total: int, width: int) -> DataFrame:
                     ],
                     ["range", "codes", "owners"],
                 )
+                del code, row, owner
+                release()
 
     def count(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
         code = np.concatenate([unpack_sorted(r[1]) for r in rows])
@@ -186,6 +190,7 @@ def _by_first(function):
                 held.append(row)
         if held:
             yield from function(held)
+        release()
 
     return run
 

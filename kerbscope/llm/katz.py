@@ -38,6 +38,7 @@ from kerbscope.llm.arrays import (
     pack,
     pack_sorted,
     range_edges,
+    release,
     split_words,
     text_slices,
     unpack,
@@ -300,6 +301,7 @@ def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
                 for row in range(batch.num_rows):
                     block, names, tokens, sizes, learn, *told = (c[row].as_py() for c in batch.columns)
                     yield from make(block, Block.read(names, tokens, sizes, learn), told)
+                    release()
 
         return run
 

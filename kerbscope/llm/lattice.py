@@ -194,19 +194,19 @@ def work_cell(cell: int, part: np.ndarray, across: bool, home: np.ndarray, ids:
     some = np.flatnonzero(some)
     among = np.flatnonzero(home[some])
     linked = linked[np.ix_(some, np.flatnonzero(np.isin(homes, some)))]
-    # Pairs that meet in an earlier cell count there.
-    own = known.of(ids[some], unit[some])
-    row, column = np.nonzero(own < cell)
-    names, name = np.unique(own[row, column], return_inverse=True)
-    shared = np.bincount(name, minlength=len(names)) > 1
-    use = shared[name]
-    row, column, name = row[use], column[use], (np.cumsum(shared) - 1)[name[use]]
-    member = np.zeros((len(some), int(shared.sum())), np.float32)
-    at_home = np.zeros_like(member)
-    member[row, name] = 1
-    first = column % known.shape[2] == 0
-    at_home[row[first], name[first]] = 1
-    linked &= ~((member @ at_home[among].T + at_home @ member[among].T) > 0)
+    # Pairs that meet in an earlier cell count there: one holds the other's own cell.
+    tables, probes = known.shape[0], known.shape[2]
+    own = known.of(ids[some], unit[some]).reshape(len(some), tables, probes)
+    for table in range((cell >> 56) + 1):
+        held = own[:, table]
+        cells_at_home, lives = np.unique(held[:, 0], return_inverse=True)
+        at = np.searchsorted(cells_at_home, held)
+        at[at == len(cells_at_home)] = 0
+        row, probe = np.nonzero((cells_at_home[at] == held) & (held < cell))
+        holds = np.zeros((len(some), len(cells_at_home)), bool)
+        holds[row, at[row, probe]] = True
+        holds = holds[:, lives]
+        linked &= ~(holds[:, among] | holds[among].T)
     count = linked @ weight[some][among]
     away = np.flatnonzero(~home[some])
     count[among] += linked[away].T @ weight[some][away]

@@ -32,6 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from kerbscope.llm.arrays import release
 from kerbscope.staging import stage
 
 ROUNDS = 64
@@ -39,7 +40,7 @@ SLACK = 0.02
 RATE = 4.0
 
 #: Words kept per worker with their ids; emptied when full, results do not depend on it.
-CACHED_WORDS = 600_000
+CACHED_WORDS = 450_000
 CACHED_LENGTH = 64
 
 
@@ -148,6 +149,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int, end_id: int = 0,
                     [part.column(0).take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), lengths, pa.array(data, pa.binary())],
                     ["id", "piece", "start", "length", "ids"],
                 )
+            release()
 
     end = np.array([end_id], "<u4").tobytes()
     source = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))

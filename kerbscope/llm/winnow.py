@@ -27,6 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kerbscope.llm.arrays import release
 from kerbscope.staging import stage
 
 GRAM = 2
@@ -96,7 +97,7 @@ def extend(first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return back, ahead
 
 
-def cut(parts: list[str], place: np.ndarray, words: np.ndarray, spans: list[tuple[int, int]], min_words: int) -> tuple[str, list[tuple[int, int]]]:
+def cut(parts: list[str], place: list[int], words: np.ndarray, spans: list[tuple[int, int]], min_words: int) -> tuple[str, list[tuple[int, int]]]:
     """The text without the long runs in the union of ``spans``, and those runs (first and last line)."""
     hit = np.zeros(len(place) + 1, np.int64)
     for start, end in spans:
@@ -146,30 +147,35 @@ def remove_repeats(
                     _, hashes, words = line_hashes(split_lines(text))
                     at, sizes, found = fingerprints(hashes, words, window, min_words)
                     if len(at):
-                        row.append(np.full(len(at), i))
-                        checks.append(np.full(len(at), crc32(text.encode())))
+                        row.append(i)
+                        checks.append(crc32(text.encode()))
                         lines.append(at)
                         size.append(sizes)
                         prints.append(found.astype(np.int64))
-                        near += [x.tobytes() for x in surroundings(hashes, at, sizes, reach)]
+                        near.append(surroundings(hashes, at, sizes, reach))
                 if row:
+                    times = [len(at) for at in lines]
+                    around = np.concatenate(near)
+                    ends = pa.array(np.arange(len(around) + 1, dtype=np.int32) * (8 * reach))
                     yield pa.RecordBatch.from_arrays(
                         [
-                            part.column(0).take(pa.array(np.concatenate(row))),
-                            pa.array(np.concatenate(checks).astype(np.int64)),
+                            part.column(0).take(pa.array(np.repeat(row, times))),
+                            pa.array(np.repeat(np.array(checks, np.int64), times)),
                             pa.array(np.concatenate(lines).astype(np.int32)),
                             pa.array(np.concatenate(size).astype(np.int32)),
                             pa.array(np.concatenate(prints)),
-                            pa.array(near, pa.binary()),
+                            pa.BinaryArray.from_buffers(pa.binary(), len(around), [None, ends.buffers()[1], pa.py_buffer(around.tobytes())]),
                         ],
                         [*_PLACE, "size", "print", "near"],
                     )
+            release()
 
     texts = kept.select(kept[id_col].alias("id"), kept[text_col].alias("text")).where("id is not null and text is not null")
-    prints = texts.mapInArrow(print_lines, f"id {kind}, body long, line int, size int, print long, near binary")
+    # Written, because it is read twice and costs more to make than to read.
+    prints = stage(texts.mapInArrow(print_lines, f"id {kind}, body long, line int, size int, print long, near binary"), "prints")
     place = F.struct(*_PLACE)
     firsts = stage(
-        prints.groupBy("print").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last").select("print", "first"),
+        prints.groupBy("print").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("print", "first"),
         "firsts",
     )
     again = stage(prints.join(firsts, "print"), "again")
@@ -190,19 +196,24 @@ def remove_repeats(
     spans = stage(grown.groupBy("id", "body").agg(F.collect_set(F.struct("start", "end")).alias("spans")), "spans")
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shape = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
         for batch in batches:
-            new, count, removed = [], [], []
-            for text, own in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                parts = split_lines(text or "")
-                where, _, words = line_hashes(parts)
-                runs: list[tuple[int, int]] = []
-                if own:
-                    text, runs = cut(parts, where, words, [(s["start"], s["end"]) for s in own], min_words)
-                new.append(text)
-                count.append(len(where))
-                removed.append([{"start": a, "end": b} for a, b in runs])
-            shape = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(new, pa.string()), pa.array(count, pa.int32()), pa.array(removed, shape)], ["row", "text", "n_lines", "removed"])
+            for k in range(0, batch.num_rows, 512):
+                part = batch.slice(k, 512)
+                new, count, removed = [], [], []
+                for text, own in zip(part.column(1).to_pylist(), part.column(2).to_pylist()):
+                    parts = split_lines(text or "")
+                    where = [i for i, line in enumerate(parts[::2]) if line and not line.isspace()]
+                    runs: list[tuple[int, int]] = []
+                    if own:
+                        words = np.array([len(parts[2 * i].split()) for i in where])
+                        text, runs = cut(parts, where, words, [(s["start"], s["end"]) for s in own], min_words)
+                    new.append(text)
+                    count.append(len(where))
+                    removed.append([{"start": a, "end": b} for a, b in runs])
+                made = [pa.array(new, pa.string()), pa.array(count, pa.int32()), pa.array(removed, shape)]
+                yield pa.RecordBatch.from_arrays([part.column(0), *made], ["row", "text", "n_lines", "removed"])
+            release()
 
     rest = [n for n in names if n != text_col]
     row = F.struct(*[kept[n] for n in rest]) if rest else F.struct(F.lit(0).alias("none"))
