@@ -6,25 +6,28 @@ grams the one with the least hash is a fingerprint: a run of ``GRAM + window - 1
 lines that occurs twice has a fingerprint in common, at the same place in both.
 A line of ``min_words`` or more is a fingerprint by itself.
 
-Each fingerprint's positions are joined with its first position (by id, then
-place).  From there a match is extended line by line both ways, on the hashes of
-the ``window - 1`` lines before and after that the fingerprint carries; the next
-fingerprint is never further, so together they cover the run.  The union of a
-text's matches is cut into runs, and runs of ``min_words`` or more are deleted.  A
-deleted line equals an earlier one, hence the first occurrence of every line
-stays.
+Each fingerprint's positions are compared with its first position (by id, then
+place), and once more with the first position that also agrees in ``j`` lines
+before and ``k`` after, for all ``j + k`` up to ``window - 1``; the fingerprint
+carries the hashes of these lines.  So a stray earlier copy of the fingerprint
+alone hides no longer run, and as the next fingerprint is never further, the
+matches cover the run.  The union of a text's matches is cut into runs, and runs
+of ``min_words`` or more are deleted.  A deleted line equals an earlier one, hence
+the first occurrence of every line stays.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import reduce
+from operator import and_
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kerbscope.llm.arrays import release
@@ -88,13 +91,18 @@ def surroundings(hashes: np.ndarray, lines: np.ndarray, sizes: np.ndarray, reach
     return short[np.concatenate([before, after], axis=1)]
 
 
-def extend(first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """How many lines before and after agree, by the surroundings of two lists of places."""
-    same = (first == second) & (first != 0)
-    window = same.shape[1] // 2
-    back = np.cumprod(same[:, :window][:, ::-1], axis=1).sum(1)
-    ahead = np.cumprod(same[:, window:], axis=1).sum(1)
-    return back, ahead
+def sides(reach: int) -> Column:
+    """From ``near``, for each number of lines before and after (not both 0) that the text has: these and their hashes."""
+    found = []
+    for back in range(reach + 1):
+        for ahead in range(reach + 1 - back):
+            if back or ahead:
+                start, length = 4 * (reach - back) + 1, 4 * (back + ahead)
+                part = F.substring("near", start, length)
+                ends = [F.substring("near", at, 4) for at, n in ((start, back), (start + length - 4, ahead)) if n]
+                inside = reduce(and_, [end != F.lit(bytes(4)) for end in ends])
+                found.append(F.when(inside, F.struct(F.lit(back).alias("back"), F.lit(ahead).alias("ahead"), part.alias("part"))))
+    return F.filter(F.array(*found), lambda side: side.isNotNull())
 
 
 def cut(parts: list[str], place: list[int], words: np.ndarray, spans: list[tuple[int, int]], min_words: int) -> tuple[str, list[tuple[int, int]]]:
@@ -179,21 +187,16 @@ def remove_repeats(
         "firsts",
     )
     again = stage(prints.join(firsts, "print"), "again")
-    original = again.where(place == F.col("first")).select("print", F.col("near").alias("other")).dropDuplicates(["print"])
-    met = again.where(place != F.col("first")).join(stage(original, "originals"), "print").select(*_PLACE, "size", "near", "other")
-
-    def grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            near, other = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint32).reshape(batch.num_rows, 2 * reach) for k in (4, 5))
-            back, ahead = extend(near, other)
-            line, size = batch.column(2).to_numpy(), batch.column(3).to_numpy()
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array((line - back).astype(np.int32)), pa.array((line + size - 1 + ahead).astype(np.int32))], ["id", "body", "start", "end"]
-            )
-
-    grown = met.mapInArrow(grow, f"id {kind}, body long, start int, end int")
-    # As many spans as the text has fingerprints at most.
-    spans = stage(grown.groupBy("id", "body").agg(F.collect_set(F.struct("start", "end")).alias("spans")), "spans")
+    span = F.struct((F.col("line") - F.col("back")).alias("start"), (F.col("line") + F.col("size") - 1 + F.col("ahead")).alias("end")).alias("span")
+    grown = again.where(place != F.col("first")).withColumns({"back": F.lit(0), "ahead": F.lit(0)}).select("id", "body", span)
+    if reach:
+        sided = again.select(*_PLACE, "size", "print", F.inline(sides(reach)))
+        side = ["print", "back", "ahead", "part"]
+        nearest = sided.groupBy(*side).agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select(*side, "first")
+        met = sided.join(stage(nearest, "nearest"), side).where(place != F.col("first"))
+        grown = grown.unionByName(met.select("id", "body", span))
+    # As many spans as the text has fingerprints and sides at most.
+    spans = stage(grown.groupBy("id", "body").agg(F.collect_set("span").alias("spans")), "spans")
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shape = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))

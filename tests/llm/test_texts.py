@@ -105,6 +105,32 @@ def test_line_dedup_of_made_runs(spark):
     assert winnow.remove_repeats(frame(spark, [])).collect() == []
 
 
+def test_stray_copy_of_inner_lines_hides_no_run(spark):
+    rnd = random.Random(3)
+
+    def line(words):
+        return " ".join(str(rnd.randrange(10**9)) for _ in range(words)) + "."
+
+    def prints(text):
+        _, hashes, words = winnow.line_hashes(winnow.split_lines(text))
+        return set(winnow.fingerprints(hashes, words, winnow.WINDOW, winnow.MIN_WORDS)[2].tolist())
+
+    rows, made = [], 0
+    while made < 3:  # B C is the only fingerprint that both copies of A B C D have
+        a, b, c, d = line(14), line(8), line(8), line(14)
+        texts = [f"{line(9)}\n{b}\n{c}\n{line(9)}", *(f"{line(9)}\n{a}\n{b}\n{c}\n{d}\n{line(9)}" for _ in range(2))]
+        if prints(texts[1]) & prints(texts[2]) == prints(f"{b}\n{c}") <= prints(texts[0]):
+            rows += [(10 * made + i, text) for i, text in zip((3, 5, 9), texts)]
+            made += 1
+    out = {r.doc_id: r for r in winnow.remove_repeats(frame(spark, rows)).collect()}
+    for k in range(made):
+        assert [r.asDict() for r in out[10 * k + 9].removed] == [{"start": 1, "end": 4}]
+        assert not out[10 * k + 3].removed and not out[10 * k + 5].removed
+    for window in (1, 3):
+        out = {r.doc_id: r for r in winnow.remove_repeats(frame(spark, rows), window=window).collect()}
+        assert all([r.asDict() for r in out[10 * k + 9].removed] == [{"start": 1, "end": 4}] for k in range(made))
+
+
 # ------------------------------------------------------------------ near duplicates
 
 
