@@ -4,7 +4,8 @@ A line ends at a line break or at the end of a sentence.  The hashes of every
 ``GRAM`` consecutive lines are taken, and of every ``window`` consecutive such
 grams the one with the least hash is a fingerprint: a run of ``GRAM + window - 1``
 lines that occurs twice has a fingerprint in common, at the same place in both.
-A line of ``min_words`` or more is a fingerprint by itself.
+A line of ``min_words`` or more is a fingerprint by itself, and so are ``GRAM``
+shorter ones that reach ``min_words`` together.
 
 Each fingerprint's positions are compared with its first position (by id, then
 place), and once more with the first position that also agrees in ``j`` lines
@@ -69,14 +70,17 @@ def _grams(hashes: np.ndarray) -> np.ndarray:
 def fingerprints(hashes: np.ndarray, words: np.ndarray, window: int, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """First line, number of lines and hash of each fingerprint.
 
-    These are the rightmost least gram of each window, and every long line.
+    These are the rightmost least gram of each window, every gram of ``min_words``
+    without a long line, and every long line.
     """
     grams = _grams(hashes)
     least = np.empty(0, np.int64)
     if len(grams):
         width = min(window, len(grams))
         seen = np.lib.stride_tricks.sliding_window_view(grams, width)
-        least = np.unique(np.arange(len(seen)) + width - 1 - seen[:, ::-1].argmin(1))
+        least = np.arange(len(seen)) + width - 1 - seen[:, ::-1].argmin(1)
+        held = np.lib.stride_tricks.sliding_window_view(words, GRAM)
+        least = np.union1d(least, np.flatnonzero((held.sum(1) >= min_words) & (held.max(1) < min_words)))
     long = np.flatnonzero(words >= min_words)
     sizes = np.repeat([GRAM, 1], [len(least), len(long)])
     return np.r_[least, long], sizes, np.r_[grams[least], hashes[long]]
@@ -131,10 +135,10 @@ def remove_repeats(
     """``docs`` with later repeated runs cut out of the text, then ``n_lines`` int and ``removed`` array.
 
     ``removed`` holds the first and last line of each deleted run, counting the
-    lines that are not blank from 0.  Every run of ``min_words`` words and
-    ``GRAM + window - 1`` lines, or of one line of ``min_words`` words, that
-    occurred before is found, if need be by the parts that occurred first
-    elsewhere.  Before means a smaller id, or earlier in the same text; texts
+    lines that are not blank from 0.  Every run of ``min_words`` words that occurred
+    before is found if it has ``GRAM + window - 1`` lines or more or at most
+    ``GRAM``, which is any run by the defaults, if need be by the parts that
+    occurred first elsewhere.  Before means a smaller id, or earlier in the same text; texts
     under one id follow a checksum.  Rows that repeat id and text are one text and
     are cut alike.  Null texts stay null (0 lines); rows with a null id are left as
     they are and nothing is compared with them.  All other columns are kept; ones

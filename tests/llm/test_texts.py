@@ -131,6 +131,43 @@ def test_stray_copy_of_inner_lines_hides_no_run(spark):
         assert all([r.asDict() for r in out[10 * k + 9].removed] == [{"start": 1, "end": 4}] for k in range(made))
 
 
+def left_of_runs(rows, out):
+    """Lines that stay though they lie in a run of ``MIN_WORDS`` words that occurred before; any number of lines."""
+    seen, left = set(), []
+    for i, text in sorted(rows):
+        _, hashes, words = winnow.line_hashes(winnow.split_lines(text))
+        gone = {k for r in out[i].removed for k in range(r["start"], r["end"] + 1)}
+        due = set()
+        for a in range(len(hashes)):
+            for b in range(a, min(len(hashes), a + winnow.MIN_WORDS)):
+                run = tuple(hashes[a : b + 1].tolist())
+                if run in seen and words[a : b + 1].sum() >= winnow.MIN_WORDS:
+                    due.update(range(a, b + 1))
+                seen.add(run)
+        left += [(i, k) for k in sorted(due - gone)]
+    return left
+
+
+def test_runs_of_two_lines_go(spark):
+    rnd = random.Random(4)
+
+    def line(words):
+        return " ".join(str(rnd.randrange(10**9)) for _ in range(words)) + "."
+
+    rows = []
+    for k in range(30):
+        pair = [line(13), line(12)] if k % 3 else rnd.sample([line(30), line(4)], 2)
+        if not k % 3:  # the long line alone comes first
+            rows.append((3 * k, "\n".join([line(9), max(pair, key=len), line(9)])))
+        rows += [(3 * k + n, "\n".join([line(9), line(5), *pair, line(5), line(9)])) for n in (1, 2)]
+    out = {r.doc_id: r for r in winnow.remove_repeats(frame(spark, rows)).collect()}
+    assert left_of_runs(rows, out) == []
+    assert all([r.asDict() for r in out[3 * k + 2].removed] == [{"start": 2, "end": 3}] for k in range(30))
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    out = {r.doc_id: r for r in winnow.remove_repeats(docs).collect()}
+    assert left_of_runs([(r.doc_id, r.text) for r in docs.collect()], out) == []
+
+
 # ------------------------------------------------------------------ near duplicates
 
 
