@@ -22,12 +22,14 @@ def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     """Language ID (6): texts without a letter have no language and go.
 
     The classifier learns from the labelled rows of ``docs``; the predicted language
-    fills a missing one and replaces none.
+    fills a missing one and replaces none.  Where nothing could be learned, texts with
+    a letter stay as they are.
     """
     model = language.train(docs)
-    found = language.predict(docs, model, docs.columns)
-    lang = F.coalesce("lang", "lang_pred") if "lang" in docs.columns else F.col("lang_pred")
-    return found.where(F.col("lang_pred") != language.UNKNOWN).withColumn("lang", lang).select(*docs.columns)
+    found = language.predict(docs, model, docs.columns, letter=True)
+    guess = F.col("lang_pred") if model.languages else F.lit(None).cast("string")
+    lang = F.coalesce("lang", guess) if "lang" in docs.columns else guess
+    return found.where("lettered").withColumn("lang", lang).select(*docs.columns)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

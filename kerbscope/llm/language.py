@@ -145,15 +145,17 @@ def train(
     return fit([t for _, _, t in found], [n for _, n, _ in found], landmarks, order)
 
 
-def predict(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text") -> DataFrame:
+def predict(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text", letter: bool = False) -> DataFrame:
     """Columns ``keep``, then ``lang_pred`` string and ``score`` double, for every row.
 
     A null text, or one without a letter, is ``und`` with score 0; so is every text
-    if nothing could be learned.
+    if nothing could be learned.  ``letter`` adds ``lettered`` boolean, which tells
+    the two apart.
     """
 
     def run(texts: list[str | None]) -> list[pa.Array]:
         names, scores = model.predict(texts)
-        return [pa.array(names, pa.string()), pa.array(scores, pa.float64())]
+        made = [pa.array(names, pa.string()), pa.array(scores, pa.float64())]
+        return [*made, pa.array([bool(t and _LETTER.search(t)) for t in texts])] if letter else made
 
-    return map_text(docs, text_col, keep, "lang_pred string, score double", run)
+    return map_text(docs, text_col, keep, "lang_pred string, score double" + ", lettered boolean" * letter, run)

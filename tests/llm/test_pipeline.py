@@ -65,3 +65,18 @@ def test_stages_on_nulls_and_repeated_rows(spark):
         for _, function in pipeline.STAGES[:-1]:
             out = function(spark, out, FOLDER)
         assert [r.doc_id for r in out.orderBy("doc_id").collect()] == ([None, 2] if rows is docs else [])
+
+
+def test_lettered_texts_stay_where_no_language_can_be_learned(spark):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    texts = ["the first text of all", "un autre texte", "123 !!", "", None]
+    docs = spark.createDataFrame([(i, t, None, "s", 0) for i, t in enumerate(texts)], schema)
+    unread = docs.unionByName(spark.createDataFrame([(8, None, "en", "s", 0), (9, "45", "en", "s", 0)], schema))
+    for rows in (docs, unread):
+        out = pipeline.STAGES[0][1](spark, rows, FOLDER)
+        assert sorted((r.doc_id, r.text, r.lang) for r in out.collect()) == [(0, texts[0], None), (1, texts[1], None)]
+    for _, function in pipeline.STAGES:
+        docs = function(spark, docs, FOLDER)
+    assert {r.doc_id for r in docs.collect()} == {0, 1}
+    named = spark.createDataFrame([(i, t, "und", "s", 0) for i, t in enumerate(texts)], schema)
+    assert {r.doc_id for r in pipeline.STAGES[0][1](spark, named, FOLDER).collect()} == {0, 1}
