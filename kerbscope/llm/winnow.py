@@ -95,17 +95,38 @@ def surroundings(hashes: np.ndarray, lines: np.ndarray, sizes: np.ndarray, reach
     return short[np.concatenate([before, after], axis=1)]
 
 
+def _part(column: str, reach: int, back: int, ahead: int) -> Column:
+    """Of such surroundings, the hashes of ``back`` lines before and ``ahead`` after."""
+    return F.substring(column, 4 * (reach - back) + 1, 4 * (back + ahead))
+
+
+def _inside(reach: int, back: int, ahead: int) -> Column:
+    """Whether the text has that many lines before and after."""
+    blank = F.lit(bytes(4))
+    ends = [4 * (reach - back) + 1] * (back > 0) + [4 * (reach + ahead) - 3] * (ahead > 0)
+    return reduce(and_, [F.substring("near", at, 4) != blank for at in ends])
+
+
+def agreeing(reach: int) -> tuple[Column, Column]:
+    """How many lines before and after agree in ``near`` and ``other``."""
+
+    def most(side: list[tuple[int, int]]) -> Column:
+        same = [F.when(_inside(reach, *n) & (_part("near", reach, *n) == _part("other", reach, *n)), F.lit(sum(n))) for n in side]
+        return F.greatest(F.lit(0), F.lit(0), *same)
+
+    steps = range(1, reach + 1)
+    return most([(n, 0) for n in steps]), most([(0, n) for n in steps])
+
+
 def sides(reach: int) -> Column:
-    """From ``near``, for each number of lines before and after (not both 0) that the text has: these and their hashes."""
+    """The numbers of lines before and after in which ``near`` is not ``other``, and the hashes of these lines."""
     found = []
     for back in range(reach + 1):
         for ahead in range(reach + 1 - back):
             if back or ahead:
-                start, length = 4 * (reach - back) + 1, 4 * (back + ahead)
-                part = F.substring("near", start, length)
-                ends = [F.substring("near", at, 4) for at, n in ((start, back), (start + length - 4, ahead)) if n]
-                inside = reduce(and_, [end != F.lit(bytes(4)) for end in ends])
-                found.append(F.when(inside, F.struct(F.lit(back).alias("back"), F.lit(ahead).alias("ahead"), part.alias("part"))))
+                part = _part("near", reach, back, ahead)
+                apart = _inside(reach, back, ahead) & (part != _part("other", reach, back, ahead))
+                found.append(F.when(apart, F.struct(F.lit(back).alias("back"), F.lit(ahead).alias("ahead"), part.alias("part"))))
     return F.filter(F.array(*found), lambda side: side.isNotNull())
 
 
@@ -154,20 +175,24 @@ def remove_repeats(
         for batch in batches:
             for k in range(0, batch.num_rows, 1024):
                 part = batch.slice(k, 1024)
-                row, checks, lines, size, prints, near = [], [], [], [], [], []
+                row, checks, count, lines, size, prints, near = [], [], [], [], [], [], []
                 for i, text in enumerate(part.column(1).to_pylist()):
                     _, hashes, words = line_hashes(split_lines(text))
                     at, sizes, found = fingerprints(hashes, words, window, min_words)
-                    if len(at):
-                        row.append(i)
-                        checks.append(crc32(text.encode()))
-                        lines.append(at)
-                        size.append(sizes)
-                        prints.append(found.astype(np.int64))
-                        near.append(surroundings(hashes, at, sizes, reach))
+                    count.append(len(hashes))
+                    row.append(i)
+                    checks.append(crc32(text.encode()))
+                    lines.append(at)
+                    size.append(sizes)
+                    prints.append(found.astype(np.int64))
+                    near.append(surroundings(hashes, at, sizes, reach))
                 if row:
                     times = [len(at) for at in lines]
                     around = np.concatenate(near)
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column(0), pa.array(checks, pa.int64()), pa.array(count, pa.int32()), pa.array([0] * len(row), pa.int32()), *(pa.nulls(len(row), kind) for kind in (pa.int64(), pa.binary()))],
+                        [*_PLACE, "size", "print", "near"],
+                    )
                     ends = pa.array(np.arange(len(around) + 1, dtype=np.int32) * (8 * reach))
                     yield pa.RecordBatch.from_arrays(
                         [
@@ -183,49 +208,62 @@ def remove_repeats(
             release()
 
     texts = kept.select(kept[id_col].alias("id"), kept[text_col].alias("text")).where("id is not null and text is not null")
-    # Written, because it is read twice and costs more to make than to read.
-    prints = stage(texts.mapInArrow(print_lines, f"id {kind}, body long, line int, size int, print long, near binary"), "prints")
+    # Written, because it is read often and costs more to make than to read.  For each
+    # text there is a row of size 0 with its number of lines.
+    written = stage(texts.mapInArrow(print_lines, f"id {kind}, body long, line int, size int, print long, near binary"), "prints")
+    prints = written.where("size > 0")
     place = F.struct(*_PLACE)
+    # Of rows at one place any surroundings are the same.
+    first = F.min(F.struct(*_PLACE, "near"))
     firsts = stage(
-        prints.groupBy("print").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("print", "first"),
+        prints.groupBy("print").agg(first.alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("print", F.struct(*[f"first.{n}" for n in _PLACE]).alias("first"), F.col("first.near").alias("other")),
         "firsts",
     )
-    again = stage(prints.join(firsts, "print"), "again")
+    met = prints.join(firsts, "print").where(place != F.col("first"))
+    again = stage(met.select(*_PLACE, "size", "print", "near", "other"), "again")
     span = F.struct((F.col("line") - F.col("back")).alias("start"), (F.col("line") + F.col("size") - 1 + F.col("ahead")).alias("end")).alias("span")
-    grown = again.where(place != F.col("first")).withColumns({"back": F.lit(0), "ahead": F.lit(0)}).select("id", "body", span)
+    back, ahead = agreeing(reach)
+    grown = again.withColumns({"back": back, "ahead": ahead}).select("id", "body", span)
     if reach:
+        # A place that agrees with the first needs no other, and the others with its sides agree too.
         sided = again.select(*_PLACE, "size", "print", F.inline(sides(reach)))
         side = ["print", "back", "ahead", "part"]
         nearest = sided.groupBy(*side).agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select(*side, "first")
-        met = sided.join(stage(nearest, "nearest"), side).where(place != F.col("first"))
-        grown = grown.unionByName(met.select("id", "body", span))
+        later = sided.join(stage(nearest, "nearest"), side).where(place != F.col("first"))
+        grown = grown.unionByName(later.select("id", "body", span))
     # As many spans as the text has fingerprints and sides at most.
-    spans = stage(grown.groupBy("id", "body").agg(F.collect_set("span").alias("spans")), "spans")
+    counts = written.where("size = 0").select("id", "body", F.col("line").alias("count"))
+    spans = stage(grown.unionByName(counts, allowMissingColumns=True).groupBy("id", "body").agg(F.collect_set("span").alias("spans"), F.max("count").alias("count")), "spans")
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shape = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
         for batch in batches:
             for k in range(0, batch.num_rows, 512):
                 part = batch.slice(k, 512)
-                new, count, removed = [], [], []
-                for text, own in zip(part.column(1).to_pylist(), part.column(2).to_pylist()):
+                spans, count = part.column(2).to_pylist(), part.column(3).to_pylist()
+                removed: list[list[dict]] = [[] for _ in spans]
+                # Texts whose lines are counted and of which nothing goes are not opened.
+                opened = [i for i, own in enumerate(spans) if own or count[i] is None]
+                new, order = [], np.arange(len(part))
+                for i, text in zip(opened, part.column(1).take(pa.array(opened, pa.int64())).to_pylist()):
                     parts = split_lines(text or "")
-                    where = [i for i, line in enumerate(parts[::2]) if line and not line.isspace()]
-                    runs: list[tuple[int, int]] = []
-                    if own:
-                        words = np.array([len(parts[2 * i].split()) for i in where])
-                        text, runs = cut(parts, where, words, [(s["start"], s["end"]) for s in own], min_words)
+                    where = [k for k, line in enumerate(parts[::2]) if line and not line.isspace()]
+                    if spans[i]:
+                        words = np.array([len(parts[2 * k].split()) for k in where])
+                        text, runs = cut(parts, where, words, [(s["start"], s["end"]) for s in spans[i]], min_words)
+                        removed[i] = [{"start": a, "end": b} for a, b in runs]
+                    order[i] = len(part) + len(new)
                     new.append(text)
-                    count.append(len(where))
-                    removed.append([{"start": a, "end": b} for a, b in runs])
-                made = [pa.array(new, pa.string()), pa.array(count, pa.int32()), pa.array(removed, shape)]
+                    count[i] = len(where)
+                texts = pa.concat_arrays([part.column(1), pa.array(new, pa.string())]).take(pa.array(order))
+                made = [texts, pa.array(count, pa.int32()), pa.array(removed, shape)]
                 yield pa.RecordBatch.from_arrays([part.column(0), *made], ["row", "text", "n_lines", "removed"])
             release()
 
     rest = [n for n in names if n != text_col]
     row = F.struct(*[kept[n] for n in rest]) if rest else F.struct(F.lit(0).alias("none"))
     whole = kept.select(row.alias("row"), kept[id_col].alias("id"), kept[text_col].alias("text")).withColumn("body", body)
-    joined = whole.join(spans, ["id", "body"], "left").select("row", "text", "spans")
+    joined = whole.join(spans, ["id", "body"], "left").select("row", "text", "spans", "count")
     rows = joined.schema["row"].dataType.simpleString()
     out = joined.mapInArrow(apply, f"row {rows}, text string, n_lines int, removed array<struct<start: int, end: int>>")
     return out.select(*[F.col("text").alias(n) if n == text_col else F.col("row").getField(n).alias(n) for n in names], "n_lines", "removed")
