@@ -52,11 +52,21 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """N-gram Jaccard join (10): of each group of near duplicates the smallest id stays.
 
-    Rows with a null id are in no group and stay; of rows that repeat an id one stays.
+    Rows with a null id are in no group and stay; of rows that repeat id and text one
+    stays.  Where an id has several texts, each is compared by itself, and the
+    smallest id, then the smallest hash of the text, stays.
     """
-    found = groups.near_duplicates(docs)
-    kept = stage(found.where("doc_id = component_id").select("doc_id").distinct(), "kept")
-    return docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id is null")).select(*docs.columns)
+    named = docs.where("doc_id is not null").withColumn("_hash", F.xxhash64("text"))
+    clashing = stage(named.groupBy("doc_id").agg(F.min("_hash").alias("a"), F.max("_hash").alias("b")).where("a <> b"), "clashing")
+    key = "doc_id"
+    if not clashing.isEmpty():
+        key = "_key"
+        # Written, as the numbers must not change; they follow the order.
+        keys = stage(named.select("doc_id", "_hash").distinct().orderBy("doc_id", "_hash").withColumn(key, F.monotonically_increasing_id()), "keys")
+        named = stage(named.join(keys, ["doc_id", "_hash"]), "numbered")
+    found = groups.near_duplicates(named.select(key, "text"), id_col=key)
+    kept = stage(found.where(F.col(key) == F.col("component_id")).select(key).distinct(), "kept")
+    return named.join(kept, key, "left_semi").dropDuplicates([key]).select(*docs.columns).unionByName(docs.where("doc_id is null"))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

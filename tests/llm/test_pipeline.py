@@ -80,3 +80,13 @@ def test_lettered_texts_stay_where_no_language_can_be_learned(spark):
     assert {r.doc_id for r in docs.collect()} == {0, 1}
     named = spark.createDataFrame([(i, t, "und", "s", 0) for i, t in enumerate(texts)], schema)
     assert {r.doc_id for r in pipeline.STAGES[0][1](spark, named, FOLDER).collect()} == {0, 1}
+
+
+def test_texts_that_share_an_id_are_compared_each_by_itself(spark):
+    words = [f"w{k}" for k in range(400)]
+    a, b, c, d = (" ".join(words[k : k + 60]) for k in (0, 100, 200, 300))
+    rows = [(1, a), (2, b), (2, c), (2, c), (2, f"{a} more"), (3, f"{c} end"), (4, d), (5, f"{d} end"), (None, a)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    out = pipeline.keep_one_of_each_group(spark, docs, FOLDER)
+    assert out.columns == docs.columns
+    assert sorted(((r.doc_id or 0, r.text) for r in out.collect())) == sorted([(0, a), (1, a), (2, b), (2, c), (4, d)])
