@@ -7,6 +7,7 @@ window it belongs to, ranks by window functions, modes by counting and sorting.
 from __future__ import annotations
 
 from checks.queries import KS, SINKS
+from checks.records import leaves_sql
 from kerbscope.operators.scoring import COMPONENTS
 from kerbscope.plans.model import RANKED_COLUMNS
 from kerbscope.sources.event_mapping import VEHICLES, VIOLATION_TEXTS
@@ -526,6 +527,98 @@ _CSV_SCAN = """SELECT id, created_datetime, latitude, longitude, nullif(violatio
   FROM violations"""
 
 
+# What the records of the jobs say in words, stated a second time.
+_INTERPRETATION = {
+    "precision_at_k": "Share of predicted top-k enforcement hotspots that also appeared in the actual top-k next month.",
+    "ndcg_at_k": "Ranking quality where higher-ranked actual high-impact hotspots are rewarded more.",
+    "spearman_score_correlation": "Rank correlation between historical hotspot score and next-month hotspot score for repeated grid cells.",
+}
+_RUN_OUTPUTS = ("cleaned_sample_records", "hotspot_priority", "station_priority_summary", "enforcement_shift_plan", "month_hour_profile")
+_MODEL_OUTPUTS = ("model_weight_search_top30", "hybrid_model_backtest", "hybrid_model_ranked_hotspots")
+_TOP_TEXTS = ("grid_id", "police_station", "junction_name", "top_vehicle_type", "score_formula", "risk_band", "recommended_action")
+_TOP_NUMBERS = (
+    "priority_rank", "latitude", "longitude", "grid_lat", "grid_lon", "violation_count", "unique_vehicles", "impact_sum", "impact_avg",
+    "peak_hour_share", "junction_share", "active_days", "repeat_density", *COMPONENTS, "congestion_impact_score",
+)
+
+
+def _listed(name: str, texts) -> dict[str, str]:
+    return {f"{name}[{i}]": q(t) for i, t in enumerate(texts)}
+
+
+def _record_sql() -> dict[str, str]:
+    """The nested records of the jobs, one row for each leaf."""
+    clean = (VIOLATIONS, CALENDAR, CLEAN)
+    run = (
+        """
+one AS (SELECT *, (SELECT count(*) FROM violations) AS input_rows, (SELECT count(*) FROM clean) AS used,
+    (SELECT count(*) FROM hotspots) AS cells, (SELECT count(*) FROM hotspots WHERE risk_band = 'Critical') AS critical
+  FROM hotspots WHERE priority_rank = 1)"""
+    )
+    run_texts = {f"top_hotspot.{c}": c for c in _TOP_TEXTS} | _listed("outputs", _RUN_OUTPUTS)
+    run_numbers = {"input_rows": "input_rows", "parking_rows_used": "used", "hotspots": "cells", "critical_hotspots": "critical"}
+    run_numbers |= {f"top_hotspot.{c}": c for c in _TOP_NUMBERS}
+
+    means = "means AS (SELECT count(*) AS backtest_windows, " + ", ".join(f"{rnd(f'avg({c})', 4)} AS {c}" for c in _MEANS) + " FROM backtest)"
+    texts = {"method": q("walk-forward next-month hotspot backtest")}
+    texts |= {f"interpretation.{name}": q(text) for name, text in _INTERPRETATION.items()}
+    months = [c.strip() for c in BACKTEST_COLUMNS.split(",")]
+    place = "'metrics_by_month[' || (row_number() OVER (ORDER BY test_month) - 1) || ']."
+    by_month = [
+        f"SELECT {place}{c}' AS path, {c if c.endswith('_month') or c.endswith('_months') else 'NULL::VARCHAR'} AS text, "
+        + ("NULL::DOUBLE" if c.endswith("_month") or c.endswith("_months") else six(f"{c}::DOUBLE").split(" AS ")[0])
+        + " AS number FROM backtest"
+        for c in months
+    ]
+    evaluation = leaves_sql("means", texts, {"backtest_windows": "backtest_windows"} | {f"metrics_mean.{c}": c for c in _MEANS})
+
+    model_texts = {"model": q("hybrid learned ranking model")} | _listed("features", FEATURES) | _listed("outputs", _MODEL_OUTPUTS)
+    model_numbers = {f"best_weights.{f}": f for f in FEATURES} | {"backtest_windows": "backtest_windows"} | {f"metrics_mean.{c}": c for c in _MEANS}
+    return {
+        "run_record": chain(*clean, HOTSPOTS, run) + leaves_sql("one", run_texts, run_numbers),
+        "evaluation_record": chain(*clean, BACKTEST, "\n" + means) + evaluation + "\nUNION ALL " + "\nUNION ALL ".join(by_month),
+        "model_record": chain(*clean, SEARCH, BLEND_SUMMARY) + leaves_sql("blend", model_texts, model_numbers),
+    }
+
+
+# The first time by id tells whether its column has the day or the month first.
+_FORMATS = """,
+written AS (
+  SELECT id, try_strptime(left(created_datetime, 19), '%Y-%m-%d %H:%M:%S') AS moment FROM violations),
+forms AS (
+  SELECT id, moment,
+    CASE WHEN id % 41 = 40 THEN strftime(moment, '%Y-%m-%d %H:%M:%S') ELSE strftime(moment, '%d/%m/%Y %H:%M') END AS day_first,
+    CASE WHEN id % 43 = 42 THEN strftime(moment, '%d/%m/%Y %H:%M') ELSE strftime(moment, '%m/%d/%Y %I:%M:%S %p') END AS month_first
+  FROM written),
+first AS (SELECT left(arg_min(day_first, id), 2)::INTEGER > 12 AS day FROM forms WHERE day_first IS NOT NULL),
+times AS (
+  SELECT id, moment, day, CASE WHEN day THEN try_strptime(day_first, '%d/%m/%Y %H:%M') ELSE try_strptime(day_first, '%m/%d/%Y %H:%M') END AS a,
+    try_strptime(month_first, '%m/%d/%Y %I:%M:%S %p') AS b
+  FROM forms, first)
+SELECT id, strftime(moment + INTERVAL 330 MINUTE, '%Y-%m-%d %H:%M:%S') AS iso, 'iso' AS iso_format,
+  strftime(a + INTERVAL 330 MINUTE, '%Y-%m-%d %H:%M:%S') AS day_first, CASE WHEN day THEN 'd/M/yyyy H:m' ELSE 'M/d/yyyy H:m' END AS day_first_format,
+  strftime(b + INTERVAL 330 MINUTE, '%Y-%m-%d %H:%M:%S') AS month_first, 'M/d/yyyy h:m:s a' AS month_first_format
+FROM times"""
+
+_REJECTS = """
+SELECT CASE WHEN id % 67 = 4 THEN 'X' || id ELSE id::VARCHAR END AS id,
+  CASE WHEN cause IS NULL AND NOT short THEN latitude END AS latitude,
+  CASE WHEN cause IS NULL AND NOT short AND trim(junction_name) <> '' THEN junction_name END AS junction_name, cause
+FROM (SELECT *, id % 61 = 3 AS short,
+        CASE WHEN id % 61 = 3 THEN NULL WHEN id % 53 = 1 THEN 'too many fields' WHEN id % 59 = 2 THEN 'latitude is no number' END AS cause
+      FROM violations)"""
+
+_BY_MONTH = """
+SELECT id, date, month, hour, grid_id, vehicle_type FROM clean WHERE month < (SELECT max(month) FROM clean)
+UNION ALL
+SELECT id, date, month, hour, grid_id, 'CORRECTED' FROM clean WHERE month = (SELECT max(month) FROM clean) AND id % 2 = 0"""
+
+_VEHICLES = """
+SELECT window_id, grid_id, count(DISTINCT vehicle_number) AS unique_vehicles, true AS within_bound
+FROM clean JOIN (SELECT window_id, month FROM wins WHERE role = 'hist') USING (month)
+WHERE vehicle_number IS NOT NULL GROUP BY window_id, grid_id"""
+
+
 def _plain_sql() -> dict[str, str]:
     clean = (VIOLATIONS, CALENDAR, CLEAN)
     hot = (*clean, HOTSPOTS)
@@ -683,10 +776,13 @@ def _plain_sql() -> dict[str, str]:
           {rnd(f"95 - 90 * ((latitude - min(latitude) OVER ()) / {span['latitude']})", 6)} AS y,
           {rnd("greatest(10.0, least(34.0, 6 + congestion_impact_score / 3.1::DOUBLE))", 6)} AS dot_size
           FROM view_rows""",
-        "view_preview_points": chain(*hot, VIEW)
-        + f"""SELECT priority_rank, risk_band,
+        "view_preview_points": chain(*hot)
+        + f"""SELECT *, {rnd(f"5 + 90 * ((longitude - min(longitude) OVER ()) / {span['longitude']})", 6)} AS x,
+          {rnd(f"95 - 90 * ((latitude - min(latitude) OVER ()) / {span['latitude']})", 6)} AS y,
           {rnd("greatest(8.0, least(34.0, 7 + congestion_impact_score / 4.0::DOUBLE))", 6)} AS dot_size
-          FROM view_rows WHERE priority_rank <= 120""",
+          FROM (SELECT priority_rank, {six("latitude")}, {six("longitude")}, police_station, junction_name,
+            violation_count, {two("congestion_impact_score")}, risk_band, recommended_action
+            FROM hotspots WHERE priority_rank <= 120)""",
         "view_records": chain(*hot, VIEW) + f"SELECT {records} FROM view_rows",
         "view_json_feed": chain(*hot, VIEW)
         + f"SELECT to_json(r)::VARCHAR AS record FROM (SELECT {records} FROM view_rows) r",
@@ -699,6 +795,12 @@ def _plain_sql() -> dict[str, str]:
           UNION ALL SELECT 'month_hour_profile', count(*) FROM profile
           UNION ALL SELECT 'hotspot_priority', count(*) FROM hotspots
           UNION ALL SELECT 'absent', 0""",
+        "calendar_formats": chain(VIOLATIONS).rstrip() + _FORMATS,
+        "csv_rejects": chain(VIOLATIONS) + _REJECTS,
+        "sink_events_by_month": chain(*clean) + _BY_MONTH,
+        "vehicles_approx": chain(*clean, INDEX) + _VEHICLES,
+        "incident_impact_by_table": chain(*clean) + f"SELECT id, {as_double} FROM clean",
+        **_record_sql(),
     }
 
 

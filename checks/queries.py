@@ -11,9 +11,13 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from checks.records import leaves
+from kerbscope import jobs
+from kerbscope.functions.calendar import local_time
 from kerbscope.functions.numeric import half_even
 from kerbscope.functions.text import with_items
-from kerbscope.operators import cells, cleaning, profiles, scaling, shifts, stations, windows
+from kerbscope.functions.timeformats import infer_formats
+from kerbscope.operators import cells, cleaning, profiles, scaling, shifts, stations, vehicles, weights, windows
 from kerbscope.operators.features import (
     history_with_station,
     population_median,
@@ -25,7 +29,7 @@ from kerbscope.plans import model, ranking, views
 from kerbscope.settings import CANDIDATES, FEATURES, KS, CleanSettings
 from kerbscope.sources import tables
 from kerbscope.sources.event_mapping import read_event_violations
-from kerbscope.sources.violations import read_violations
+from kerbscope.sources.violations import land_csv, read_violations
 from kerbscope.staging import new_path, stage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -425,7 +429,8 @@ def view_map_points(spark, folder):
 
 def view_preview_points(spark, folder):
     points = views.preview_points(scored(spark, folder))
-    return points.select("priority_rank", "risk_band", _six("dot_size"))
+    made = ("x", "y", "dot_size")
+    return points.select(*[_six(c) if c in made else c for c in points.columns])
 
 
 def view_records(spark, folder):
@@ -471,6 +476,100 @@ def csv_scan(spark, folder):
     return read_violations(spark, path)
 
 
+def calendar_formats(spark, folder):
+    """Three time columns, each written in one form but for a few strays, and each read by its own first value.
+
+    Every 41st time of the day-first column is in ISO form and every 43rd of the
+    month-first one is day first; a column's format does not read them.
+    """
+    at = F.col("created_datetime").try_cast("timestamp")
+    usual = {"day_first": "dd/MM/yyyy HH:mm", "month_first": "MM/dd/yyyy hh:mm:ss a"}
+    strays = {"day_first": (41, "yyyy-MM-dd HH:mm:ss"), "month_first": (43, "dd/MM/yyyy HH:mm")}
+    columns = {"iso": F.col("created_datetime")}
+    for name, form in usual.items():
+        step, stray = strays[name]
+        columns[name] = F.when(F.col("id") % step == step - 1, F.date_format(at, stray)).otherwise(F.date_format(at, form))
+    table = violations(spark, folder).select("id", *[c.alias(n) for n, c in columns.items()])
+    out = [F.col("id")]
+    for name in columns:
+        formats = infer_formats(table, name, by=F.col("id"))
+        local = F.expr(local_time(name, SETTINGS.zone, formats))
+        out += [F.date_format(local, "yyyy-MM-dd HH:mm:ss").alias(name), F.lit(formats[0]).alias(f"{name}_format")]
+    return table.select(*out)
+
+
+def csv_rejects(spark, folder):
+    """A CSV with damaged records, text ids and short records: the sound rows and the rejected ones with their cause."""
+    raw = violations(spark, folder)
+    key = F.when(F.col("id") % 67 == 4, F.concat(F.lit("X"), "id")).otherwise(F.col("id").cast("string"))
+    north = F.when(F.col("id") % 59 == 2, F.lit("north")).otherwise(F.col("latitude").cast("string"))
+    line = F.to_csv(F.struct(key.alias("id"), "created_datetime", north.alias("latitude"), *raw.columns[3:]), {"escape": "\""})
+    line = F.when(F.col("id") % 53 == 1, F.concat(line, F.lit(",one,more"))).otherwise(line)
+    line = F.when(F.col("id") % 61 == 3, F.concat_ws(",", key, F.lit(""))).otherwise(line)
+    path = f"{new_path(spark, 'damaged')}.csv"
+    # One column whose name is the header, written as it is.
+    raw.select(line.alias(",".join(raw.columns))).write.options(header=True, sep="\x01", quote="").csv(path)
+    landed = land_csv(spark, path)
+    sound = landed.rows.select("id", "latitude", "junction_name", F.lit(None).cast("string").alias("cause"))
+    number = F.coalesce(F.get_json_object("record", "$.id"), F.regexp_extract("record", "^([^,]*),", 1))
+    none = [F.lit(None).cast("double").alias("latitude"), F.lit(None).cast("string").alias("junction_name")]
+    return sound.unionByName(landed.rejects.select(number.alias("id"), *none, "cause"))
+
+
+def sink_events_by_month(spark, folder):
+    """All cleaned events by month, then a corrected last month alone: the other months stay."""
+    cleaned = events(spark, folder).select("id", "date", "month", "hour", "grid_id", "vehicle_type")
+    path = new_path(spark, "events-by-month")
+    tables.write_events(cleaned, path)
+    latest = tables.read_events(spark, path).agg(F.max("month")).first()[0]
+    corrected = cleaned.where((F.col("month") == latest) & (F.col("id") % 2 == 0))
+    tables.write_events(corrected.withColumn("vehicle_type", F.lit("CORRECTED")), path, months_only=True)
+    return tables.read_events(spark, path)
+
+
+def vehicles_approx(spark, folder):
+    """Vehicles of each cell before each window: the exact count, and whether the sketch is within the bound."""
+    cleaned = event_table(spark, folder)
+    index = stage(windows.month_index(cleaned), "months")
+    exact = vehicles.history_vehicles(cleaned, index)
+    approx = vehicles.history_vehicles_approx(stage(vehicles.monthly_sketches(cleaned), "sketches"), index)
+    off = F.abs(F.col("approx_vehicles") - F.col("unique_vehicles"))
+    near = off <= F.greatest(F.lit(1.0), vehicles.ERROR_BOUND * F.col("unique_vehicles"))
+    return exact.join(approx, ["window_id", "grid_id"], "full").select("window_id", "grid_id", "unique_vehicles", F.coalesce(near, F.lit(False)).alias("within_bound"))
+
+
+def incident_impact_by_table(spark, folder):
+    """As ``incident_impact``, with the weights of two tables."""
+
+    def table(pairs: dict[str, str], key: str) -> DataFrame:
+        return weights.weight_table(spark.createDataFrame(list(pairs.items()), f"{key} string, weight string"), key, "weight")
+
+    by_table = weights.WeightTables(table(SETTINGS.severity, "violation"), table(SETTINGS.footprint, "vehicle"))
+    names = ("violation_severity", "vehicle_pcu", "junction_weight", "peak_weight", "incident_impact")
+    return cleaning.clean_events(violations(spark, folder), SETTINGS, by_table).select("id", *[F.col(n).cast("double").alias(n) for n in names])
+
+
+def _written_record(spark, record: DataFrame, schema: str) -> DataFrame:
+    """A nested record written as JSON and read back by its declared schema, leaf by leaf."""
+    path = new_path(spark, "record")
+    tables.write_json(record, path)
+    return leaves(spark.read.schema(schema).json(path))
+
+
+def run_record(spark, folder):
+    cleaned, input_rows = ranking.counted_event_table(violations(spark, folder))
+    return _written_record(spark, jobs.hotspot_summary(input_rows, cleaned, stage(ranking.hotspots(cleaned), "hotspots")), jobs.RUN_SCHEMA)
+
+
+def evaluation_record(spark, folder):
+    return _written_record(spark, jobs.backtest_summary(stage(_backtest(spark, folder), "backtest")), jobs.EVALUATION_SCHEMA)
+
+
+def model_record(spark, folder):
+    _, detail, search = _search(spark, folder)
+    return _written_record(spark, jobs.model_summary(model.hybrid_backtest(detail, search), search), jobs.SUMMARY_SCHEMA)
+
+
 def _through_csv(name: str, query: Query) -> Query:
     """The table of another query, written and read back."""
 
@@ -573,4 +672,12 @@ def _plain_queries() -> dict[str, Query]:
         "view_json_feed": view_json_feed,
         "station_filter_list": station_filter_list,
         "sink_roundtrip": sink_roundtrip,
+        "calendar_formats": calendar_formats,
+        "csv_rejects": csv_rejects,
+        "sink_events_by_month": sink_events_by_month,
+        "vehicles_approx": vehicles_approx,
+        "incident_impact_by_table": incident_impact_by_table,
+        "run_record": run_record,
+        "evaluation_record": evaluation_record,
+        "model_record": model_record,
     }

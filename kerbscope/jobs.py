@@ -4,24 +4,30 @@
 
 The input is the argument, else the ``KERBSCOPE_INPUT`` setting, else
 ``data/violations.csv`` (for ``views``, the tables in ``outputs``).  ``hotspots``,
-``evaluate`` and ``model`` also take the ``cleaned_events`` folder of ``clean``.  Every
-table becomes a folder under the output and replaces an older one.
+``evaluate`` and ``model`` also take the ``cleaned_events`` folder of ``clean``, which is
+known by its columns.  Every table becomes a folder under the output and replaces an
+older one; ``clean --months-only`` replaces the months that occur in its input.  Records
+of a CSV that cannot be used end up in ``rejected_records``, counted by cause in
+``rejected_causes``, and the run goes on without them.
 """
 
 from __future__ import annotations
 
 import argparse
 import os
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from kerbscope.functions.timeformats import infer_formats
 from kerbscope.operators.cleaning import clean_events
 from kerbscope.operators.profiles import hour_profile, month_hour_profile
 from kerbscope.operators.stations import order_stations
 from kerbscope.plans import backtest as bt
 from kerbscope.plans import model, ranking, views
-from kerbscope.settings import FEATURES, INTERPRETATION, KS
+from kerbscope.settings import FEATURES, INTERPRETATION, KS, CleanSettings
+from kerbscope.sources import tables as sinks
 from kerbscope.sources.tables import (
     read_csv_table,
     read_or_empty,
@@ -29,7 +35,7 @@ from kerbscope.sources.tables import (
     write_events,
     write_json,
 )
-from kerbscope.sources.violations import read_violations
+from kerbscope.sources.violations import is_csv, land_csv, read_parquet, reject_counts
 from kerbscope.staging import remove_staged, stage
 
 DEFAULT_INPUT = "data/violations.csv"
@@ -40,57 +46,105 @@ def resolve_input(argument: str | None, default: str = DEFAULT_INPUT) -> str:
     return argument or os.environ.get("KERBSCOPE_INPUT") or default
 
 
-def _is_cleaned(source: str) -> bool:
-    return source.rstrip("/").endswith("cleaned_events")
+def _is_cleaned(spark: SparkSession, source: str) -> bool:
+    return not is_csv(source) and set(ranking.EVENT_COLUMNS) <= set(spark.read.parquet(source).columns)
 
 
-def read_events(spark: SparkSession, source: str, multi_line: bool = True) -> DataFrame:
+@dataclass(frozen=True)
+class Source:
+    """Raw records, how to clean them, and their number where reading told it."""
+
+    rows: DataFrame
+    settings: CleanSettings
+    seen: int | None = None
+
+
+def open_source(spark: SparkSession, source: str, output: str, multi_line: bool | None = None) -> Source:
+    """Raw records of a CSV, whose rejected ones are written beside the output, or of a parquet table."""
+    settings = CleanSettings()
+    if not is_csv(source):
+        rows = read_parquet(spark, source)
+        return Source(rows, replace(settings, time_formats=infer_formats(rows, "created_datetime")))
+    landed = land_csv(spark, source, multi_line)
+    write_json(landed.rejects, f"{output}/rejected_records")
+    write_json(reject_counts(landed.rejects).orderBy("cause"), f"{output}/rejected_causes")
+    return Source(landed.rows, replace(settings, time_formats=landed.time_formats), landed.seen)
+
+
+def read_events(spark: SparkSession, source: str, output: str, multi_line: bool | None = None) -> DataFrame:
     """Events for a plan: the table of the ``clean`` job as it is, or raw records cleaned once."""
-    if _is_cleaned(source):
-        return spark.read.parquet(source)
-    return ranking.event_table(read_violations(spark, source, multi_line))
+    if _is_cleaned(spark, source):
+        return sinks.read_events(spark, source)
+    opened = open_source(spark, source, output, multi_line)
+    return ranking.event_table(opened.rows, opened.settings)
 
 
-def run_clean(spark: SparkSession, source: str, output: str, multi_line: bool = True) -> None:
+def run_clean(spark: SparkSession, source: str, output: str, multi_line: bool | None = None, months_only: bool = False) -> None:
     """Cleaned events as parquet by month, which the other jobs take as input, and the input's size."""
+    opened = open_source(spark, source, output, multi_line)
     seen = Observation("violations")
-    raw = read_violations(spark, source, multi_line).observe(seen, F.count(F.lit(1)).alias("rows"))
-    write_events(clean_events(raw), f"{output}/cleaned_events")
-    record = spark.range(1).select(F.lit(seen.get["rows"]).cast("long").alias("input_rows"))
+    raw = opened.rows.observe(seen, F.count(F.lit(1)).alias("rows"))
+    write_events(clean_events(raw, opened.settings), f"{output}/cleaned_events", months_only)
+    input_rows = opened.seen if opened.seen is not None else seen.get["rows"]
+    record = spark.range(1).select(F.lit(input_rows).cast("long").alias("input_rows"))
     write_json(record, f"{output}/clean_summary")
 
 
-def run_hotspots(spark: SparkSession, source: str, output: str, multi_line: bool = True) -> None:
+def _rows_cleaned(spark: SparkSession, source: str) -> int | None:
+    """What the ``clean`` job wrote beside its table; null if the table was moved alone."""
+    beside = f"{os.path.dirname(source.rstrip('/'))}/clean_summary"
+    record = read_or_empty(spark, "input_rows long", lambda reader: reader.json(beside)).first()
+    return record["input_rows"] if record else None
+
+
+HOTSPOT_TABLES = (
+    "cleaned_sample_records",
+    "hotspot_priority",
+    "station_priority_summary",
+    "enforcement_shift_plan",
+    "month_hour_profile",
+)
+MODEL_TABLES = ("model_weight_search_top30", "hybrid_model_backtest", "hybrid_model_ranked_hotspots")
+
+
+def _names(tables: tuple[str, ...]):
+    return F.array(*[F.lit(name) for name in tables]).alias("outputs")
+
+
+def hotspot_summary(input_rows: int | None, events: DataFrame, hot: DataFrame) -> DataFrame:
+    return ranking.run_summary(input_rows, events, hot).select("*", _names(HOTSPOT_TABLES))
+
+
+def run_hotspots(spark: SparkSession, source: str, output: str, multi_line: bool | None = None) -> None:
     """Hotspots, stations, shift plan, profile, sample and the run summary."""
-    if _is_cleaned(source):
-        cleaned = spark.read.parquet(source)
+    if _is_cleaned(spark, source):
+        cleaned = sinks.read_events(spark, source)
         events, sample = cleaned.select(*ranking.EVENT_COLUMNS), ranking.clean_sample(cleaned)
-        record = f"{source.rstrip('/').removesuffix('cleaned_events')}clean_summary"
-        input_rows = spark.read.schema("input_rows long").json(record).first()["input_rows"]
+        input_rows = _rows_cleaned(spark, source)
     else:
-        raw = read_violations(spark, source, multi_line)
-        events, input_rows = ranking.counted_event_table(raw)
-        sample = ranking.sample_of(events, raw)
+        opened = open_source(spark, source, output, multi_line)
+        events, input_rows = ranking.counted_event_table(opened.rows, opened.settings)
+        sample = ranking.sample_of(events, opened.rows, settings=opened.settings)
+        input_rows = opened.seen if opened.seen is not None else input_rows
     hot = stage(ranking.hotspots(events), "hotspots")
-    tables = {
-        "cleaned_sample_records": sample.withColumn("violation_items", F.to_json("violation_items")),
-        "hotspot_priority": ranking.rank_hotspots(hot).orderBy("priority_rank"),
-        "station_priority_summary": order_stations(ranking.station_summary(events, hot)),
-        "enforcement_shift_plan": ranking.shift_plan(events, hot),
-        "month_hour_profile": month_hour_profile(events).orderBy("month", "hour"),
-    }
-    for name, table in tables.items():
+    tables = (
+        sample.withColumn("violation_items", F.to_json("violation_items")),
+        ranking.rank_hotspots(hot).orderBy("priority_rank"),
+        order_stations(ranking.station_summary(events, hot)),
+        ranking.shift_plan(events, hot),
+        month_hour_profile(events).orderBy("month", "hour"),
+    )
+    for name, table in zip(HOTSPOT_TABLES, tables, strict=True):
         write_csv(table, f"{output}/{name}")
-    names = F.array(*[F.lit(n) for n in tables])
-    summary = ranking.run_summary(input_rows, events, hot).withColumn("outputs", names)
-    write_json(summary, f"{output}/run_summary")
+    write_json(hotspot_summary(input_rows, events, hot), f"{output}/run_summary")
 
 
 def backtest_summary(results: DataFrame, ks=KS) -> DataFrame:
     """One record: method, number of windows, metric means and the rows per month."""
     means = bt.metric_means(results, ks)
     names = [c for c in means.columns if c != "backtest_windows"]
-    rows = results.agg(F.sort_array(F.collect_list(F.struct("test_month", *results.columns))))
+    month = F.struct("test_month", F.struct(*results.columns).alias("row"))
+    rows = results.agg(F.transform(F.sort_array(F.collect_list(month)), lambda m: m["row"]))
     return means.select(
         F.lit("walk-forward next-month hotspot backtest").alias("method"),
         "backtest_windows",
@@ -100,16 +154,16 @@ def backtest_summary(results: DataFrame, ks=KS) -> DataFrame:
     )
 
 
-def run_evaluation(spark: SparkSession, source: str, output: str, multi_line: bool = True) -> None:
+def run_evaluation(spark: SparkSession, source: str, output: str, multi_line: bool | None = None) -> None:
     """Back-test of the plain score."""
-    events = read_events(spark, source, multi_line)
+    events = read_events(spark, source, output, multi_line)
     results = stage(bt.backtest(events), "backtest-result")
     write_csv(results.orderBy("test_month"), f"{output}/prediction_quality_backtest")
     summary = backtest_summary(results)
     write_json(summary, f"{output}/prediction_quality_summary")
 
 
-def model_summary(hybrid: DataFrame, search: DataFrame, outputs: list[str]) -> DataFrame:
+def model_summary(hybrid: DataFrame, search: DataFrame) -> DataFrame:
     blend = model.best_blend(hybrid, search)
     names = [c for c in blend.columns if c not in ("backtest_windows", "best_weights")]
     return blend.select(
@@ -118,25 +172,25 @@ def model_summary(hybrid: DataFrame, search: DataFrame, outputs: list[str]) -> D
         "best_weights",
         "backtest_windows",
         F.struct(*names).alias("metrics_mean"),
-        F.array(*[F.lit(o) for o in outputs]).alias("outputs"),
+        _names(MODEL_TABLES),
     )
 
 
-def run_model(spark: SparkSession, source: str, output: str, multi_line: bool = True) -> None:
+def run_model(spark: SparkSession, source: str, output: str, multi_line: bool | None = None) -> None:
     """Blend search, the winner's back-test and the final ranking."""
-    events = read_events(spark, source, multi_line)
+    events = read_events(spark, source, output, multi_line)
     prepared = model.prepare(events)
     detail = stage(model.candidate_backtest(prepared), "candidates")
     search = stage(model.weight_search(detail), "search")
     hybrid = model.hybrid_backtest(detail, search)
-    tables = {
-        "model_weight_search_top30": model.search_top(search).drop("candidate"),
-        "hybrid_model_backtest": hybrid.orderBy("test_month"),
-        "hybrid_model_ranked_hotspots": model.final_ranking(prepared, search).orderBy("model_rank"),
-    }
-    for name, table in tables.items():
+    tables = (
+        model.search_top(search).drop("candidate"),
+        hybrid.orderBy("test_month"),
+        model.final_ranking(prepared, search).orderBy("model_rank"),
+    )
+    for name, table in zip(MODEL_TABLES, tables, strict=True):
         write_csv(table, f"{output}/{name}")
-    write_json(model_summary(hybrid, search, list(tables)), f"{output}/hybrid_model_summary")
+    write_json(model_summary(hybrid, search), f"{output}/hybrid_model_summary")
 
 
 HOTSPOT_SCHEMA = (
@@ -169,6 +223,23 @@ HYBRID_SCHEMA = (
     "spearman_score_correlation double, "
     + ", ".join(f"{m}_at_{k} double" for k in KS for m in ("precision", "ndcg"))
 )
+RUN_SCHEMA = (
+    "input_rows bigint, parking_rows_used bigint, hotspots bigint, critical_hotspots bigint, "
+    + "top_hotspot struct<"
+    + ", ".join(field.replace(" ", ": ") for field in HOTSPOT_SCHEMA.split(", "))
+    + ">, outputs array<string>"
+)
+EVALUATION_SCHEMA = (
+    "method string, backtest_windows bigint, metrics_mean struct<spearman_score_correlation: double, "
+    + ", ".join(f"{m}_at_{k}: double" for m in ("precision", "ndcg") for k in KS)
+    + ">, metrics_by_month array<struct<train_months: string, test_month: string, train_rows: bigint, "
+    "test_rows: bigint, predicted_hotspots: bigint, actual_hotspots: bigint, common_hotspots: bigint, "
+    "spearman_score_correlation: double, "
+    + ", ".join(f"precision_at_{k}: double, hit_count_at_{k}: bigint, ndcg_at_{k}: double" for k in KS)
+    + ">>, interpretation struct<"
+    + ", ".join(f"{name}: string" for name in INTERPRETATION)
+    + ">"
+)
 SUMMARY_SCHEMA = (
     "model string, features array<string>, best_weights struct<"
     + ", ".join(f"{f}: double" for f in FEATURES)
@@ -182,7 +253,7 @@ def _blank(c: str):
     return F.coalesce(c, F.lit(""))
 
 
-def run_views(spark: SparkSession, source: str, output: str, multi_line: bool = True) -> None:
+def run_views(spark: SparkSession, source: str, output: str, multi_line: bool | None = None) -> None:
     """View tables from the written tables; only the model's tables may be absent, and read as empty."""
 
     def table(name: str, schema: str, optional: bool = False) -> DataFrame:
@@ -230,7 +301,8 @@ def main() -> None:
     parser.add_argument("job", choices=sorted(JOBS))
     parser.add_argument("--input")
     parser.add_argument("--output", default=DEFAULT_TABLES)
-    parser.add_argument("--split-lines", action="store_true", help="no field of the CSV holds a line break, so files can be split")
+    parser.add_argument("--split-lines", action="store_true", help="split CSV files without looking for line breaks in fields")
+    parser.add_argument("--months-only", action="store_true", help="clean: replace the months of the input and keep the others")
     args = parser.parse_args()
     spark = (
         SparkSession.builder.appName(f"kerbscope-{args.job}")
@@ -239,7 +311,8 @@ def main() -> None:
     )
     try:
         default = DEFAULT_TABLES if args.job == "views" else DEFAULT_INPUT
-        JOBS[args.job](spark, resolve_input(args.input, default), args.output, not args.split_lines)
+        options = {"months_only": True} if args.job == "clean" and args.months_only else {}
+        JOBS[args.job](spark, resolve_input(args.input, default), args.output, False if args.split_lines else None, **options)
     finally:
         remove_staged(spark)
         spark.stop()

@@ -12,6 +12,8 @@ No branch sends a cell's raw events to one task.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -75,12 +77,16 @@ def with_centroid(cells: DataFrame) -> DataFrame:
     return cells.withColumns({"latitude": centroid("lat"), "longitude": centroid("lon")})
 
 
-def hotspot_cells(events: DataFrame) -> DataFrame:
-    """The thirteen named aggregates per cell, plus ``rows`` (events in the cell)."""
+def hotspot_cells(events: DataFrame, vehicles: Callable[[DataFrame], DataFrame] = cell_vehicles) -> DataFrame:
+    """The thirteen named aggregates per cell, plus ``rows`` (events in the cell).
+
+    ``vehicles`` counts the distinct vehicles of each cell; ``cell_vehicles_approx`` does
+    so by sketches.
+    """
     joined = (
         cell_totals(events)
         .join(cell_modes(events), "grid_id", "left")
-        .join(cell_vehicles(events), "grid_id", "left")
+        .join(vehicles(events), "grid_id", "left")
     )
     return with_centroid(rates(joined)).select(
         "grid_id",

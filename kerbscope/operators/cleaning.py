@@ -18,6 +18,7 @@ from kerbscope.functions.calendar import (
 )
 from kerbscope.functions.numeric import half_even
 from kerbscope.functions.text import compute_once, literal, literals, not_blank, with_items
+from kerbscope.operators.weights import WeightTables, join_weights
 from kerbscope.settings import KEPT_WORD, NO_JUNCTION, CleanSettings, hundredths
 
 # One impact unit: a product of four two-digit weights is whole in it.
@@ -73,7 +74,7 @@ def _columns(expressions: dict[str, str]) -> dict:
 
 def keep_complete(violations: DataFrame, settings: CleanSettings) -> DataFrame:
     """Rows with a readable time, latitude and longitude (NaN counts as missing)."""
-    time = local_time("created_datetime", settings.zone)
+    time = local_time("created_datetime", settings.zone, settings.time_formats)
     # On the raw columns first: these reach the scan, and no time text is parsed in vain.
     placed = violations.filter("latitude IS NOT NULL").filter("longitude IS NOT NULL")
     placed = placed.filter("created_datetime IS NOT NULL AND NOT isnan(latitude) AND NOT isnan(longitude)")
@@ -105,22 +106,23 @@ def add_calendar(events: DataFrame, settings: CleanSettings) -> DataFrame:
     )
 
 
-def add_weights(events: DataFrame, settings: CleanSettings) -> DataFrame:
+def add_weights(events: DataFrame, settings: CleanSettings, tables: WeightTables | None = None) -> DataFrame:
     """Severity, footprint and the two conditional weights, then their exact product.
 
-    ``impact_units`` is the product in whole 1e-8 units: sums of it are exact
-    and the same under any partitioning.  ``incident_impact`` is the same number
-    as a decimal.
+    The first two come from ``tables`` if given, else from the settings as part of
+    the expression.  ``impact_units`` is the product in whole 1e-8 units: sums of it
+    are exact and the same under any partitioning.  ``incident_impact`` is the same
+    number as a decimal.
     """
-    parts = events.withColumns(
-        _columns(
-            {
-                "near_junction": junction_flag("junction_name"),
-                "_severity": severity_hundredths("violation_items", settings),
-                "_vehicle": vehicle_hundredths("vehicle_type", settings),
-            }
-        )
-    )
+    expressions = {"near_junction": junction_flag("junction_name")}
+    if tables is None:
+        expressions |= {
+            "_severity": severity_hundredths("violation_items", settings),
+            "_vehicle": vehicle_hundredths("vehicle_type", settings),
+        }
+    else:
+        events = join_weights(events, tables, settings)
+    parts = events.withColumns(_columns(expressions))
     at_junction, at_peak = hundredths(settings.junction_weight), hundredths(settings.peak_weight)
     weighted = parts.withColumns(
         _columns(
@@ -154,8 +156,8 @@ def add_cells(events: DataFrame, digits: int = 3) -> DataFrame:
     return binned.withColumn("grid_id", F.expr("concat_ws(',', string(grid_lat), string(grid_lon))"))
 
 
-def clean_events(violations: DataFrame, settings: CleanSettings | None = None) -> DataFrame:
-    """The whole cleaning stage, lazily."""
+def clean_events(violations: DataFrame, settings: CleanSettings | None = None, tables: WeightTables | None = None) -> DataFrame:
+    """The whole cleaning stage, lazily; with weights from ``tables``, two joins and a pass over the texts more."""
     settings = settings or CleanSettings()
     events = keep_parking(keep_complete(violations, settings))
-    return add_cells(add_weights(add_calendar(events, settings), settings))
+    return add_cells(add_weights(add_calendar(events, settings), settings, tables))

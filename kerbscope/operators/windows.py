@@ -102,7 +102,7 @@ def month_population(facts: MonthlyFacts) -> DataFrame:
     return rates(facts.cells)
 
 
-def _valid_windows(over: Window) -> Column:
+def valid_windows(over: Window) -> Column:
     """Windows for which a running total through this month is the latest one."""
     following = F.lead("month_idx").over(over)
     return F.sequence(F.col("month_idx") + 1, F.coalesce(following, F.col("n_months") + 1))
@@ -121,7 +121,7 @@ def history_population(facts: MonthlyFacts, final: bool = False) -> DataFrame:
         "grid_lon",
         "n_months",
         *[F.sum(c).over(through).alias(c) for c in ADDITIVE],
-        _valid_windows(over).alias("windows"),
+        valid_windows(over).alias("windows"),
     )
     rows = totals.withColumn("window_id", F.explode("windows")).drop("windows")
     if not final:
@@ -138,7 +138,7 @@ def history_modes(events: DataFrame, index: DataFrame) -> DataFrame:
         "grid_id",
         *columns,
         F.sum("n").over(over.rowsBetween(Window.unboundedPreceding, 0)).alias("n"),
-        _valid_windows(over).alias("windows"),
+        valid_windows(over).alias("windows"),
     )
     rows = running.withColumn("window_id", F.explode("windows"))
     return rows.groupBy("window_id", "grid_id").agg(

@@ -99,8 +99,10 @@ def shift_plan(events: DataFrame, scored: DataFrame, top_n: int = 40, hours: int
 
 
 def clean_sample(events: DataFrame, n: int = 5000) -> DataFrame:
-    """First ``n`` cleaned rows by id; tables have no file order."""
-    return events.orderBy("id").limit(n)
+    """First ``n`` cleaned rows by id; tables have no file order.  Of text ids, numbers come first, by value."""
+    if dict(events.dtypes)["id"] != "string":
+        return events.orderBy("id").limit(n)
+    return events.orderBy(F.col("id").try_cast("decimal(38,0)").asc_nulls_last(), "id").limit(n)
 
 
 def counted_event_table(violations: DataFrame, settings: CleanSettings | None = None) -> tuple[DataFrame, int]:

@@ -6,6 +6,8 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from decimal import Decimal
 
+from kerbscope.functions.timeformats import ISO
+
 # ---------------------------------------------------------------- fixed values
 # Results depend on these exact values; they are data, not tuning knobs.
 
@@ -117,3 +119,4 @@ class CleanSettings:
     peak_weight: str = PEAK_WEIGHT
     peak_hours: tuple[int, ...] = PEAK_HOURS
     zone: str = LOCAL_ZONE
+    time_formats: tuple[str, ...] = (ISO,)

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Blanks around a text are part of it, in both directions.
 _CSV = {
@@ -28,13 +29,28 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("ignoreNullFields", False).json(path)
 
 
-def write_events(events: DataFrame, path: str) -> None:
+def write_events(events: DataFrame, path: str, months_only: bool = False) -> None:
     """Cleaned events as parquet by month.
 
-    Rows are rebalanced by (month, day), so that a month is written by as many
-    tasks as its days need and AQE splits a day that is too large for one.
+    An older table is replaced; with ``months_only`` just its months that occur in
+    ``events``, and the others stay as they are.  Rows are rebalanced by (month, day),
+    so that a month is written by as many tasks as its days need and AQE splits a day
+    that is too large for one.
     """
-    events.hint("rebalance", F.col("month"), F.col("date")).write.mode("overwrite").partitionBy("month").parquet(path)
+    writer = events.hint("rebalance", F.col("month"), F.col("date")).write.mode("overwrite").partitionBy("month")
+    writer.option("partitionOverwriteMode", "dynamic" if months_only else "static").parquet(path)
+
+
+def read_events(spark: SparkSession, path: str, first: str | None = None, last: str | None = None) -> DataFrame:
+    """The table that ``write_events`` wrote, from month ``first`` to ``last``; other months' files are not opened.
+
+    The month is a text whatever the folders' names look like.
+    """
+    fields = [f for f in spark.read.parquet(path).schema if f.name != "month"]
+    events = spark.read.schema(T.StructType([*fields, T.StructField("month", T.StringType())])).parquet(path)
+    if first is not None:
+        events = events.where(F.col("month") >= first)
+    return events if last is None else events.where(F.col("month") <= last)
 
 
 def read_or_empty(

@@ -84,7 +84,7 @@ def tables(out):
     return {
         p.name: sorted(line for f in p.glob("part-*") for line in f.read_text().splitlines())
         for p in Path(out).iterdir()
-        if p.is_dir() and p.name not in ("cleaned_events", "clean_summary", "views", "before")
+        if p.is_dir() and p.name not in ("cleaned_events", "clean_summary", "views", "before", "rejected_records", "rejected_causes")
     }
 
 
