@@ -32,91 +32,185 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kerbscope.llm.arrays import release
+from kerbscope.llm.arrays import release, text_slices
 from kerbscope.staging import stage
 
 ROUNDS = 64
 SLACK = 0.02
 RATE = 4.0
 
-#: Words kept per worker with their ids; emptied when full, results do not depend on it.
+#: Words kept per worker with their ids, and the longest of them in bytes.
 CACHED_WORDS = 450_000
 CACHED_LENGTH = 64
+SLICE_BYTES = 6_000_000
 
 
 # ------------------------------------------------------------------ tokens
 
 
-#: Marks at the end of a word, after a letter (of the first 256 characters) or digit.
-#: They are tokens of their own, so a space before them changes nothing, and the
-#: word is then the same as without them.  Not with an apostrophe, which may
-#: begin a suffix, nor a bar, which ends special tokens.
-_MARK = re.compile(
-    rb"(?:(?<=[a-z0-9])|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]))([!-&(-/:-@\[-`{}~]+)(?=[ \t\r\n]|$)"
-)
+def _class(*ranges: tuple[int, int]) -> np.ndarray:
+    table = np.zeros(256, bool)
+    for low, high in ranges:
+        table[low : high + 1] = True
+    return table
 
 
-@lru_cache(maxsize=2)
-def _tokenizer(path: str):
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
+#: ASCII white space; what ends a letter of the first 256 characters or a digit; and
+#: marks.  Marks at the end of a word, right after a letter or digit, are tokens of
+#: their own, so the word is the same as without them.  Not with an apostrophe, which
+#: may begin a suffix, nor a bar, which ends special tokens.
+_BLANK = _class((0x09, 0x0D), (0x20, 0x20))
+_ALNUM = _class((ord("a"), ord("z")), (ord("0"), ord("9")))
+_AFTER_C3 = _class((0x80, 0x96), (0x98, 0xB6), (0xB8, 0xBF))
+_MARK = _class((0x21, 0x26), (0x28, 0x2F), (0x3A, 0x40), (0x5B, 0x60), (0x7B, 0x7B), (0x7D, 0x7E))
+_FIRST_BLANK = re.compile(rb"[\x09-\x0d ]")
 
-    tokenizer = Tokenizer.from_file(path)
-    ends = np.zeros(tokenizer.get_vocab_size(), bool)
-    for token, number in tokenizer.get_vocab().items():
-        ends[number] = token.endswith("</w>")
-    return tokenizer, ends, {}
 
+def _lower(data: bytes) -> bytes:
+    """ASCII letters in lower case, as the tokenizer has them, but for words with ``<|``.
 
-def _words(text: str | None) -> list[bytes]:
-    """The parts between ASCII white space, ASCII letters in lower case as the tokenizer has them."""
-    return _MARK.sub(rb" \1", (text or "").encode().lower()).split()
+    A special token is one in its own spelling only, so such words stay for the
+    tokenizer to judge.
+    """
+    low = data.lower()
+    at = data.find(b"<|")
+    if at < 0:
+        return low
+    kept = bytearray(low)
+    while at >= 0:
+        start = max(data.rfind(blank, 0, at) for blank in (b" ", b"\n", b"\t", b"\r", b"\x0b", b"\x0c")) + 1
+        end = _FIRST_BLANK.search(data, at)
+        stop = end.start() if end else len(data)
+        kept[start:stop] = data[start:stop]
+        at = data.find(b"<|", stop)
+    return bytes(kept)
+
+
+def split_words(data: bytes) -> tuple[pa.BinaryArray, np.ndarray]:
+    """The parts between ASCII white space, marks at their ends apart, and where each begins."""
+    raw = np.frombuffer(data, np.uint8)
+    blank = _BLANK[raw]
+    begins = ~blank
+    begins[1:] &= blank[:-1]
+    last = np.flatnonzero(~blank & np.r_[blank[1:], True])
+    last = last[_MARK[raw[last]]]
+    if len(last):
+        place = np.arange(len(raw), dtype=np.int32 if len(raw) < 2**31 else np.int64)
+        place[_MARK[raw]] = -1
+        before = np.maximum.accumulate(place)[last]
+        before = before[before >= 0]
+        byte = raw[before]
+        letter = _ALNUM[byte] | (_AFTER_C3[byte] & (raw[before - 1] == 0xC3) & (before > 0))
+        begins[before[letter] + 1] = True
+    starts = np.flatnonzero(begins)
+    held = ~blank
+    solid = raw[held]
+    offsets = (np.cumsum(held) - held)[starts] if len(starts) else starts
+    ends = np.append(offsets, len(solid)).astype(np.int32)
+    return pa.BinaryArray.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(solid.tobytes())]), starts
+
+
+def _as_bytes(words: pa.BinaryArray) -> list[bytes]:
+    """As ``to_pylist`` of an array without nulls, some times faster."""
+    data = words.buffers()[2]
+    raw = data.to_pybytes() if data is not None else b""
+    edges = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1].tolist()
+    return [raw[a:b] for a, b in zip(edges, edges[1:])]
 
 
-def _encode(words: list[bytes], tokenizer, ends: np.ndarray) -> Iterator[tuple[bytes, bytes]]:
-    """Words with their ids (unsigned little-endian 32 bit).
+class WordIds:
+    """Ids of words (unsigned little-endian 32 bit) by the tokenizer.
 
-    Words of plain letters have one end mark each, so many are encoded as one text
-    and told apart by it; all others are encoded one by one.
+    Words met lately are kept, in two generations: when the younger is full it
+    becomes the older, whose words come back as they are met.  Results do not depend
+    on what is kept.
     """
-    plain, other = [], []
-    for word in words:
-        text = word.decode()
-        (plain if len(word) <= CACHED_LENGTH and text.isalpha() and max(text) < "\u0100" else other).append((word, text))
-    groups = [plain[k : k + 200] for k in range(0, len(plain), 200)]
-    for group, made in zip(groups, tokenizer.encode_batch_fast([" ".join(t for _, t in g) for g in groups], add_special_tokens=False)):
-        ids = np.array(made.ids, "<u4")
-        stops = ((np.flatnonzero(ends[ids]) + 1) * 4).tolist()
-        if len(stops) != len(group):
-            other += group
-            continue
-        data, start = ids.tobytes(), 0
-        for (word, _), stop in zip(group, stops):
-            yield word, data[start:stop]
-            start = stop
-    for (word, _), made in zip(other, tokenizer.encode_batch_fast([t for _, t in other], add_special_tokens=False)):
-        yield word, np.array(made.ids, "<u4").tobytes()
+
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        for token, number in self.tokenizer.get_vocab().items():
+            self.ends[number] = token.endswith("</w>")
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+
+    def of(self, words: list[bytes]) -> list[bytes]:
+        """Ids of distinct words."""
+        known, old = self.young, self.old
+        new = [w for w in words if w not in known]
+        known.update({w: old[w] for w in new if w in old})
+        new = [w for w in new if w not in old]
+        for k in range(0, len(new), 10_000):
+            self._learn(new[k : k + 10_000])
+        found = list(map(known.__getitem__, words))
+        for word in new:
+            if len(word) > CACHED_LENGTH:
+                del known[word]
+        if len(known) > CACHED_WORDS // 2:
+            self.old, self.young = known, {}
+        return found
+
+    def _learn(self, words: list[bytes]) -> None:
+        """Words of plain letters have one end mark each, so many are encoded as one
+        text and told apart by it; all others are encoded one by one."""
+        plain = [w for w in words if w.isalpha() and len(w) <= CACHED_LENGTH]
+        other = []
+        for word in words:
+            if not word.isalpha() or len(word) > CACHED_LENGTH:
+                text = word.decode()
+                (plain if len(word) <= CACHED_LENGTH and text.isalpha() and max(text) < "\u0100" else other).append(word)
+        groups = [plain[k : k + 100] for k in range(0, len(plain), 100)]
+        texts = [b" ".join(group).decode() for group in groups]
+        for group, made in zip(groups, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+            ids = np.array(made.ids, "<u4")
+            stops = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
+            if len(stops) != len(group):
+                other += group
+                continue
+            data = ids.tobytes()
+            self.young.update(zip(group, [data[a:b] for a, b in zip([0, *stops], stops)]))
+        for word, made in zip(other, self.tokenizer.encode_batch_fast([w.decode() for w in other], add_special_tokens=False)):
+            self.young[word] = np.array(made.ids, "<u4").tobytes()
 
 
-class WordIds:
-    """Ids of every word of some texts, for as long as the texts are worked on."""
+@lru_cache(maxsize=2)
+def _word_ids(path: str) -> WordIds:
+    return WordIds(path)
 
-    def __init__(self, texts: list[list[bytes]], path: str):
-        self.tokenizer, self.ends, self.known = _tokenizer(path)
-        words = set().union(*texts)
-        if len(self.known) > CACHED_WORDS:
-            self.known.clear()
-        new = list(words.difference(self.known))
-        self.long = [w for w in new if len(w) > CACHED_LENGTH]
-        for k in range(0, len(new), 20_000):
-            self.known.update(_encode(new[k : k + 20_000], self.tokenizer, self.ends))
 
-    def __enter__(self) -> dict[bytes, bytes]:
-        return self.known
+def text_ids(texts: list[bytes], tokenizer_path: str, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all texts, each followed by ``end_id``, and how many each has.
 
-    def __exit__(self, *_) -> None:
-        for word in self.long:
-            self.known.pop(word, None)
+    The tokenizer drops white space and no token spans it, so a text is the row of
+    its words' ids.  A text is worked on in parts that end at white space.
+    """
+    known = _word_ids(tokenizer_path)
+    data = _lower(b"\n".join([*texts, b""]))
+    first = np.cumsum([0, *(len(t) + 1 for t in texts)])
+    made, sizes = [], np.zeros(len(texts), np.int64)
+    at = 0
+    while at < len(data):
+        stop = _FIRST_BLANK.search(data, min(at + SLICE_BYTES, len(data) - 1)).end()
+        words, starts = split_words(data[at:stop])
+        coded = words.dictionary_encode()
+        ids = known.of(_as_bytes(coded.dictionary))
+        length = np.fromiter(map(len, ids), np.int32, len(ids)) // 4
+        flat = np.frombuffer(b"".join(ids), "<u4")
+        code = coded.indices.to_numpy()
+        many = length[code]
+        ends = np.cumsum(many, dtype=np.int32)
+        shift = (np.cumsum(length, dtype=np.int32) - length)[code] - (ends - many)
+        place = np.repeat(shift, many)
+        place += np.arange(len(place), dtype=np.int32)
+        made.append(flat[place])
+        row = np.searchsorted(first, starts + at, "right") - 1
+        sizes += np.bincount(row, many, len(texts)).astype(np.int64)
+        at = stop
+    whole = np.concatenate([np.empty(0, "<u4"), *made])
+    return np.insert(whole, np.cumsum(sizes), end_id), sizes + 1
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -124,34 +218,30 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int, end_id: int = 0,
 
     A document is its tokens, then ``end_id``; ids are packed as unsigned
     little-endian 32-bit numbers.  Only a document of more than ``capacity`` ids
-    is cut, into pieces of ``capacity`` and a rest.  The tokenizer drops white
-    space and no token spans it, so each word's ids are looked up once per
-    worker.  A null text counts as empty: one piece with the end alone.  Null and
-    repeated ids are kept, row for row; other columns are not read.
+    is cut, into pieces of ``capacity`` and a rest.  Each distinct word of a slice of
+    texts is looked up once.  A null text counts as empty: one piece with the end
+    alone.  Null and repeated ids are kept, row for row; other columns are not read.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k in range(0, batch.num_rows, 512):
-                part = batch.slice(k, 512)
-                texts = [_words(t) for t in part.column(1).to_pylist()]
-                row, piece, start, data = [], [], [], []
-                with WordIds(texts, tokenizer_path) as known:
-                    whole = [b"".join(map(known.__getitem__, words)) + end for words in texts]
-                for i, ids in enumerate(whole):
-                    for n, at in enumerate(range(0, len(ids), 4 * capacity)):
-                        row.append(i)
-                        piece.append(n)
-                        start.append(at // 4)
-                        data.append(ids[at : at + 4 * capacity])
-                lengths = pa.array([len(x) // 4 for x in data], pa.int64())
+            for part in text_slices(batch.column(1), SLICE_BYTES):
+                rows = batch.slice(part.start, part.stop - part.start)
+                texts = rows.column(1).cast(pa.binary()).fill_null(b"").to_pylist()
+                ids, sizes = text_ids(texts, tokenizer_path, end_id)
+                many = -(-sizes // capacity)
+                row = np.repeat(np.arange(len(sizes)), many)
+                piece = np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
+                start = piece * capacity
+                length = np.minimum(sizes[row] - start, capacity)
+                edges = np.r_[0, np.cumsum(length * 4)].astype(np.int32)
+                data = pa.BinaryArray.from_buffers(pa.binary(), len(row), [None, pa.py_buffer(edges.tobytes()), pa.py_buffer(ids.tobytes())])
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), lengths, pa.array(data, pa.binary())],
+                    [rows.column(0).take(pa.array(row)), pa.array(piece.astype(np.int32)), pa.array(start), pa.array(length), data],
                     ["id", "piece", "start", "length", "ids"],
                 )
             release()
 
-    end = np.array([end_id], "<u4").tobytes()
     source = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
     kind = source.schema["id"].dataType.simpleString()
     return source.mapInArrow(run, f"id {kind}, piece int, start long, length long, ids binary").withColumnRenamed("id", id_col)

@@ -273,17 +273,36 @@ def test_packing_of_the_given_texts(spark):
     assert len({r.sequence_id for r in out}) <= bound * 1.01 + 1
 
 
-def test_words_by_themselves_are_tokenised_like_whole_texts():
+@pytest.mark.parametrize("part", [40, 6_000_000])  # bytes worked on at once
+def test_words_by_themselves_are_tokenised_like_whole_texts(monkeypatch, part):
+    monkeypatch.setattr(packing, "SLICE_BYTES", part)
     rnd = random.Random(3)
     letters = "abZÉé́ßİıΣσς  \n\t\x0b\x1c\x85\xa0.,;:!?'s0²Ⅷ漢<|>🙂ªµ"
     texts = ["".join(rnd.choice(letters) for _ in range(rnd.randint(0, 40))) for _ in range(3000)]
-    texts += ["x<|endoftext|>y, a.", "It's you're. we'll!", "A.B. c.. d?! e,", "x<|endoftext|> y*** z### é&&& ×, ÷. ß$%.", "a" * 5000, None]
+    texts += ["x<|endoftext|>y, a.", "It's you're. we'll!", "A.B. c.. d?! e,", "x<|endoftext|> y*** z### é&&& ×, ÷. ß$%.", "a" * 5000, ""]
+    texts += ["<|ENDOFTEXT|> hi", "<|EndOfText|>x", "A<|endoftext|>B. C", "<|startoftext|>X<|STARTOFTEXT|>", "É.<|", "<|", ". .a .", "!"]
+    for mark in ("<|startoftext|>", "<|endoftext|>"):
+        mixes = ["".join(rnd.choice([c, c.upper()]) for c in mark) for _ in range(50)]
+        texts += [rnd.choice(["", "Word ", "x", "É"]) + m + rnd.choice(["", " Word.", "Y,", "\n"]) for m in [*mixes, mark]]
     tokenizer = Tokenizer.from_file(PATH)
-    words = [packing._words(t) for t in texts]
-    with packing.WordIds(words, PATH) as known:
-        for text, own in zip(texts, words):
-            ids = np.frombuffer(b"".join(known[w] for w in own), "<u4").tolist()
-            assert ids == tokenizer.encode(text or "", add_special_tokens=False).ids
+    for _ in range(2):  # the second time from the words kept
+        ids, sizes = packing.text_ids([t.encode() for t in texts], PATH, 0)
+        edges = np.r_[0, np.cumsum(sizes)]
+        assert edges[-1] == len(ids)
+        for text, a, b in zip(texts, edges, edges[1:]):
+            assert ids[a:b].tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 0], text
+
+
+def test_kept_words_are_bounded_and_change_nothing(monkeypatch):
+    monkeypatch.setattr(packing, "CACHED_WORDS", 40)
+    known = packing.WordIds(PATH)
+    rnd = random.Random(4)
+    words = [f"w{'abcdefgh'[k % 8]}{'xyz'[k % 3] * (k // 9)}" for k in range(300)] + ["y" * 100, "é" * 9]
+    whole = dict(zip(words, packing.WordIds(PATH).of([w.encode() for w in words])))
+    for _ in range(40):
+        some = rnd.sample(words, 15)
+        assert known.of([w.encode() for w in some]) == [whole[w] for w in some]
+        assert len(known.young) + len(known.old) <= 40 + 2 * 15 and b"y" * 100 not in known.young
 
 
 def best_fit(counts, capacity):
