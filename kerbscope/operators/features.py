@@ -83,17 +83,18 @@ def prediction_features(events: DataFrame, facts: MonthlyFacts, scores: DataFram
 
 
 def features_of(history: DataFrame, means: DataFrame, scores: DataFrame) -> DataFrame:
-    medians = population_median(history, "history")
+    """The median is worked out only if a station has no mean, which the written table tells at once."""
     joined = (
         history.join(_as_of(scores, 1, "last_month"), ["window_id", "grid_id"], "left")
         .join(_as_of(scores, 2, "prev_month"), ["window_id", "grid_id"], "left")
         .fillna(0.0, subset=["last_month", "prev_month"])
         .join(means, ["window_id", "police_station"], "left")
-        .join(medians, "window_id")
-        .withColumn("station", F.coalesce("station", "median_score"))
-        .drop("median_score")
     )
     trend = F.col("last_month") - F.col("prev_month")
     peak_junction = 0.55 * F.col("peak_hour_weight_score") + 0.45 * F.col("junction_proximity_score")
-    raw = joined.withColumns({"trend_raw": trend, "trend": trend, "peak_junction": peak_junction})
-    return feature_minmax(stage(raw, "features"), FEATURES, ["window_id"])
+    raw = stage(joined.withColumns({"trend_raw": trend, "trend": trend, "peak_junction": peak_junction}), "features")
+    if not raw.where("station IS NULL").isEmpty():
+        medians = population_median(history, "history")
+        raw = raw.join(medians, "window_id").withColumn("station", F.coalesce("station", "median_score")).drop("median_score")
+        raw = stage(raw, "features")
+    return feature_minmax(raw, FEATURES, ["window_id"])

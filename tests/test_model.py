@@ -183,3 +183,19 @@ def test_metrics_stay_in_range(events):
     ordered = sorted(rows, key=lambda r: r.test_month)
     for a, b in zip(ordered, ordered[1:], strict=False):
         assert b.train_rows == a.train_rows + a.test_rows
+
+
+def test_a_station_without_a_mean_takes_the_median(spark):
+    from kerbscope.operators.features import features_of
+
+    rows = [(2, f"c{k}", s, float(h)) for k, (s, h) in enumerate([("A", 10), ("A", 30), ("B", 50), ("C", 80), ("C", 90)])]
+    history = spark.createDataFrame(rows, "window_id int, grid_id string, police_station string, history double").selectExpr(
+        "*", "false is_final", "0D latitude", "0D longitude", "'' junction_name", "0D peak_hour_weight_score", "0D junction_proximity_score", "0D repeat_hotspot_density_score"
+    )
+    scores = spark.createDataFrame([], "month_idx int, grid_id string, score double")
+    whole = spark.createDataFrame([(2, "A", 20.0), (2, "B", 40.0), (2, "C", 85.0)], "window_id int, police_station string, station double")
+    found = {r.grid_id: r.station for r in features_of(history, whole.where("police_station != 'B'"), scores).collect()}
+    # B takes the median 50 of all cells; A has 20 and C 85.
+    assert found == {"c0": 0.0, "c1": 0.0, "c2": pytest.approx(100 * 30 / 65), "c3": 100.0, "c4": 100.0}
+    found = {r.grid_id: r.station for r in features_of(history, whole, scores).collect()}
+    assert found["c2"] == pytest.approx(100 * 20 / 65)
