@@ -3,10 +3,11 @@
 Texts whose shingle sets have a Jaccard similarity of at least ``percent`` / 100
 are linked; the result is exact.
 
-1. Shingles (five words) are counted over all texts by ranges of their hash.  A
-   shingle that one text alone holds cannot be shared, so a text goes on only
-   if its repeated shingles could make up the similarity.
-2. Equal sets are one class.  The classes are partitioned into groups of
+1. Shingles (five words) are counted over all texts by ranges of their hash, after
+   each block of texts has counted its own.  A shingle that one text alone holds
+   cannot be shared, so a text goes on only if its repeated shingles could make up
+   the similarity.
+2. Equal sets are one class, of which one text goes on.  These are partitioned into groups of
    similar sets (equal least hash; a large group is dealt to parts), and each
    group stores the union of its sets: one row of the matrix.
 3. A set of ``n`` shingles that links into a group shares at least
@@ -23,15 +24,18 @@ written, never all pairs.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kerbscope.llm.arrays import mix, pack, pack_sorted, range_edges, release, split_words, text_slices, unpack, unpack_sorted, word_numbers
+from kerbscope.llm.arrays import mix, pack, release, split_words, text_slices, unpack, word_numbers
 from kerbscope.llm.common import components
-from kerbscope.staging import stage
+from kerbscope.llm.ranges import answer, answers_of, asks, with_answers
+from kerbscope.staging import scratch, stage
 
 WIDTH = 5
 PERCENT = 80
@@ -44,13 +48,21 @@ GROUP = 128
 # ------------------------------------------------------------------ shingles
 
 
-def shingles(texts: pa.Array, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
+def word_values(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the distinct words, most frequent first, the number of each word in turn, and words a text."""
+    words, sizes = split_words(texts)
+    number, names = word_numbers(words)
+    rank = np.argsort(-np.bincount(number, minlength=len(names)), kind="stable")
+    place = np.empty_like(rank)
+    place[rank] = np.arange(len(rank))
+    return names[rank], place[number], sizes
+
+
+def shingles(names: np.ndarray, number: np.ndarray, sizes: np.ndarray, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the distinct shingles of each text, in order, and the texts they belong to.
 
     A text of fewer than ``width`` words is one shingle; one without words has none.
     """
-    words, sizes = split_words(texts)
-    number, names = word_numbers(words)
     value = names[number] if len(number) else np.empty(0, np.uint64)
     row = np.repeat(np.arange(len(sizes)), sizes)
     begins = np.cumsum(sizes) - sizes
@@ -88,111 +100,112 @@ def set_names(code: np.ndarray, row: np.ndarray, n: int) -> tuple[np.ndarray, np
     return sizes, names[0], names[1]
 
 
-def _sizes(texts: DataFrame, width: int) -> DataFrame:
-    kind = texts.schema["id"].dataType.simpleString()
+@dataclass
+class Block:
+    """Texts by the numbers of their words, which are numbered within the block."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for rows in text_slices(batch.column(1), CHUNK_BYTES):
-                part = batch.slice(rows.start, rows.stop - rows.start)
-                code, row = shingles(part.column(1), width)
-                yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(x) for x in set_names(code, row, len(part)))], ["id", "n", "x", "y"])
-                del code, row
-                release()
+    ids: pa.Array
+    names: np.ndarray
+    number: np.ndarray
+    sizes: np.ndarray
 
-    return stage(texts.mapInArrow(run, f"id {kind}, n long, x long, y long"), "sizes")
+    @staticmethod
+    def read(ids: pa.Array, names: bytes, number: bytes, sizes: bytes) -> Block:
+        return Block(ids, unpack(names, np.uint64), unpack(number, np.uint32).astype(np.int64), unpack(sizes, np.int64))
 
+    def shingles(self, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Shingles of the texts with an id, the texts, and where each shingle begins."""
+        code, row = shingles(self.names, self.number, self.sizes, width)
+        named = self.ids.is_valid().to_numpy(zero_copy_only=False)[row]
+        code, row = code[named], row[named]
+        return code, row, np.flatnonzero(np.r_[True, code[1:] != code[:-1]][: len(code)])
 
-def repeated_shingles(texts: DataFrame, total: int, width: int) -> DataFrame:
-    """Rows ``id``, ``shingles`` binary: of each text the shingles that others hold too, rarest first."""
-    bits = max(0, (total // RANGE).bit_length())
 
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def text_blocks(texts: DataFrame, width: int) -> DataFrame:
+    """Written table of blocks of texts, with the size of each text's set and two names of it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, made = TaskContext.get().partitionId(), 0
         for batch in batches:
             for rows in text_slices(batch.column(1), CHUNK_BYTES):
-                part = batch.slice(rows.start, rows.stop - rows.start)
-                code, row = shingles(part.column(1), width)
-                owner = part.column(0).to_numpy(zero_copy_only=False).astype(np.int64)[row]
-                at = range_edges(code, bits)
-                own = np.flatnonzero(np.diff(at))
+                own = batch.slice(rows.start, rows.stop - rows.start)
+                names, number, sizes = word_values(own.column(1))
+                told = set_names(*shingles(names, number, sizes, width), len(own))
+                data = [pack(names), pack(number.astype(np.uint32)), pack(sizes.astype(np.int64))]
+                edges = pa.array([0, len(own)], pa.int32())
+                lists = [pa.ListArray.from_arrays(edges, pa.concat_arrays([pa.array(x)] if isinstance(x, np.ndarray) else [x])) for x in (own.column(0), *told)]
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(own, pa.int32()),
-                        pa.array([pack_sorted(code[at[p] : at[p + 1]]) for p in own], pa.binary()),
-                        pa.array([pack(owner[at[p] : at[p + 1]]) for p in own], pa.binary()),
-                    ],
-                    ["range", "codes", "owners"],
+                    [pa.array([part << 32 | made], pa.int64()), lists[0], *(pa.array([x], pa.binary()) for x in data), *lists[1:]],
+                    ["block", "id", "names", "number", "sizes", "n", "x", "y"],
                 )
-                del code, row, owner
+                made += 1
                 release()
 
-    def count(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-        code = np.concatenate([unpack_sorted(r[1]) for r in rows])
-        owner = np.concatenate([unpack(r[2], np.int64) for r in rows])
-        order = np.argsort(code, kind="stable")
-        code, owner = code[order], owner[order]
-        same = code[1:] == code[:-1]
-        some = np.r_[False, same] | np.r_[same, False]
-        code, owner = code[some], owner[some]
-        order = np.lexsort((owner, code))
-        code, owner = code[order], owner[order]
-        new = np.r_[True, (code[1:] != code[:-1]) | (owner[1:] != owner[:-1])][: len(code)]
-        code, owner = code[new], owner[new]
-        begins = np.flatnonzero(np.r_[True, code[1:] != code[:-1]][: len(code)])
-        size = np.diff(np.r_[begins, len(code)])
-        held = np.repeat(size, size)
-        code, owner, held = code[held > 1], owner[held > 1], held[held > 1]
-        bucket = (mix(owner.view(np.uint64)) >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(owner), np.int64)
-        order = np.lexsort((owner, bucket))
-        code, owner, held, bucket = code[order], owner[order], held[order], bucket[order]
-        edges = np.r_[0, np.flatnonzero(np.diff(bucket)) + 1, len(bucket)] if len(bucket) else np.array([0])
-        spans = list(zip(edges[:-1], edges[1:]))
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array([int(bucket[a]) for a, _ in spans], pa.int32()),
-                *(pa.array([pack(values[a:b]) for a, b in spans], pa.binary()) for values in (owner, code, held)),
-            ],
-            ["bucket", "owners", "codes", "held"],
-        )
-
-    def gather(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-        owner, code, held = (np.concatenate([unpack(r[k], kind) for r in rows]) for k, kind in ((1, np.int64), (2, np.uint64), (3, np.int64)))
-        order = np.lexsort((code, held, owner))
-        owner, code = owner[order], code[order]
-        edges = np.r_[0, np.flatnonzero(np.diff(owner)) + 1, len(owner)]
+    fields = "block long, id array<long>, names binary, number binary, sizes binary, n array<long>, x array<long>, y array<long>"
+    return stage(texts.mapInArrow(run, fields), "texts")
+
+
+def repeated_shingles(blocks: DataFrame, total: int, width: int, percent: int) -> DataFrame:
+    """Rows ``id``, ``n``, ``shingles`` binary, ``least``: the shingles that occur in several texts, rarest first.
+
+    Only texts whose repeated shingles could make up the similarity have a row.  A
+    block asks for each of its distinct shingles once, with the number of its own
+    texts that hold it; the range of the shingle's hash adds these up.  So a shingle
+    that a third of all texts share is one entry for each block, and no list of the
+    texts that hold a shingle is ever made.
+    """
+    bits = max(0, (total // RANGE).bit_length())
+    columns = ["block", "id", "names", "number", "sizes"]
+
+    def each_block(make):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for i in range(batch.num_rows):
+                    ids = batch.column(1)[i].values
+                    number, names, tokens, sizes, *told = (batch.column(k)[i].as_py() for k in range(batch.num_columns) if k != 1)
+                    yield from make(number, Block.read(ids, names, tokens, sizes), *told)
+                    release()
+
+        return run
+
+    def ask(number: int, block: Block) -> Iterator[pa.RecordBatch]:
+        code, _, begins = block.shingles(width)
+        if len(code):
+            yield from asks(number, code[begins], [np.diff(np.r_[begins, len(code)]).astype(np.uint32)], bits)
+
+    def add(begins: np.ndarray, counts: list[np.ndarray]) -> tuple[list[np.ndarray], list[int]]:
+        size = np.diff(np.r_[begins, len(counts[0])])
+        held = np.minimum(np.add.reduceat(counts[0].astype(np.int64), begins), 2**32 - 1)
+        return [np.repeat(held, size).astype(np.uint32)], []
+
+    def sets(number: int, block: Block, told: list[dict]) -> Iterator[pa.RecordBatch]:
+        code, row, begins = block.shingles(width)
+        held = np.repeat(answers_of(told, "a0", np.uint32), np.diff(np.r_[begins, len(code)]))
+        n = np.bincount(row, minlength=len(block.sizes))
+        code, row, held = code[held > 1], row[held > 1], held[held > 1]
+        enough = percent * n <= 100 * np.bincount(row, minlength=len(n))
+        kept = enough[row]
+        code, row, held = code[kept], row[kept], held[kept]
+        order = np.lexsort((code, held, row))
+        code, row = code[order], row[order]
+        edges = np.r_[0, np.flatnonzero(np.diff(row)) + 1, len(row)] if len(row) else np.array([0])
+        ids = block.ids.to_numpy(zero_copy_only=False)
         for k in range(0, len(edges) - 1, 500):
             spans = list(zip(edges[k : k + 500], edges[k + 1 : k + 501]))
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([int(owner[a]) for a, _ in spans], pa.int64()),
+                    pa.array([int(ids[row[a]]) for a, _ in spans], pa.int64()),
+                    pa.array([int(n[row[a]]) for a, _ in spans], pa.int64()),
                     pa.array([code[a:b].tobytes() for a, b in spans], pa.binary()),
                     pa.array([int(mix(code[a:b]).min().view(np.int64)) for a, b in spans], pa.int64()),
                 ],
-                ["id", "shingles", "least"],
+                ["id", "n", "shingles", "least"],
             )
 
-    dealt = texts.mapInArrow(deal, "range int, codes binary, owners binary").repartition("range").sortWithinPartitions("range")
-    counted = dealt.mapInArrow(_by_first(count), "bucket int, owners binary, codes binary, held binary")
-    back = counted.repartition("bucket").sortWithinPartitions("bucket")
-    return back.mapInArrow(_by_first(gather), "id long, shingles binary, least long")
-
-
-def _by_first(function):
-    """Calls ``function`` with the rows of each value of the first column; rows come in its order."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-        for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns)):
-                if held and held[0][0] != row[0]:
-                    yield from function(held)
-                    held = []
-                held.append(row)
-        if held:
-            yield from function(held)
-        release()
-
-    return run
+    plain = blocks.select(*columns)
+    counted = answer(plain.mapInArrow(each_block(ask), "range int, block long, names binary, c0 binary"), [np.uint32], 1, add, "shingles")
+    ready = with_answers(plain, (counted, ["a0"]))
+    return ready.mapInArrow(each_block(sets), "id long, n long, shingles binary, least long")
 
 
 # ------------------------------------------------------------------ groups
@@ -271,52 +284,53 @@ def near_duplicates(
     id in all its rows.
     """
     texts = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text"))
-    sizes = _sizes(texts, width)
-    known = sizes.where("id is not null")
-    several = stage(known.groupBy("id").agg(F.min(F.struct("n", "x", "y")).alias("a"), F.max(F.struct("n", "x", "y")).alias("b")).where("a <> b").select("id"), "several")
-    if not several.isEmpty():
-        plain = texts.join(several, "id", "left_anti")
-        one = texts.join(several, "id").groupBy("id").agg(F.min("text").alias("text"))
-        result = stage(near_duplicates(plain.unionByName(one), percent, width, "id", "text").where("id is not null").distinct(), "result")
-        nameless = sizes.where("id is null").select("id", F.col("n").alias("n_shingles"), F.lit(None).cast("long").alias("component_id"))
-        return known.select("id").join(result, "id").unionByName(nameless).withColumnRenamed("id", id_col)
-    classes = stage(known.where("n > 0").groupBy("n", "x", "y").agg(F.min("id").alias("class")), "classes")
-    total = sizes.agg(F.sum("n")).first()[0] or 0
-    found = repeated_shingles(texts.where("id is not null"), total, width)
-    one = known.where("n > 0").select("id", "n", "x", "y").distinct().join(classes, ["n", "x", "y"]).where("id = class").select("id", "n")
-    enough = F.col("n") * percent <= 100 * F.octet_length("shingles") / 8
-    sets = stage(found.join(one, "id").where(enough), "sets")
-
-    parts = stage(sets.groupBy("least").agg(F.ceil(F.count(F.lit(1)) / GROUP).alias("parts")), "parts")
-    part = F.pmod(F.xxhash64("id"), F.col("parts"))
-    dealt = sets.join(parts, "least").withColumn("group", F.xxhash64("least", part))
-    groups = stage(dealt.groupBy("group").agg(F.collect_list(F.struct("id", "n", "shingles")).alias("members")), "groups")
-
-    def matrix_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(batch.num_rows):
-                rare = Group(batch.column(1)[k].as_py()).rarest(percent)
-                yield pa.RecordBatch.from_arrays([pa.array(rare.view(np.int64)), pa.array([batch.column(0)[k].as_py()] * len(rare), pa.int64())], ["token", "group"])
-
-    matrix = stage(groups.mapInArrow(matrix_rows, "token long, group long"), "matrix")
-    other = matrix.select("token", F.col("group").alias("other"))
-    candidates = matrix.join(other, "token").where("group < other").select("group", "other").distinct()
-    pairs = stage(candidates, "candidates")
-    left = groups.select("group", "members")
-    right = groups.select(F.col("group").alias("other"), F.col("members").alias("others"))
-    within = groups.where(F.size("members") > 1).select("members", F.lit(None).cast(groups.schema["members"].dataType).alias("others"))
-    opened = pairs.join(left, "group").join(right, "other").select("members", "others").unionByName(within)
-
-    def open_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(batch.num_rows):
-                members, others = (c[k].as_py() for c in batch.columns)
-                a = Group(members)
-                ids, roots = compare(a, Group(others) if others else a, percent)
-                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(roots)], ["a", "b"])
-
-    reach = components(opened.mapInArrow(open_groups, "a long, b long"))
-    named = classes.join(reach.select(F.col("node").alias("class"), "component"), "class", "left")
-    named = stage(named.select("n", "x", "y", F.coalesce("component", "class").alias("component")), "named")
+    with scratch(docs.sparkSession):
+        blocks = text_blocks(texts, width)
+        sizes = stage(blocks.select(F.inline(F.arrays_zip("id", "n", "x", "y"))), "sizes", result=True)
+        known = sizes.where("id is not null")
+        several = stage(known.groupBy("id").agg(F.min(F.struct("n", "x", "y")).alias("a"), F.max(F.struct("n", "x", "y")).alias("b")).where("a <> b").select("id"), "several")
+        if not several.isEmpty():
+            plain = texts.join(several, "id", "left_anti")
+            one = texts.join(several, "id").groupBy("id").agg(F.min("text").alias("text"))
+            result = stage(near_duplicates(plain.unionByName(one), percent, width, "id", "text").where("id is not null").distinct(), "result", result=True)
+            nameless = sizes.where("id is null").select("id", F.col("n").alias("n_shingles"), F.lit(None).cast("long").alias("component_id"))
+            return known.select("id").join(result, "id").unionByName(nameless).withColumnRenamed("id", id_col)
+        classes = stage(known.where("n > 0").groupBy("n", "x", "y").agg(F.min("id").alias("class")), "classes")
+        total = sizes.agg(F.sum("n")).first()[0] or 0
+        # One text of each class of equal sets goes on; rows that repeat an id are one.
+        one = classes.select(F.col("class").alias("id"))
+        sets = stage(repeated_shingles(blocks, total, width, percent).join(one, "id").dropDuplicates(["id"]), "sets")
+
+        parts = stage(sets.groupBy("least").agg(F.ceil(F.count(F.lit(1)) / GROUP).alias("parts")), "parts")
+        part = F.pmod(F.xxhash64("id"), F.col("parts"))
+        dealt = sets.join(parts, "least").withColumn("group", F.xxhash64("least", part))
+        groups = stage(dealt.groupBy("group").agg(F.collect_list(F.struct("id", "n", "shingles")).alias("members")), "groups")
+
+        def matrix_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for k in range(batch.num_rows):
+                    rare = Group(batch.column(1)[k].as_py()).rarest(percent)
+                    yield pa.RecordBatch.from_arrays([pa.array(rare.view(np.int64)), pa.array([batch.column(0)[k].as_py()] * len(rare), pa.int64())], ["token", "group"])
+
+        matrix = stage(groups.mapInArrow(matrix_rows, "token long, group long"), "matrix")
+        other = matrix.select("token", F.col("group").alias("other"))
+        candidates = matrix.join(other, "token").where("group < other").select("group", "other").distinct()
+        pairs = stage(candidates, "candidates")
+        left = groups.select("group", "members")
+        right = groups.select(F.col("group").alias("other"), F.col("members").alias("others"))
+        within = groups.where(F.size("members") > 1).select("members", F.lit(None).cast(groups.schema["members"].dataType).alias("others"))
+        opened = pairs.join(left, "group").join(right, "other").select("members", "others").unionByName(within)
+
+        def open_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for k in range(batch.num_rows):
+                    members, others = (c[k].as_py() for c in batch.columns)
+                    a = Group(members)
+                    ids, roots = compare(a, Group(others) if others else a, percent)
+                    yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(roots)], ["a", "b"])
+
+        reach = components(opened.mapInArrow(open_groups, "a long, b long"))
+        named = classes.join(reach.select(F.col("node").alias("class"), "component"), "class", "left")
+        named = stage(named.select("n", "x", "y", F.coalesce("component", "class").alias("component")), "named", result=True)
     component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
     return sizes.join(named, ["n", "x", "y"], "left").select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"))
