@@ -1,29 +1,31 @@
 """Katz back-off language model: discounted counts, exact back-off weights, log10 scores of whole texts.
 
-The model has order two: a word after its predecessor backs off to the word
-alone, and a word never seen backs off to one class of unknown words.  Counts up
+A model of order ``n`` predicts a word from the ``n - 1`` words before it.  Counts up
 to ``TOP`` are discounted by Good-Turing, per order, and
 
-    P(w | v) = d(c(vw)) c(vw) / C(v)   if vw was seen in training,
-               a(v) P(w)               else,
+    P(w | h) = d(c(hw)) c(hw) / C(h)   if hw was seen in training,
+               a(h) P(w | h')          else,
 
-where ``a(v)`` is what the discounts set free over the probability of all words
-not seen after ``v``, so every distribution sums to one.
+where ``h'`` is ``h`` without its first word and ``a(h)`` is what the discounts set free
+over the probability of all words not seen after ``h``, so every distribution
+sums to one.  A word never seen backs off to one class of unknown words.
 
 Texts are kept in blocks of some megabytes.  Statistics of n-grams live in
-written tables dealt by ranges of the n-gram's hash: a block sends each of its
-*distinct* n-grams once with the block's own count, the range adds them up and
-answers each block in the order it asked.  So three rounds (words, pairs,
-contexts) replace a join row for every token, and a word that makes up a third
-of all tokens is one entry a block like any other.  The range's task holds its
-own n-grams only; the number of ranges follows the number of blocks.
+written tables dealt by ranges of the n-gram's hash (``ranges``): a block sends each of
+its *distinct* n-grams once with the block's own count, the range adds them up and
+answers each block in the order it asked.  There is a round for the n-grams of each
+order and one for its contexts, whose weights need the probabilities of the
+order below; these a block works out by the recursion above from the answers it
+has.  A word that makes up a third of all tokens is one entry a block like any
+other.  The range's task holds its own n-grams only; the number of ranges follows
+the number of blocks.
 
 n-grams are named by 64-bit hashes; a clash would merge two of them.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -33,20 +35,11 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kerbscope.llm.arrays import (
-    mix,
-    pack,
-    pack_sorted,
-    range_edges,
-    release,
-    split_words,
-    text_slices,
-    unpack,
-    unpack_sorted,
-    word_numbers,
-)
-from kerbscope.staging import stage
+from kerbscope.llm.arrays import mix, pack, release, split_words, text_slices, unpack, word_numbers
+from kerbscope.llm.ranges import answer, answers_of, asks, totals_of, with_answers
+from kerbscope.staging import scratch, stage
 
+ORDER = 2
 TOP = 5
 BLOCK_BYTES = 8_000_000
 
@@ -75,7 +68,7 @@ def number_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 @dataclass
 class Block:
-    """Texts of a block by numbers; words are numbered within the block, the last number is the start mark."""
+    """Texts of a block by the numbers of their words, which are numbered within the block."""
 
     names: np.ndarray
     tokens: np.ndarray
@@ -86,42 +79,41 @@ class Block:
     def read(names: bytes, tokens: bytes, sizes: bytes, train: bytes) -> Block:
         return Block(unpack(names, np.uint64), unpack(tokens, np.uint32).astype(np.int64), unpack(sizes, np.int64), unpack(train, np.uint8).astype(bool))
 
-    def words(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Order of the word names, names in order, training counts in order."""
-        order = np.argsort(self.names)
-        counts = np.bincount(self.tokens[np.repeat(self.train, self.sizes)], minlength=len(self.names))
-        return order, self.names[order], counts[order]
-
-    def contexts(self) -> tuple[np.ndarray, np.ndarray]:
-        """Order of words and start mark by name, names in order."""
-        names = np.append(self.names, np.uint64(START))
-        order = np.argsort(names)
-        return order, names[order]
-
-    def pairs(self) -> Pairs:
-        before = np.empty_like(self.tokens)
-        before[1:] = self.tokens[:-1]
-        before[np.cumsum(self.sizes) - self.sizes] = len(self.names)
-        width = len(self.names) + 1
-        distinct, which = np.unique(before * width + self.tokens, return_inverse=True)
-        counts = np.bincount(which[np.repeat(self.train, self.sizes)], minlength=len(distinct))
-        first, second = distinct // width, distinct % width
-        names = np.append(self.names, np.uint64(START))
-        key = mix(mix(names[first]) + names[second])
-        order = np.argsort(key)
-        return Pairs(key[order], counts[order], first[order], second[order], order, which)
+    def grams(self, order: int) -> list[Grams]:
+        """Distinct n-grams of every order up to ``order``."""
+        rank = np.argsort(self.names)
+        place = np.empty_like(rank)
+        place[rank] = np.arange(len(rank))
+        learn = np.repeat(self.train, self.sizes)
+        first = np.cumsum(self.sizes) - self.sizes
+        which = place[self.tokens]
+        none = np.empty(0, np.int64)
+        found = [Grams(self.names[rank], np.bincount(which[learn], minlength=len(rank)), which, none, none, none)]
+        # Names of the n-grams that end at each token, and of one that ends before a text.
+        token = self.names[self.tokens]
+        ending, padding = token, np.uint64(START)
+        for _ in range(1, order):
+            before = np.empty_like(ending)
+            before[1:] = ending[:-1]
+            before[first] = padding
+            ending = mix(mix(before) + token)
+            padding = mix(mix(np.array([padding])) + np.uint64(START))[0]
+            names, at, which = np.unique(ending, return_index=True, return_inverse=True)
+            contexts, own = np.unique(before[at], return_inverse=True)
+            found.append(Grams(names, np.bincount(which[learn], minlength=len(names)), which, contexts, own, found[-1].which[at]))
+        return found
 
 
 @dataclass
-class Pairs:
-    """Distinct pairs of a block in order of their names, and the place in ``order`` of each token's pair."""
+class Grams:
+    """Distinct n-grams of one order of a block, in order of their names."""
 
     names: np.ndarray
-    counts: np.ndarray
-    first: np.ndarray
-    second: np.ndarray
-    order: np.ndarray
-    which: np.ndarray
+    counts: np.ndarray  # in training
+    which: np.ndarray  # the n-gram that ends at each token
+    contexts: np.ndarray  # names of what stands before the last word
+    context: np.ndarray  # the context of each n-gram
+    lower: np.ndarray  # the n-gram without its first word, one order below
 
 
 def blocks(docs: DataFrame, train: Column, id_col: str, text_col: str) -> DataFrame:
@@ -147,84 +139,6 @@ def blocks(docs: DataFrame, train: Column, id_col: str, text_col: str) -> DataFr
     return stage(source.mapInArrow(run, f"block long, ids array<{kind}>, names binary, tokens binary, sizes binary, train binary"), "texts")
 
 
-# ------------------------------------------------------------------ asking and answering
-
-
-def _asks(block: int, names: np.ndarray, columns: list[np.ndarray], bits: int) -> Iterator[pa.RecordBatch]:
-    at = range_edges(names, bits)
-    own = np.flatnonzero(np.diff(at))
-    data = [[pack_sorted(names[at[p] : at[p + 1]]) for p in own]]
-    data += [[pack(c[at[p] : at[p + 1]]) for p in own] for c in columns]
-    labels = ["range", "block", "names", *(f"c{k}" for k in range(len(columns)))]
-    yield pa.RecordBatch.from_arrays([pa.array(own, pa.int32()), pa.array([block] * len(own), pa.int64()), *(pa.array(d, pa.binary()) for d in data)], labels)
-
-
-def _answer(asked: DataFrame, columns: list, answers: int, solve: Callable, label: str) -> DataFrame:
-    """Written table of the answers to each (block, range), and of the ranges' totals (block -1).
-
-    ``solve`` gets, for all n-grams of a range in order of their names, where each
-    name begins, and the columns; it returns an array for each answer, one
-    value per entry, and the totals.
-    """
-
-    def one(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-        names = [unpack_sorted(r[2]) for r in rows]
-        sizes = np.cumsum([0, *map(len, names)])
-        whole = np.concatenate(names)
-        order = np.argsort(whole, kind="stable")
-        ordered = whole[order]
-        begins = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
-        found, totals = solve(begins, [np.concatenate([unpack(r[3 + k], kind) for r in rows])[order] for k, kind in enumerate(columns)])
-        back = []
-        for values in found:
-            flat = np.empty_like(values)
-            flat[order] = values
-            back.append([pack(flat[a:b]) for a, b in zip(sizes[:-1], sizes[1:])])
-        n = len(rows)
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array([r[1] for r in rows] + [-1], pa.int64()),
-                pa.array([rows[0][0]] * (n + 1), pa.int32()),
-                *(pa.array([*b, None], pa.binary()) for b in back),
-                pa.array([None] * n + [[int(t) for t in totals]], pa.list_(pa.int64())),
-            ],
-            ["block", "range", *(f"a{k}" for k in range(answers)), "totals"],
-        )
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-        for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns)):
-                if held and held[0][0] != row[0]:
-                    yield from one(held)
-                    held = []
-                held.append(row)
-        if held:
-            yield from one(held)
-
-    schema = ", ".join(["block long, range int", *(f"a{k} binary" for k in range(answers)), "totals array<long>"])
-    dealt = asked.repartition("range").sortWithinPartitions("range", "block")
-    return stage(dealt.mapInArrow(run, schema), label)
-
-
-def _totals(answers: DataFrame, n: int) -> list[int]:
-    row = answers.where("block = -1").agg(*[F.sum(F.col("totals")[k]).alias(f"t{k}") for k in range(n)]).first()
-    return [int(row[k] or 0) for k in range(n)]
-
-
-def _with_answers(table: DataFrame, *answers: tuple[DataFrame, list[str]]) -> DataFrame:
-    """Each block with its answers, ranges in order; a block's answers are as large as the block."""
-    for k, (told, columns) in enumerate(answers):
-        rows = told.where("block >= 0").groupBy("block")
-        parts = F.array_sort(F.collect_list(F.struct("range", *columns)))
-        table = table.join(rows.agg(parts.alias(f"told{k}")), "block")
-    return table
-
-
-def _join(parts: list[dict], column: str, kind) -> np.ndarray:
-    return np.concatenate([unpack(p[column], kind) for p in parts])
-
-
 # ------------------------------------------------------------------ the model
 
 
@@ -283,110 +197,125 @@ def _count(begins: np.ndarray, columns: list[np.ndarray]) -> tuple[list[np.ndarr
     return [(2 * np.repeat(total, size) + stands).astype(np.uint64)], [*frequency, int(total.sum()), int((total > 0).sum())]
 
 
-def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows ``id_col``, ``n_tokens``, ``n_known``, ``train_tokens``, ``train_types`` long, ``base_score``, ``score`` double.
-
-    The model learns from the rows where ``train`` is true (null: false) and scores
-    every row.  A null or empty text is the end token alone.  Null and repeated
-    ids are kept row for row.  Without training rows every word is unknown and has
-    probability 1; a table without rows gives none.
-    """
-    table = blocks(docs, train, id_col, text_col)
-    bits = max(0, (table.count() - 1).bit_length())
-    columns = ["block", "names", "tokens", "sizes", "train"]
-
-    def asking(make: Callable[[int, Block, list], Iterator[pa.RecordBatch]]):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for row in range(batch.num_rows):
-                    block, names, tokens, sizes, learn, *told = (c[row].as_py() for c in batch.columns)
-                    yield from make(block, Block.read(names, tokens, sizes, learn), told)
-                    release()
-
-        return run
-
-    def ask_words(number: int, block: Block, told: list) -> Iterator[pa.RecordBatch]:
-        _, names, counts = block.words()
-        return _asks(number, names, [counts.astype(np.uint32)], bits)
-
-    def ask_pairs(number: int, block: Block, told: list) -> Iterator[pa.RecordBatch]:
-        pairs = block.pairs()
-        return _asks(number, pairs.names, [pairs.counts.astype(np.uint32)], bits)
-
-    plain = table.select(*columns)
-    counted = "range int, block long, names binary, c0 binary"
-    words = _answer(plain.mapInArrow(asking(ask_words), counted), [np.uint32], 1, _count, "words")
-    pairs = _answer(plain.mapInArrow(asking(ask_pairs), counted), [np.uint32], 1, _count, "pairs")
-    single = Unigrams.of(_totals(words, TOP + 3))
-    pair_cut = discounts(_totals(pairs, TOP + 3)[: TOP + 1])
-
-    def known(block: Block, told: list) -> tuple[np.ndarray, Pairs, np.ndarray, np.ndarray]:
-        """Training counts by word number; pairs; their counts and whether they stand here."""
-        order = np.argsort(block.names)
-        counts = np.empty(len(order), np.int64)
-        counts[order] = _join(told[0], "a0", np.uint64) >> np.uint64(1)
-        own = block.pairs()
-        answer = _join(told[1], "a0", np.uint64)
-        return counts, own, (answer >> np.uint64(1)).astype(np.int64), (answer & np.uint64(1)).astype(bool)
-
-    def ask_contexts(number: int, block: Block, told: list) -> Iterator[pa.RecordBatch]:
-        counts, own, seen, stands = known(block, told)
-        width = len(block.names) + 1
-        first, c = own.first[stands], seen[stands]
-        sums = [
-            np.bincount(first, c, width),
-            np.bincount(first, (1 - pair_cut[np.minimum(c, TOP + 1)]) * c, width),
-            np.bincount(first, single.probability(counts[own.second[stands]]), width),
-        ]
-        order, names = block.contexts()
-        return _asks(number, names, [s[order] for s in sums], bits)
-
-    def weigh(begins: np.ndarray, sums: list[np.ndarray]) -> tuple[list[np.ndarray], list[int]]:
+def _weigh(floor: float):
+    def solve(begins: np.ndarray, sums: list[np.ndarray]) -> tuple[list[np.ndarray], list[int]]:
         """Denominator and back-off weight of each context."""
         size = np.diff(np.r_[begins, len(sums[0])])
         total, free, covered = (np.add.reduceat(s, begins) for s in sums)
         full = (total > 0) & (free <= 0)  # nothing was discounted: one count's worth
         below = np.where(full, total + 1, np.maximum(total, 1))
         share = np.where(full, 1.0, free) / below
-        weight = np.where(total > 0, share / np.maximum(1 - covered, single.unknown), 1.0)
+        weight = np.where(total > 0, share / np.maximum(1 - covered, floor), 1.0)
         return [np.repeat(np.where(total > 0, below, 0.0), size), np.repeat(weight, size)], [int((total > 0).sum())]
 
-    asked = _with_answers(plain, (words, ["a0"]), (pairs, ["a0"]))
-    sums = "range int, block long, names binary, c0 binary, c1 binary, c2 binary"
-    contexts = _answer(asked.mapInArrow(asking(ask_contexts), sums), [np.float64] * 3, 2, weigh, "contexts")
+    return solve
+
+
+def log_chances(grams: list[Grams], counts: list[np.ndarray], cuts: list[np.ndarray], contexts: list[tuple], single: Unigrams) -> np.ndarray:
+    """log10 P of the last word of each n-gram of the highest order there are contexts for, order by order.
+
+    ``counts`` and ``contexts`` (denominators and weights) are what the ranges answered.
+    """
+    value = np.log10(single.probability(counts[0]))
+    for k, (below, weight) in enumerate(contexts, 1):
+        own, seen = grams[k], counts[k]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            direct = np.log10(cuts[k][np.minimum(seen, TOP + 1)] * seen / below[own.context])
+        value = np.where(seen > 0, direct, np.log10(weight[own.context]) + value[own.lower])
+    return value
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base_below = np.log10(single.tokens + single.types + 1)
-        for batch in batches:
-            for row in range(batch.num_rows):
-                ids = batch.column(5)[row].values
-                names, tokens, sizes, learn, *told = (batch.column(k)[row].as_py() for k in (1, 2, 3, 4, 6, 7, 8))
-                block = Block.read(names, tokens, sizes, learn)
-                counts, own, seen, _ = known(block, told[:2])
-                order, _ = block.contexts()
-                below, weight = np.empty(len(order)), np.empty(len(order))
-                below[order] = _join(told[2], "a0", np.float64)
-                weight[order] = _join(told[2], "a1", np.float64)
-                alone = np.log10(single.probability(counts))
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    direct = np.log10(pair_cut[np.minimum(seen, TOP + 1)] * seen / below[own.first])
-                value = np.empty(len(seen))
-                value[own.order] = np.where(seen > 0, direct, np.log10(weight[own.first]) + alone[own.second])
-                first = np.cumsum(block.sizes) - block.sizes
-                base = np.log10(counts + 1.0) - base_below
-                found = [
-                    block.sizes,
-                    np.add.reduceat((counts > 0).astype(np.int64)[block.tokens], first),
-                    np.add.reduceat(base[block.tokens], first),
-                    np.add.reduceat(value[own.which], first),
-                ]
-                constant = [np.full(len(first), n) for n in (single.tokens, single.types)]
-                yield pa.RecordBatch.from_arrays(
-                    [ids, *map(pa.array, found[:2]), *map(pa.array, constant), *map(pa.array, found[2:])],
-                    ["id", "n_tokens", "n_known", "train_tokens", "train_types", "base_score", "score"],
-                )
 
+def score(docs: DataFrame, train: Column, order: int = ORDER, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Rows ``id_col``, ``n_tokens``, ``n_known``, ``train_tokens``, ``train_types`` long, ``base_score``, ``score`` double.
+
+    The model of that ``order`` learns from the rows where ``train`` is true (null: false)
+    and scores every row.  A null or empty text is the end token alone; a text,
+    however long, is never split.  Null and repeated ids are kept row for row.
+    Without training rows every word is unknown and has probability 1; a table
+    without rows gives none.
+    """
+    if order < 1:
+        raise ValueError("the order of the model must be 1 or more")
     kind = docs.schema[id_col].dataType.simpleString()
-    ready = _with_answers(table.select(*columns, "ids"), (words, ["a0"]), (pairs, ["a0"]), (contexts, ["a0", "a1"]))
     out = "n_tokens long, n_known long, train_tokens long, train_types long, base_score double, score double"
-    return ready.mapInArrow(run, f"id {kind}, {out}").withColumnRenamed("id", id_col)
+    with scratch(docs.sparkSession):
+        table = blocks(docs, train, id_col, text_col)
+        bits = max(0, (table.count() - 1).bit_length())
+        plain = table.select("block", "names", "tokens", "sizes", "train")
+
+        def each_block(make):
+            def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                for batch in batches:
+                    for row in range(batch.num_rows):
+                        block, names, tokens, sizes, learn, *told = (c[row].as_py() for c in batch.columns)
+                        yield from make(block, Block.read(names, tokens, sizes, learn), told)
+                        release()
+
+            return run
+
+        def ask_grams(k: int):
+            def ask(number: int, block: Block, told: list) -> Iterator[pa.RecordBatch]:
+                own = block.grams(k)[-1]
+                return asks(number, own.names, [own.counts.astype(np.uint32)], bits)
+
+            return plain.mapInArrow(each_block(ask), "range int, block long, names binary, c0 binary")
+
+        told_counts = [answer(ask_grams(k), [np.uint32], 1, _count, "n-grams") for k in range(1, order + 1)]
+        totals = [totals_of(t, TOP + 3) for t in told_counts]
+        single, cuts = Unigrams.of(totals[0]), [discounts(t[: TOP + 1]) for t in totals]
+        told_contexts: list[DataFrame] = []
+
+        def read(told: list, k: int) -> tuple[list[np.ndarray], np.ndarray, list[tuple]]:
+            """Counts of the n-grams up to order ``k``, whether those of order ``k`` stand here, the contexts."""
+            counts = [answers_of(t, "a0", np.uint64) for t in told[:k]]
+            contexts = [(answers_of(t, "a0", np.float64), answers_of(t, "a1", np.float64)) for t in told[k:]]
+            return [(c >> np.uint64(1)).astype(np.int64) for c in counts], (counts[-1] & np.uint64(1)).astype(bool), contexts
+
+        def ask_contexts(k: int):
+            def ask(number: int, block: Block, told: list) -> Iterator[pa.RecordBatch]:
+                grams = block.grams(k)
+                counts, stands, contexts = read(told, k)
+                lower = log_chances(grams, counts, cuts, contexts, single)
+                own, c = grams[-1].context[stands], counts[-1][stands]
+                sums = [
+                    np.bincount(own, values, len(grams[-1].contexts))
+                    for values in (c, (1 - cuts[k - 1][np.minimum(c, TOP + 1)]) * c, 10 ** lower[grams[-1].lower[stands]])
+                ]
+                return asks(number, grams[-1].contexts, sums, bits)
+
+            return each_block(ask)
+
+        for k in range(2, order + 1):
+            asked = with_answers(plain, *((t, ["a0"]) for t in told_counts[:k]), *((t, ["a0", "a1"]) for t in told_contexts))
+            sums = "range int, block long, names binary, c0 binary, c1 binary, c2 binary"
+            floor = single.unknown if k == 2 else 1e-12
+            told_contexts.append(answer(asked.mapInArrow(ask_contexts(k), sums), [np.float64] * 3, 2, _weigh(floor), "contexts"))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            base_below = np.log10(single.tokens + single.types + 1)
+            for batch in batches:
+                for row in range(batch.num_rows):
+                    ids = batch.column(5)[row].values
+                    names, tokens, sizes, learn, *told = (batch.column(c)[row].as_py() for c in range(1, batch.num_columns) if c != 5)
+                    block = Block.read(names, tokens, sizes, learn)
+                    grams = block.grams(order)
+                    counts, _, contexts = read(told, order)
+                    value = log_chances(grams, counts, cuts, contexts, single)
+                    first = np.cumsum(block.sizes) - block.sizes
+                    base, word = np.log10(counts[0] + 1.0) - base_below, grams[0].which
+                    found = [
+                        block.sizes,
+                        np.add.reduceat((counts[0] > 0).astype(np.int64)[word], first),
+                        np.add.reduceat(base[word], first),
+                        np.add.reduceat(value[grams[-1].which], first),
+                    ]
+                    constant = [np.full(len(first), n) for n in (single.tokens, single.types)]
+                    yield pa.RecordBatch.from_arrays(
+                        [ids, *map(pa.array, found[:2]), *map(pa.array, constant), *map(pa.array, found[2:])],
+                        ["id", "n_tokens", "n_known", "train_tokens", "train_types", "base_score", "score"],
+                    )
+                    release()
+
+        ready = with_answers(table.select(*plain.columns, "ids"), *((t, ["a0"]) for t in told_counts), *((t, ["a0", "a1"]) for t in told_contexts))
+        scored = stage(ready.mapInArrow(run, f"id {kind}, {out}"), "scores", result=True)
+    return scored.withColumnRenamed("id", id_col)
