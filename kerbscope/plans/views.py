@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kerbscope.functions.numeric import half_even, sort_value
+from kerbscope.operators.scaling import with_bounds
 from kerbscope.operators.scoring import COMPONENTS
 from kerbscope.operators.stations import order_stations
 from kerbscope.plans.ranking import SCORE, top_hotspots
@@ -112,34 +113,23 @@ def filtered(view: DataFrame, band: str = "All", station: str = "All") -> DataFr
     return view
 
 
-def _span(c: str) -> tuple[Column, Column]:
-    """Bounds over a view, which has at most as many rows as its limit."""
-    whole = Window.partitionBy()
-    return F.min(c).over(whole), F.max(c).over(whole)
-
-
 def map_points(
     view: DataFrame, smallest: float = 10.0, base: float = 6.0, divisor: float = 3.1
 ) -> DataFrame:
-    """Map place in percent and dot size; the span is that of the whole view.
+    """Map place in percent and dot size; the span is that of the whole view, however large it is.
 
     The older preview map is ``map_points(top 120, smallest=8, base=7, divisor=4)``.
     """
-    (lat_lo, lat_hi), (lon_lo, lon_hi) = _span("latitude"), _span("longitude")
+    spans = {c: F.col(c) for c in ("latitude", "longitude")}
 
-    def place(c: str, lo: Column, hi: Column) -> Column:
-        return (F.col(c) - lo) / F.greatest(F.lit(0.000001), hi - lo)
+    def place(c: str) -> Column:
+        return (F.col(c) - F.col(f"lo_{c}")) / F.greatest(F.lit(0.000001), F.col(f"hi_{c}") - F.col(f"lo_{c}"))
 
     size = F.greatest(
         F.lit(smallest), F.least(F.lit(34.0), F.lit(base) + F.col(SCORE) / F.lit(divisor))
     )
-    return view.withColumns(
-        {
-            "x": 5 + 90 * place("longitude", lon_lo, lon_hi),
-            "y": 95 - 90 * place("latitude", lat_lo, lat_hi),
-            "dot_size": size,
-        }
-    )
+    placed = with_bounds(view, spans).withColumns({"x": 5 + 90 * place("longitude"), "y": 95 - 90 * place("latitude"), "dot_size": size})
+    return placed.select(*view.columns, "x", "y", "dot_size")
 
 
 def preview_points(scored: DataFrame, n: int = 120) -> DataFrame:

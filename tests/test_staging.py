@@ -10,17 +10,27 @@ from kerbscope.staging import discard, run_folder, scratch, stage
 SMALL = "/root/testdata/sf0.001"
 
 
+class New:
+    """What is in the application's folder since now."""
+
+    def __init__(self, spark):
+        self.folder = Path(run_folder(spark))
+        self.before = set(self._paths())
+
+    def _paths(self):
+        return list(self.folder.iterdir()) if self.folder.exists() else []
+
+    def names(self):
+        return sorted(p.name.split("-")[0] for p in self._paths() if p not in self.before)
+
+
 @pytest.fixture
-def folder(spark, tmp_path):
-    """A shared folder of its own for the test."""
-    old = spark.conf.get("spark.checkpoint.dir")
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path / "shared"))
-    yield Path(run_folder(spark))
-    spark.conf.set("spark.checkpoint.dir", old)
+def folder(spark):
+    return New(spark)
 
 
 def left(folder):
-    return sorted(p.name.split("-")[0] for p in folder.glob("*")) if folder.exists() else []
+    return folder.names()
 
 
 def test_a_scratch_deletes_its_own_tables_but_not_results(spark, folder):
