@@ -16,6 +16,10 @@ are linked; the result is exact.
    such a shingle are candidates.
 4. For a candidate the overlap of each set with the other group's union is
    counted, and only sets that reach the bound are compared member by member.
+5. In a first round each group meets the least group of each such shingle; what is
+   linked by then becomes one component.  In a second round those candidates meet
+   that are not yet within one component altogether.  So the parts of a large
+   group of near copies meet one of them, not each other.
 
 Links become components; within a pair of groups only what joins its sets is
 written, never all pairs.
@@ -268,6 +272,23 @@ def compare(a: Group, b: Group, percent: int) -> tuple[np.ndarray, np.ndarray]:
         root = new
 
 
+def links_between(pairs: DataFrame, groups: DataFrame, percent: int, also: DataFrame | None = None) -> DataFrame:
+    """Rows ``a``, ``b``: links between the groups of each pair, and within ``also`` (``members``, null ``others``)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                members, others = (c[k].as_py() for c in batch.columns)
+                a = Group(members)
+                ids, roots = compare(a, Group(others) if others else a, percent)
+                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(roots)], ["a", "b"])
+
+    right = groups.select(F.col("group").alias("other"), F.col("members").alias("others"))
+    opened = pairs.join(groups.select("group", "members"), "group").join(right, "other").select("members", "others")
+    opened = opened if also is None else opened.unionByName(also)
+    return opened.mapInArrow(run, "a long, b long")
+
+
 def near_duplicates(
     docs: DataFrame,
     percent: int = PERCENT,
@@ -313,23 +334,30 @@ def near_duplicates(
                     yield pa.RecordBatch.from_arrays([pa.array(rare.view(np.int64)), pa.array([batch.column(0)[k].as_py()] * len(rare), pa.int64())], ["token", "group"])
 
         matrix = stage(groups.mapInArrow(matrix_rows, "token long, group long"), "matrix")
-        other = matrix.select("token", F.col("group").alias("other"))
-        candidates = matrix.join(other, "token").where("group < other").select("group", "other").distinct()
-        pairs = stage(candidates, "candidates")
-        left = groups.select("group", "members")
-        right = groups.select(F.col("group").alias("other"), F.col("members").alias("others"))
-        within = groups.where(F.size("members") > 1).select("members", F.lit(None).cast(groups.schema["members"].dataType).alias("others"))
-        opened = pairs.join(left, "group").join(right, "other").select("members", "others").unionByName(within)
 
-        def open_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for k in range(batch.num_rows):
-                    members, others = (c[k].as_py() for c in batch.columns)
-                    a = Group(members)
-                    ids, roots = compare(a, Group(others) if others else a, percent)
-                    yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(roots)], ["a", "b"])
-
-        reach = components(opened.mapInArrow(open_groups, "a long, b long"))
+        within = groups.where(F.size("members") > 1).select("members", F.lit(None).cast(groups.schema["members"].dataType).alias("others"))
+        # First each group meets the least group of each of its shingles.
+        hubs = matrix.groupBy("token").agg(F.min("group").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1").select("token", "hub")
+        stars = stage(matrix.join(hubs, "token").where("group <> hub").select(F.col("hub").alias("group"), F.col("group").alias("other")).distinct(), "stars")
+        links = stage(links_between(stars, groups, percent, within), "links")
+        reach = components(links)
+        # Groups whose sets are all of one component need not meet; of the others that share a shingle, all pairs do.
+        inside = groups.select("group", F.explode("members.id").alias("node")).join(reach, "node", "left")
+        part_of = F.coalesce("component", "node")
+        whole = inside.groupBy("group").agg(F.min(part_of).alias("low"), F.max(part_of).alias("high"))
+        kinds = whole.select("group", F.when(F.col("low") == F.col("high"), F.struct(F.lit(0).alias("mixed"), F.col("low").alias("name"))).otherwise(F.struct(F.lit(1).alias("mixed"), F.col("group").alias("name"))).alias("kind"))
+        placed = matrix.join(stage(kinds, "kinds"), "group")
+        open_tokens = placed.groupBy("token").agg(F.min("kind").alias("low"), F.max("kind").alias("high")).where("low <> high").select("token")
+        placed = stage(placed.join(open_tokens, "token"), "placed")
+        of_token = placed.select("token", "kind").distinct()
+        meeting = of_token.join(of_token.withColumnRenamed("kind", "other_kind"), "token").where("kind < other_kind")
+        sides = placed.select("token", F.col("kind").alias("other_kind"), F.col("group").alias("other"))
+        apart = meeting.join(placed, ["token", "kind"]).join(sides, ["token", "other_kind"])
+        apart = apart.select(F.least("group", "other").alias("group"), F.greatest("group", "other").alias("other")).distinct()
+        later = stage(apart.join(stars, ["group", "other"], "left_anti"), "apart")
+        more = stage(links_between(later, groups, percent), "more-links")
+        if not more.isEmpty():
+            reach = components(links.unionByName(more))
         named = classes.join(reach.select(F.col("node").alias("class"), "component"), "class", "left")
         named = stage(named.select("n", "x", "y", F.coalesce("component", "class").alias("component")), "named", result=True)
     component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
