@@ -1,17 +1,18 @@
 """Toxicity by a weighted finite-state grammar over clauses.
 
-A text becomes a string of symbols: a lexicon transducer maps each word to
-insult, threat, target, negation, reported speech or other, and the end of a
-clause to its own symbol.  Small transducers read that string: one marks what
-lies within reach of a negation, one what is reported, one what is aimed at a
-target, and one finds insults and threats.  ``compose`` joins them into one
-deterministic machine, whose output for a clause is the kind of each match
-(plain or aimed, asserted, negated or reported).  A text's score is a logistic
-model over its matches by kind: words that match no clause pattern, a target or
-a negation alone, count for nothing.
+A text becomes a string of symbols: a lexicon transducer writes insult, threat,
+partly abusive word, target, negation, reported speech or other for each word, and
+the end of a clause as its own symbol.  Four transducers follow, and each reads what
+the one before wrote: a match in reach of a negation is rewritten as a negated one,
+one behind a word of saying as a reported one, one in reach of a target as an aimed
+one, and the last puts the weight of its kind on the arc of each match.  ``compose``
+joins them into one sequential transducer.  The weight of its path through a
+clause is the clause's score, and a text's score is the logistic function of the sum
+over its clauses and a constant: words that match no clause pattern, a target or a
+negation alone, count for nothing.
 
 What is learned: stems of insults beyond the given lists (from how the labels
-split the texts that hold them) and the weights of the kinds.  The fit uses a
+split the texts that hold them) and the weights on the arcs.  The fit uses a
 sample of at most ``per_label`` labelled texts of each label.
 """
 
@@ -20,7 +21,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from dataclasses import dataclass
-from itertools import product
+from functools import reduce
 from math import exp, log, log1p
 from zlib import crc32
 
@@ -41,6 +42,7 @@ STEM_LIFT = 6.0
 STEM_SHARE = 0.02
 STEM_LENGTHS = range(4, 8)
 RIDGE = 1.0
+SKETCH = 8
 KNOWN_WORDS = 300_000
 
 # The lists below are fixed values: starting lexicon by language.
@@ -50,8 +52,12 @@ TARGETS = "you your yours yourself he she him her they them this that these thos
 NEGATIONS = "not no never none neither nor cannot don't isn't aren't nicht kein keine nie niemals ne pas jamais ni nunca jamás"
 REPORTS = "said says say told tells claimed claims wrote writes quoted quotes called reported sagte sagt schrieb behauptet dit écrit affirme dijo dice escribió afirma"
 
-OTHER, INSULT, THREAT, ABUSE, TARGET, NEGATION, REPORT, END = range(8)
-SYMBOLS = range(8)
+#: What a match can be: insult, threat or partly abusive word, plain or aimed, asserted or negated or reported.
+KINDS = [(what, aimed, how) for what in (1, 2, 3) for aimed in (0, 1) for how in ("asserted", "negated", "reported")]
+#: Symbols of all transducers: five that open or end something, then one for each kind.
+OTHER, TARGET, NEGATION, REPORT, END = range(5)
+SYMBOLS = range(5 + len(KINDS))
+INSULT, THREAT, ABUSE = (5 + KINDS.index((what, 0, "asserted")) for what in (1, 2, 3))
 
 _TOKEN = re.compile(r"[^\W_]+(?:['’][^\W_]+)?|[.!?;\n]")
 _ENDS = frozenset(".!?;\n")
@@ -62,70 +68,98 @@ _ENDS = frozenset(".!?;\n")
 
 @dataclass(frozen=True)
 class Transducer:
-    """Deterministic: ``step[state][symbol]`` is the next state and a mark (0: none)."""
+    """Sequential and weighted: ``step[state][symbol]`` is the next state, the symbol written and the arc's weight."""
 
-    step: tuple[tuple[tuple[int, int], ...], ...]
+    step: tuple[tuple[tuple[int, int, float], ...], ...]
 
     @staticmethod
     def of(states: int, move) -> Transducer:
         return Transducer(tuple(tuple(move(q, s) for s in SYMBOLS) for q in range(states)))
 
+    def run(self, symbols) -> tuple[list[int], float]:
+        """What is written for ``symbols``, and the weight of the path."""
+        state, weight, out = 0, 0.0, []
+        for symbol in symbols:
+            state, written, arc = self.step[state][symbol]
+            out.append(written)
+            weight += arc
+        return out, weight
+
+
+def compose(first: Transducer, second: Transducer) -> Transducer:
+    """The transducer that gives what ``second`` makes of what ``first`` writes; weights add up.
+
+    Its states are the pairs that can be reached.
+    """
+    pairs, table = {(0, 0): 0}, []
+    for p, q in iter_growing(pairs):
+        row = []
+        for symbol in SYMBOLS:
+            p_next, written, arc = first.step[p][symbol]
+            q_next, out, more = second.step[q][written]
+            row.append((pairs.setdefault((p_next, q_next), len(pairs)), out, arc + more))
+        table.append(tuple(row))
+    return Transducer(tuple(table))
+
+
+def iter_growing(pairs: dict):
+    """The keys of a dictionary that grows meanwhile, in their order."""
+    done = 0
+    while done < len(pairs):
+        for key in list(pairs)[done:]:
+            done += 1
+            yield key
+
+
+def _marked(symbol: int, place: int, value) -> int:
+    """The kind ``symbol`` with one of its parts changed; any other symbol as it is."""
+    if symbol < 5:
+        return symbol
+    kind = list(KINDS[symbol - 5])
+    kind[place] = value
+    return 5 + KINDS.index(tuple(kind))
 
-def within(reach: int, opener: int) -> Transducer:
-    """Marks every symbol at most ``reach`` tokens after ``opener`` in the same clause."""
 
-    def move(state: int, symbol: int) -> tuple[int, int]:
-        if symbol == END:
-            return 0, 0
-        if symbol == opener:
-            return reach, 1
-        return max(0, state - 1), int(state > 0)
+def negation(reach: int) -> Transducer:
+    """Matches at most ``reach`` tokens after a negation, in its clause, are negated."""
+
+    def move(state: int, symbol: int) -> tuple[int, int, float]:
+        if symbol in (END, NEGATION):
+            return (reach if symbol == NEGATION else 0), symbol, 0.0
+        return max(0, state - 1), _marked(symbol, 2, "negated") if state else symbol, 0.0
 
     return Transducer.of(reach + 1, move)
 
 
-def rest_of_clause(opener: int) -> Transducer:
-    """Marks every symbol from ``opener`` to the end of its clause."""
+def reported() -> Transducer:
+    """Matches between a word of saying and the end of its clause are reported, negated ones too."""
 
-    def move(state: int, symbol: int) -> tuple[int, int]:
-        state = 0 if symbol == END else 1 if symbol == opener else state
-        return state, state
+    def move(state: int, symbol: int) -> tuple[int, int, float]:
+        state = 0 if symbol == END else 1 if symbol == REPORT else state
+        return state, _marked(symbol, 2, "reported") if state else symbol, 0.0
 
     return Transducer.of(2, move)
 
 
-def finder() -> Transducer:
-    """Marks an insult with 1, a threat with 2 and a partly abusive word with 3."""
-    return Transducer.of(1, lambda state, symbol: (0, {INSULT: 1, THREAT: 2, ABUSE: 3}.get(symbol, 0)))
+def target(reach: int) -> Transducer:
+    """Matches at most ``reach`` tokens after a target, in its clause, are aimed."""
 
+    def move(state: int, symbol: int) -> tuple[int, int, float]:
+        if symbol in (END, TARGET):
+            return (reach if symbol == TARGET else 0), symbol, 0.0
+        return max(0, state - 1), _marked(symbol, 1, 1) if state else symbol, 0.0
 
-def compose(*parts: Transducer) -> list[list[tuple[int, tuple[int, ...]]]]:
-    """The machine that runs all parts on one input: next state and marks, by state and symbol."""
-    states = {s: n for n, s in enumerate(product(*(range(len(p.step)) for p in parts)))}
-    table = []
-    for state in states:
-        row = []
-        for symbol in SYMBOLS:
-            moves = [p.step[q][symbol] for p, q in zip(parts, state)]
-            row.append((states[tuple(m[0] for m in moves)], tuple(m[1] for m in moves)))
-        table.append(row)
-    return table
+    return Transducer.of(reach + 1, move)
 
 
-#: Kinds of match: insult, threat or partly abusive word, plain or aimed, asserted or negated or reported.
-KINDS = [(what, aimed, how) for what in (1, 2, 3) for aimed in (0, 1) for how in ("asserted", "negated", "reported")]
+def offence(weights) -> Transducer:
+    """Insults, threats and partly abusive words weigh by their kind; all else weighs nothing."""
+    return Transducer.of(1, lambda state, symbol: (0, symbol, float(weights[symbol - 5]) if symbol >= 5 else 0.0))
 
 
-def grammar(negation_reach: int = 3, target_reach: int = 6) -> list[list[tuple[int, int]]]:
-    """Composed machine: next state and kind of match (-1: none) by state and symbol."""
-    out = []
-    for row in compose(within(negation_reach, NEGATION), rest_of_clause(REPORT), within(target_reach, TARGET), finder()):
-        line = []
-        for to, (negated, reported, aimed, what) in row:
-            how = "reported" if reported else "negated" if negated else "asserted"
-            line.append((to, KINDS.index((what, aimed, how)) if what else -1))
-        out.append(line)
-    return out
+def grammar(weights, negation_reach: int = 3, target_reach: int = 6) -> Transducer:
+    """Negation, reported speech, targets and offences, each reading what the one before wrote."""
+    return reduce(compose, [negation(negation_reach), reported(), target(target_reach), offence(weights)])
 
 
 # ------------------------------------------------------------------ the model
@@ -154,7 +188,8 @@ class _Lexicon(dict):
 class Model:
     """Lexicon, composed grammar and weights; small, and sent to every task.
 
-    ``stems`` and ``words`` give a symbol to heads of words and to whole words.
+    ``stems`` and ``words`` give a symbol to heads of words and to whole words;
+    ``weights`` are the constant and the weights of the kinds, which lie on the arcs.
     """
 
     def __init__(self, stems: dict[str, int] | None = None, words: dict[str, int] | None = None, weights: np.ndarray | None = None):
@@ -167,7 +202,7 @@ class Model:
         known = dict(self.words)
         for symbol, listed in ((REPORT, REPORTS), (NEGATION, NEGATIONS), (TARGET, TARGETS), (THREAT, THREATS), (INSULT, INSULTS)):
             known |= dict.fromkeys(listed.split(), symbol)
-        self._lexicon, self._machine = _Lexicon(known, self.stems), grammar()
+        self._lexicon, self._machine = _Lexicon(known, self.stems), grammar(self.weights[1:])
 
     def __getstate__(self):
         return self.stems, self.words, self.weights
@@ -176,32 +211,47 @@ class Model:
         self.stems, self.words, self.weights = state
         self._ready()
 
+    def symbols(self, text: str) -> bytes:
+        """What the lexicon writes for the words and clause ends of the text."""
+        return bytes(map(self._lexicon.__getitem__, _TOKEN.findall(text.lower())))
+
+    def clauses(self, text: str) -> list[tuple[float, list[tuple]]]:
+        """Weight and matches of each clause with a match."""
+        symbols = self.symbols(text)
+        if not any(symbol in symbols for symbol in (INSULT, THREAT, ABUSE)):
+            return []
+        found = []
+        step, state = self._machine.step, 0
+        weight, matches = 0.0, []
+        for symbol in symbols:
+            state, written, arc = step[state][symbol]
+            if written >= 5:
+                weight += arc
+                matches.append(KINDS[written - 5])
+            elif symbol == END and matches:
+                found.append((weight, matches))
+                weight, matches = 0.0, []
+        return [*found, (weight, matches)] if matches else found
+
     def matches(self, text: str) -> list[int]:
         """How many matches of each kind the text's clauses have."""
-        symbols = bytes(map(self._lexicon.__getitem__, _TOKEN.findall(text.lower())))
         found = [0] * len(KINDS)
-        if not any(symbol in symbols for symbol in (INSULT, THREAT, ABUSE)):
-            return found
-        machine = self._machine
-        state = 0
-        for symbol in symbols:
-            state, kind = machine[state][symbol]
-            if kind >= 0:
-                found[kind] += 1
+        for _, kinds in self.clauses(text):
+            for kind in kinds:
+                found[KINDS.index(kind)] += 1
         return found
 
-    def features(self, text: str) -> list[float]:
-        return [1.0, *map(log1p, self.matches(text))]
-
     def score(self, text: str | None) -> float:
-        value = float(np.dot(self.weights, self.features(text or "")))
+        """Logistic function of the constant and the weights of the matched clauses."""
+        value = self.weights[0] + sum(weight for weight, _ in self.clauses(text or ""))
         return 1 / (1 + exp(-max(-40.0, min(40.0, value))))
 
 
 def learn_insults(texts: list[str], labels: list[int]) -> tuple[dict[str, int], dict[str, int]]:
     """Stems (heads of words) and whole words that toxic texts use far more than others.
 
-    A use is a text with a word; of near copies one counts.
+    A use is a text with a word; of texts with the same ``SKETCH`` words of least
+    hash, which are near copies, one counts.
     """
     uses = {label: (Counter(), Counter()) for label in (0, 1)}
     texts_with: tuple[Counter, Counter] = (Counter(), Counter())
@@ -209,7 +259,7 @@ def learn_insults(texts: list[str], labels: list[int]) -> tuple[dict[str, int],
     seen = set()
     for text, label in zip(texts, labels):
         words = {t for t in _TOKEN.findall(text.lower()) if len(t) > 2}
-        sketch = (label, *sorted(crc32(w.encode()) for w in words)[:2])
+        sketch = (label, *sorted(crc32(w.encode()) for w in words)[:SKETCH])
         if sketch in seen:
             continue
         seen.add(sketch)
@@ -254,7 +304,7 @@ def fit(texts: list[str], labels: list[int]) -> Model:
         return Model()
     stems, words = learn_insults(texts, labels)
     model = Model(stems, words)
-    rows = np.array([model.features(t) for t in texts])
+    rows = np.array([[1.0, *model.matches(t)] for t in texts])
     return Model(stems, words, fit_weights(rows, np.array(labels, float)))
 
 
@@ -281,7 +331,9 @@ def train(
 def predict(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text") -> DataFrame:
     """Columns ``keep``, then ``score`` double (0 to 1) and ``predicted`` int, for every row.
 
-    A null text counts as empty; an empty one has no match and gets the least score.
+    A null text counts as empty; a text without a match, an empty one too, gets what
+    the constant alone gives.  A very long text is one string of symbols; repeated
+    rows score alike.
     """
 
     def run(texts: list[str | None]) -> list[pa.Array]:

@@ -62,3 +62,18 @@ def test_query_like_sql(spark, folder):
     result = queries.op2_merkle_audit(spark, folder).toPandas()
     assert difference(result, con.sql(queries.oracle_sql()["op2_merkle_audit"]).df()) is None
     con.close()
+
+
+def test_very_long_payloads_and_clashing_columns(spark):
+    names = ["file", "position", "payload", "node", "hash", "bytes", "records", "id", "kind", "offset"]
+    pages = spark.createDataFrame(
+        [(i, f"https://host/{i}", f"{i} " * 800_000, *[f"{n}{i}" for n in names]) for i in range(4)],
+        "page_id long, url string, html string, " + ", ".join(f"`{n}` string" for n in names),
+    )
+    first = merkle.warc_records(pages)
+    second = merkle.warc_records(pages.selectExpr("page_id", "url", "IF(page_id = 2, concat(left(html, 1599999), '!'), html) AS html"))
+    assert first.columns == ["file", "position", "payload"]
+    depth = merkle.depth_for(first, second)
+    (damage,) = merkle.audit(*(merkle.build(c, depth) for c in (first, second))).collect()
+    assert (damage["file"], damage.position, damage.kind, damage.bytes == damage.other_bytes) == ("host", 2, "changed", True)
+    assert damage.bytes > 1_600_000 and damage.offset == sum(len(r.payload) for r in first.collect() if r.position < 2)

@@ -1,11 +1,13 @@
 """The pipeline's stages, each on its own input."""
 
 import public_tokenizers
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
 import corpus_pipeline as pipeline
 from kerbscope.llm import winnow
+from kerbscope.staging import stage
 
 FOLDER = "/root/testdata/sf0.01"
 
@@ -90,3 +92,25 @@ def test_texts_that_share_an_id_are_compared_each_by_itself(spark):
     out = pipeline.keep_one_of_each_group(spark, docs, FOLDER)
     assert out.columns == docs.columns
     assert sorted(((r.doc_id or 0, r.text) for r in out.collect())) == sorted([(0, a), (1, a), (2, b), (2, c), (4, d)])
+
+
+def test_columns_of_the_documents_pass_every_stage_unchanged(spark):
+    """Whatever their names: operators make columns of these names themselves."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    names = ["score", "predicted", "_hash", "hash", "lang_pred", "lettered", "n_lines", "removed", "_key", "key", "row", "_made", "_row", "id", "body", "spans", "count"]
+    docs = docs.select("*", *[F.concat(F.lit(f"{n} of "), "doc_id").alias(n) for n in names])
+    docs = docs.unionByName(docs.limit(3))
+    out = docs
+    for name, function in pipeline.STAGES[:-1]:
+        out = stage(function(spark, out, FOLDER), "stage")
+        assert out.schema.simpleString() == docs.schema.simpleString(), name
+        rows = out.collect()
+        assert rows and all(r[n] == f"{n} of {r.doc_id}" for r in rows for n in names), name
+
+
+def test_stages_without_any_label(spark, tmp_path):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    out = pipeline.drop_toxic(spark, docs, str(tmp_path))
+    clean = out.count()
+    assert out.columns == docs.columns and 0.5 * docs.count() < clean <= docs.count()

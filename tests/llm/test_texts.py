@@ -1,15 +1,19 @@
 """Line dedup, near duplicates, packing, language and toxicity against plain versions."""
 
 import random
+import re
 from collections import Counter
+from itertools import product
 from zlib import crc32
 
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from kerbscope.llm import groups, language, packing, queries, toxicity, winnow
+from kerbscope.llm.common import sample_ids
 
 FOLDER = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, id int, row string, n long"
@@ -26,43 +30,63 @@ def given(spark):
 # ------------------------------------------------------------------ line dedup
 
 
-def check_lines(rows, out):
-    """Every line of a repeated run is cut, and only lines that an earlier one equals."""
-    before, windows = set(), set()
-    size = winnow.GRAM + winnow.WINDOW - 1
-    for i, text in sorted((r for r in rows if r[0] is not None and r[1] is not None), key=lambda r: r[0]):
-        parts = winnow.split_lines(text)
-        _, hashes, words = winnow.line_hashes(parts)
-        hashes, got = hashes.tolist(), out[i]
-        gone = {k for r in got.removed for k in range(r["start"], r["end"] + 1)}
-        assert all(hashes[k] in before or hashes[k] in hashes[:k] for k in gone)
-        repeated, own = set(), set()
-        for k in range(len(hashes)):
-            run = tuple(hashes[k : k + size])
-            if len(run) == size and (run in windows or run in own):
-                repeated.update(range(k, k + size))
-            if words[k] >= winnow.MIN_WORDS and (hashes[k] in before or hashes[k] in hashes[:k]):
-                repeated.add(k)
-            own.add(run)
-        run = []
-        for k in range(len(hashes) + 1):
-            if k in repeated:
-                run.append(k)
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def plain_lines(text):
+    """The words of each line that has any."""
+    return [words for line in re.split(r"(?<=[.!?])[ \t]+|\n", text) if (words := tuple(WORD.findall(line)))]
+
+
+def plain_repeats(rows):
+    """Of each text, the lines in a run of ``MIN_WORDS`` words that occurred before; runs of any number of lines."""
+    seen, due = set(), {}
+    for i, text in sorted((r for r in set(rows) if None not in r), key=lambda r: (r[0], crc32(r[1].encode()))):
+        lines = plain_lines(text)
+        due[i, text] = set()
+        for a in range(len(lines)):
+            n = 0
+            for b in range(a, len(lines)):
+                n += len(lines[b])
+                if n >= winnow.MIN_WORDS:
+                    run = tuple(lines[a : b + 1])
+                    if run in seen:
+                        due[i, text].update(range(a, b + 1))
+                    seen.add(run)
+                    if n - len(lines[a]) >= winnow.MIN_WORDS:  # longer runs are unions of shorter ones
+                        break
+    return due
+
+
+def check_lines(rows, found):
+    """Exactly the lines of repeated runs are cut, with what is blank between them, and the rest stays as it was."""
+    due = plain_repeats(rows)
+    texts = Counter(rows)
+    assert len(found) == len(rows)
+    left = Counter()
+    for r in found:
+        gone = {k for run in r.removed for k in range(run["start"], run["end"] + 1)}
+        source = [t for (i, t) in texts if i == r.doc_id and (t is None or due.get((i, t), set()) == gone and r.n_lines == len(plain_lines(t)))]
+        kept = []
+        for text in source:
+            if text is None or not gone:
+                kept.append(text)
                 continue
-            if words[run].sum() >= winnow.MIN_WORDS if run else False:
-                assert set(run) <= gone
-            run = []
-        before.update(hashes)
-        windows |= own
-        if not got.removed:
-            assert got.text == text
+            parts = winnow.split_lines(text)
+            place = [k for k, line in enumerate(parts[::2]) if WORD.search(line)]
+            out = {k for run in r.removed for k in range(2 * place[run["start"]], 2 * place[run["end"]] + 2)}
+            kept.append("".join(x for k, x in enumerate(parts) if k not in out))
+        assert r.text in kept, (r.doc_id, gone)
+        left[r.doc_id] += 1
+    assert left == Counter(i for i, _ in rows)
 
 
 def test_line_dedup_of_the_given_texts(spark):
-    rows = given(spark)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    found = winnow.remove_repeats(docs).collect()
+    check_lines([(r.doc_id, r.text) for r in docs.collect()], found)
+    assert sum(len(r.removed) for r in found) > 100
     out = {r.doc_id: r for r in winnow.remove_repeats(spark.read.parquet(f"{FOLDER}/documents.parquet")).collect()}
-    check_lines(rows, out)
-    assert sum(len(r.removed) for r in out.values()) > 10
     digest = {r.doc_id: r for r in queries.op4_winnowed_lines(spark, FOLDER).collect()}
     assert {i: r.text for i, r in digest.items()} == {i: r.text for i, r in out.items()}
     assert all(r.n_removed == sum(x["end"] - x["start"] + 1 for x in out[i].removed) for i, r in digest.items())
@@ -95,8 +119,7 @@ def test_line_dedup_of_made_runs(spark):
     found = winnow.remove_repeats(frame(spark, rows)).collect()
     assert found[0].asDict().keys() == set("doc_id text lang id row n n_lines removed".split())
     out = {r.doc_id: r for r in found}
-    assert len(found) == len(rows)
-    check_lines(rows, out)
+    check_lines(rows, found)
     assert passage.split(". ")[2] not in out[2].text and out[2].text.count("\n") == 2
     assert out[3].text == "" and out[None].text == passage and out[6].text is None and out[8].text == " \n\n "
     assert long_line not in out[5].text and long_line in out[4].text
@@ -105,47 +128,16 @@ def test_line_dedup_of_made_runs(spark):
     assert winnow.remove_repeats(frame(spark, [])).collect() == []
 
 
-def test_stray_copy_of_inner_lines_hides_no_run(spark):
-    rnd = random.Random(3)
-
-    def line(words):
-        return " ".join(str(rnd.randrange(10**9)) for _ in range(words)) + "."
-
-    def prints(text):
-        _, hashes, words = winnow.line_hashes(winnow.split_lines(text))
-        return set(winnow.fingerprints(hashes, words, winnow.WINDOW, winnow.MIN_WORDS)[2].tolist())
-
-    rows, made = [], 0
-    while made < 3:  # B C is the only fingerprint that both copies of A B C D have
-        a, b, c, d = line(14), line(8), line(8), line(14)
-        texts = [f"{line(9)}\n{b}\n{c}\n{line(9)}", *(f"{line(9)}\n{a}\n{b}\n{c}\n{d}\n{line(9)}" for _ in range(2))]
-        if prints(texts[1]) & prints(texts[2]) == prints(f"{b}\n{c}") <= prints(texts[0]):
-            rows += [(10 * made + i, text) for i, text in zip((3, 5, 9), texts)]
-            made += 1
-    out = {r.doc_id: r for r in winnow.remove_repeats(frame(spark, rows)).collect()}
-    for k in range(made):
-        assert [r.asDict() for r in out[10 * k + 9].removed] == [{"start": 1, "end": 4}]
-        assert not out[10 * k + 3].removed and not out[10 * k + 5].removed
-    for window in (1, 3):
-        out = {r.doc_id: r for r in winnow.remove_repeats(frame(spark, rows), window=window).collect()}
-        assert all([r.asDict() for r in out[10 * k + 9].removed] == [{"start": 1, "end": 4}] for k in range(made))
-
-
-def left_of_runs(rows, out):
-    """Lines that stay though they lie in a run of ``MIN_WORDS`` words that occurred before; any number of lines."""
-    seen, left = set(), []
-    for i, text in sorted(rows):
-        _, hashes, words = winnow.line_hashes(winnow.split_lines(text))
-        gone = {k for r in out[i].removed for k in range(r["start"], r["end"] + 1)}
-        due = set()
-        for a in range(len(hashes)):
-            for b in range(a, min(len(hashes), a + winnow.MIN_WORDS)):
-                run = tuple(hashes[a : b + 1].tolist())
-                if run in seen and words[a : b + 1].sum() >= winnow.MIN_WORDS:
-                    due.update(range(a, b + 1))
-                seen.add(run)
-        left += [(i, k) for k in sorted(due - gone)]
-    return left
+def test_drawn_texts_of_few_lines(spark):
+    """Many ways in which runs overlap, nest, meet strays and repeat within a text."""
+    rnd = random.Random(5)
+    pool = [" ".join(f"w{rnd.randrange(40)}" for _ in range(rnd.choice([1, 2, 5, 8, 13, 26]))) + rnd.choice(["", ".", "?!"]) for _ in range(14)]
+    rows = []
+    for i in range(250):
+        gaps = ["\n", "\n \n", "  ", "\t", " \x0b", "\r\n"]
+        rows.append((i % 200, "".join(rnd.choice(pool) + rnd.choice(gaps) for _ in range(rnd.randrange(12)))))
+    check_lines(rows, winnow.remove_repeats(frame(spark, rows)).collect())
+    check_lines(rows[:40], winnow.remove_repeats(frame(spark, rows[:40], 1)).collect())
 
 
 def test_runs_of_two_lines_go(spark):
@@ -160,12 +152,26 @@ def test_runs_of_two_lines_go(spark):
         if not k % 3:  # the long line alone comes first
             rows.append((3 * k, "\n".join([line(9), max(pair, key=len), line(9)])))
         rows += [(3 * k + n, "\n".join([line(9), line(5), *pair, line(5), line(9)])) for n in (1, 2)]
-    out = {r.doc_id: r for r in winnow.remove_repeats(frame(spark, rows)).collect()}
-    assert left_of_runs(rows, out) == []
+    found = winnow.remove_repeats(frame(spark, rows)).collect()
+    check_lines(rows, found)
+    out = {r.doc_id: r for r in found}
     assert all([r.asDict() for r in out[3 * k + 2].removed] == [{"start": 2, "end": 3}] for k in range(30))
-    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    out = {r.doc_id: r for r in winnow.remove_repeats(docs).collect()}
-    assert left_of_runs([(r.doc_id, r.text) for r in docs.collect()], out) == []
+
+
+def test_fingerprints_are_few_and_shared_by_equal_runs(spark):
+    texts = [t.encode() for _, t in given(spark) if t]
+    lines = winnow.Lines.of(texts)
+    assert np.diff(lines.first).tolist() == [len(plain_lines(t.decode())) for t in texts]
+    assert lines.words.tolist() == [len(w) for t in texts for w in plain_lines(t.decode())]
+    prints = winnow.fingerprints(lines, winnow.MIN_WORDS)
+    assert len(prints) < 0.5 * len(lines.words)
+    held = np.zeros(len(lines.words), bool)
+    held[prints] = True
+    ahead, back = (f(lines, winnow.MIN_WORDS) for f in (winnow.windows_from, winnow.windows_to))
+    for found in (ahead, back):  # every window of words, from or to a line, holds a fingerprint
+        assert all(held[a : b + 1].any() and lines.words[a : b + 1].sum() >= winnow.MIN_WORDS for a, b in zip(found.start, found.end))
+    again = winnow.Lines.of([b"other words before. " + t for t in texts])
+    assert set(lines.hashes[prints].tolist()) <= set(again.hashes[winnow.fingerprints(again, winnow.MIN_WORDS)].tolist())
 
 
 # ------------------------------------------------------------------ near duplicates
@@ -227,6 +233,21 @@ def test_near_duplicates_at_the_threshold_in_small_groups_and_ranges(spark, monk
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in out} == expected
 
 
+def test_parts_of_a_large_group_do_not_all_meet(spark, monkeypatch):
+    """Near copies in many parts: each part meets one of them; chains and strays are still found."""
+    monkeypatch.setattr(groups, "GROUP", 3)
+    met = []
+    real = groups.links_between
+    monkeypatch.setattr(groups, "links_between", lambda pairs, *rest: (met.append(pairs.count()), real(pairs, *rest))[1])
+    words = [f"w{k}" for k in range(900)]
+    rows = [(k, " ".join([*words[:200], f"own{k}"])) for k in range(60)]
+    rows += [(100 + k, " ".join(words[300 + 4 * k : 340 + 4 * k])) for k in range(40)]  # each like the next alone
+    rows += [(200, " ".join(words[20:200])), (201, " ".join(words[60:200]))]
+    out = groups.near_duplicates(frame(spark, rows, parts=1)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in out} == plain_components(rows)
+    assert len(met) == 2 and sum(met) < 150  # of the 190 pairs of 20 parts alone, and as many of the chain
+
+
 def test_near_duplicates_with_null_and_clashing_ids(spark):
     text = " ".join(map(str, range(40)))
     rows = [(5, text), (None, text), (3, text + " x"), (5, "another text under this id of a few words"), (9, text)]
@@ -419,6 +440,20 @@ def test_language_of_odd_texts(spark):
     assert language.predict(docs.where("false"), model, ["doc_id"]).collect() == []
 
 
+def test_language_of_repeated_and_very_long_texts(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").where("lang is not null")
+    model = language.train(docs)
+    by_lang = {r.lang: r.text for r in docs.where("length(text) > 400").collect()}
+    rows = [(k, t) for k, t in enumerate(by_lang.values())]
+    rows += [(100 + k, f"{t} " * (1 + 600_000 // len(t))) for k, t in enumerate(by_lang.values())] + rows + rows
+    found = {}
+    for r in language.predict(frame(spark, rows), model, ["doc_id"]).collect():
+        found.setdefault(r.doc_id, []).append((r.lang_pred, r.score))
+    for k, lang in enumerate(by_lang):
+        assert len(found[k]) == 3 and len(set(found[k])) == 1 and found[k][0][0] == lang
+        assert len(found[100 + k]) == 1 and found[100 + k][0][0] == lang and 0 <= found[100 + k][0][1] <= 1
+
+
 # ------------------------------------------------------------------ toxicity
 
 
@@ -438,28 +473,81 @@ def test_clauses_not_words():
     assert kinds("not you they said") == {} and kinds("") == {}
 
 
-def test_composed_machine_equals_its_parts():
+def test_composed_transducer_equals_its_parts_in_series():
     rnd = random.Random(4)
-    parts = [toxicity.within(3, toxicity.NEGATION), toxicity.rest_of_clause(toxicity.REPORT), toxicity.within(6, toxicity.TARGET), toxicity.finder()]
-    whole = toxicity.compose(*parts)
-    state, states = 0, [0] * len(parts)
-    for _ in range(3000):
-        symbol = rnd.choice(toxicity.SYMBOLS)
-        state, marks = whole[state][symbol]
-        for k, part in enumerate(parts):
-            states[k], mark = part.step[states[k]][symbol]
-            assert mark == marks[k]
+    weights = [rnd.random() for _ in toxicity.KINDS]
+    parts = [toxicity.negation(3), toxicity.reported(), toxicity.target(6), toxicity.offence(weights)]
+    whole = toxicity.grammar(weights)
+    for _ in range(200):
+        symbols = [rnd.choice(toxicity.SYMBOLS) for _ in range(rnd.randrange(60))]
+        read, weight = symbols, 0.0
+        for part in parts:
+            read, more = part.run(read)
+            weight += more
+        written, total = whole.run(symbols)
+        assert written == read and abs(total - weight) < 1e-9
+    # What one writes is what the next reads: the order matters.
+    other = toxicity.compose(toxicity.reported(), toxicity.negation(3)), toxicity.compose(toxicity.negation(3), toxicity.reported())
+    symbols = [toxicity.REPORT, toxicity.NEGATION, toxicity.INSULT]
+    assert [toxicity.KINDS[t.run(symbols)[0][-1] - 5][2] for t in other] == ["negated", "reported"]
+
+
+def plain_matches(model, text):
+    """The matches of a text by looking back from each word, without any transducer."""
+    tokens = re.findall(r"[^\W_]+(?:['’][^\W_]+)?|[.!?;\n]", text.lower())
+    symbols = [model._lexicon[t] for t in tokens]
+    found, start = Counter(), 0
+    for k, symbol in enumerate(symbols):
+        if symbol == toxicity.END:
+            start = k + 1
+        if symbol >= 5:
+            clause = symbols[start:k]
+            what = toxicity.KINDS[symbol - 5][0]
+            aimed = int(toxicity.TARGET in clause[-6:])
+            how = "reported" if toxicity.REPORT in clause else "negated" if toxicity.NEGATION in clause[-3:] else "asserted"
+            found[what, aimed, how] += 1
+    return found
 
 
 def test_toxicity_query(spark):
     folder = "/root/testdata/sf0.01"
     out = {r.doc_id: r for r in queries.op8_clause_toxicity(spark, folder).collect()}
-    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
+    rows = spark.read.parquet(f"{folder}/labels.parquet")
+    labels = {r.doc_id: r.toxic for r in rows.collect()}
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in out.values())
     tried = [(labels[i], r.predicted) for i, r in out.items() if r.held_out and i in labels]
     assert all(r.held_out == (crc32(str(i).encode()) % 5 == 0) for i, r in out.items())
     hit = sum(a == b == 1 for a, b in tried)
     assert hit >= 0.8 * sum(a for a, _ in tried) and hit >= 0.9 * sum(b for _, b in tried)
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    model = toxicity.train(docs, rows.where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0))
+    for r in docs.collect():
+        weights = dict(zip(toxicity.KINDS, model.weights[1:]))
+        value = model.weights[0] + sum(n * weights[k] for k, n in plain_matches(model, r.text or "").items())
+        assert out[r.doc_id].score == pytest.approx(1 / (1 + np.exp(-np.clip(value, -40, 40))), abs=1e-9)
+
+
+def test_texts_that_share_two_words_all_count():
+    """Two words of least hash in common make no near copy; the same words altogether do."""
+    words = sorted(("".join(w) for w in product("abcdefgh", repeat=5)), key=lambda w: crc32(w.encode()))
+    common, rest = words[:2], words[2:]
+    clean = [" ".join(rest[12 * k : 12 * k + 12]) for k in range(500)]
+    toxic = [" ".join([*common, "foulish", *rest[9000 + 9 * k : 9009 + 9 * k]]) for k in range(20)]
+    stems, found = toxicity.learn_insults(toxic + clean, [1] * 20 + [0] * 500)
+    assert any("foulish".startswith(stem) for stem in stems) or "foulish" in found
+    stems, found = toxicity.learn_insults(toxic[:1] * 20 + clean, [1] * 20 + [0] * 500)
+    assert not stems and not found
+
+
+def test_sample_takes_the_first_ids_by_hash(spark):
+    rows = [(i, "a" if i % 10 else "b") for i in range(5000)] + [(None, "a"), (7, None)]
+    table = spark.createDataFrame(rows, "id long, lang string").repartition(5)
+    found = sample_ids(table, "id", "lang", 40)
+    order = {r.id: r.h for r in table.where("id is not null").select("id", F.xxhash64("id").alias("h")).collect()}
+    for value in ("a", "b"):
+        want = sorted((i for i, v in rows if v == value and i is not None), key=lambda i: order[i])[:40]
+        assert sorted(r.id for r in found.collect() if r.value == value) == sorted(want)
+    assert sample_ids(table, "id", "lang", 10_000).count() == 5000 and sample_ids(table.where("false"), "id", "lang", 5).count() == 0
 
 
 def test_toxicity_of_odd_tables(spark):
@@ -472,3 +560,13 @@ def test_toxicity_of_odd_tables(spark):
         score = {r.doc_id: r.score for r in out}
         assert score[1] == score[None] > score[2] == score[3]
     assert toxicity.predict(docs.where("false"), toxicity.Model(), ["doc_id"]).collect() == []
+
+
+def test_toxicity_of_texts_with_unlike_labels_and_very_long_ones(spark):
+    rows = [(k, "you are a foul idiot, all of you") for k in range(8)] + [(20 + k, f"a plain text number {k} of words") for k in range(8)]
+    rows += [(40, "you idiot. " * 100_000), (41, "fine words. " * 100_000)]
+    labels = [(k, k % 2) for k in range(8)] + [(20 + k, 0) for k in range(8)] + [(3, 0)]  # one text under both labels, one id too
+    model = toxicity.train(frame(spark, rows), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    out = {r.doc_id: r.score for r in toxicity.predict(frame(spark, rows), model, ["doc_id"]).collect()}
+    assert len({out[k] for k in range(8)}) == 1 and out[0] > out[20] == out[41]
+    assert all(0 <= s <= 1 for s in out.values()) and out[40] >= out[0]
