@@ -3,15 +3,19 @@
 A vector is scaled to unit length and turned by a random rotation; the signs of
 its coordinates are its code, one bit each.  With ``s`` the unit vector of those
 signs and ``f`` its inner product with the turned vector (kept beside the
-code), the inner product with a query is estimated by ``<s, q> / f``, and the
+code), the inner product with a query ``q`` is estimated by ``<s, q> / f``, and the
 error is at most ``width * sqrt((1 - f*f) / f / f / (dim - 1))`` but for chance:
-``width`` counts standard deviations.  A code whose bound cannot beat the k-th
-best found so far is passed over; the others are reranked on the original
-vectors in double precision.
-
-Every row is indexed; the index is made of blocks of rows.  Queries come in
-blocks too, and each block of queries is sent to each part of the index, where
-both meet in matrix products.  A block returns ``k`` rows for a query at most.
+``width`` counts standard deviations.  ``<s, q>`` comes from the packed bits alone: a
+turned query is rounded to ``PLANES`` bits a coordinate, whose bit planes are
+matched with the code by counting common bits; what the rounding may change is
+added to the bound.
+
+Every row is indexed; the index is made of blocks of rows.  Queries come in blocks
+too, and both are dealt to a grid in which each pair of blocks meets once.  A first
+pass over the grid reranks the few best estimates of each block, so that every
+query knows ``k`` cosines; the least of them is its floor.  A second pass reranks, in
+double precision on the original vectors, every code whose bound reaches the
+floor; all others cannot be among the ``k`` nearest.
 """
 
 from __future__ import annotations
@@ -23,13 +27,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kerbscope.staging import scratch, stage
+
 WIDTH = 3.0
+PLANES = 6
 BLOCK = 4096
 QUERY_BLOCK = 128
-#: Parts of the index that work side by side on one block of queries.
+#: Blocks of the index and of queries in a cell of the grid, once there are enough of them.
+CELL = 16
+QUERY_CELL = 64
+#: Parts that a small index is dealt to.
 PARTS = 48
 
-_BLOCK = "dim int, ids binary, vectors binary, codes binary, factors binary"
+_BLOCK = "dim int, ids binary, vectors binary, codes binary, factors binary, floors binary"
 
 
 def rotation(dim: int, seed: int = 7) -> np.ndarray:
@@ -44,68 +54,113 @@ def sound(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     values = column.flatten()
     flat = values.fill_null(float("nan")).to_numpy(zero_copy_only=False).astype(np.float64)
     row = np.repeat(np.arange(len(sizes)), sizes)
-    fine = sizes > 0
+    fine = np.zeros(len(sizes), bool)
+    fine[row[flat != 0]] = True
     fine[row[~np.isfinite(flat)]] = False
-    length = np.sqrt(np.bincount(row, np.where(np.isfinite(flat), flat, 0) ** 2, minlength=len(sizes)))
-    fine &= (length > 0) & np.isfinite(length)
     return np.flatnonzero(fine), sizes, flat
 
 
-def encode(unit: np.ndarray, turn: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Packed sign bits and correction factors of unit vectors."""
-    turned = unit @ turn.T
-    return np.packbits(turned > 0, axis=1), np.abs(turned).sum(1) / np.sqrt(unit.shape[1])
+def level(vectors: np.ndarray) -> np.ndarray:
+    """Vectors times powers of two, so that the largest component is near 1: their squares stay in range.
 
+    The scaling is exact, hence cosines are those of the original vectors.
+    """
+    _, exponent = np.frexp(np.abs(vectors).max(1, initial=0))
+    return np.ldexp(vectors, -exponent[:, None])
 
-def blocks(table: DataFrame, size: int, id_col: str, vec_col: str) -> DataFrame:
-    """Blocks of at most ``size`` vectors of one dimension: ids, vectors, codes, correction factors."""
+
+def lengths(vectors: np.ndarray) -> np.ndarray:
+    return np.sqrt((vectors**2).sum(1))
+
+
+def encode(unit: np.ndarray, turn: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sign bits of unit vectors packed into 64-bit words, and correction factors."""
+    turned = unit @ turn.T
+    dim = unit.shape[1]
+    bits = np.zeros((len(unit), -(-dim // 64) * 64), bool)
+    bits[:, :dim] = turned > 0
+    return np.packbits(bits, axis=1, bitorder="little").view("<u8"), np.abs(turned).sum(1) / np.sqrt(dim)
+
+
+def planes(turned: np.ndarray, many: int = PLANES) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Bit planes (query x plane x word), lowest value, step, and the most that rounding changes a signed sum."""
+    low = turned.min(1)
+    step = np.maximum((turned.max(1) - low) / (2**many - 1), 1e-30)
+    whole = np.rint((turned - low[:, None]) / step[:, None]).astype(np.uint64)
+    off = np.abs(low[:, None] + step[:, None] * whole - turned).sum(1)
+    dim = turned.shape[1]
+    bits = np.zeros((len(turned), many, -(-dim // 64) * 64), bool)
+    bits[:, :, :dim] = (whole[:, None, :] >> np.arange(many, dtype=np.uint64)[:, None]) & np.uint64(1)
+    return np.packbits(bits, axis=2, bitorder="little").view("<u8"), low, step, off
+
+
+def estimates(codes: np.ndarray, factors: np.ndarray, turned: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Estimated inner products of queries (rows) and codes (columns), and what rounding may change them by."""
+    dim = turned.shape[1]
+    plane, low, step, off = planes(turned)
+    total = np.zeros((len(turned), len(codes)), np.int32)
+    for j in range(plane.shape[1]):
+        for w in range(codes.shape[1]):
+            total += np.bitwise_count(plane[:, j, w, None] & codes[None, :, w]).astype(np.int32) << j
+    ones = np.bitwise_count(codes).sum(1, dtype=np.int64)
+    signed = 2 * (low[:, None] * ones + step[:, None] * total) - turned.sum(1)[:, None]
+    scale = np.sqrt(dim) * factors
+    return signed / scale, off[:, None] / scale
+
+
+def blocks(table: DataFrame, size: int, id_col: str, vec_col: str, floor_col: str | None = None) -> DataFrame:
+    """Blocks of at most ``size`` vectors of one dimension: ids, vectors, codes, correction factors, floors."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, sizes, flat = sound(batch.column(1))
             first = np.cumsum(sizes) - sizes
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            ids, floors = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 2))
             for dim in np.unique(sizes[rows]):
                 own = rows[sizes[rows] == dim]
                 for k in range(0, len(own), size):
                     part = own[k : k + size]
-                    vectors = flat[first[part][:, None] + np.arange(dim)]
-                    unit = vectors / np.sqrt((vectors**2).sum(1))[:, None]
-                    codes, factors = encode(unit, rotation(int(dim)))
-                    data = [ids[part].astype(np.int64), vectors, codes, factors]
+                    vectors = level(flat[first[part][:, None] + np.arange(dim)])
+                    codes, factors = encode(vectors / lengths(vectors)[:, None], rotation(int(dim)))
+                    data = [ids[part].astype(np.int64), vectors, codes, factors, floors[part].astype(np.float64)]
                     yield pa.RecordBatch.from_arrays([pa.array([dim], pa.int32()), *(pa.array([x.tobytes()], pa.binary()) for x in data)], [f.split()[0] for f in _BLOCK.split(", ")])
 
-    known = table.select(table[id_col].cast("long").alias("id"), table[vec_col].cast("array<double>").alias("v"))
+    floor = table[floor_col] if floor_col else F.lit(-2.0)
+    known = table.select(table[id_col].cast("long").alias("id"), table[vec_col].cast("array<double>").alias("v"), floor.cast("double").alias("floor"))
     return known.where("id is not null and v is not null").mapInArrow(run, _BLOCK)
 
 
-def rerank(ids, vectors, codes, factors, query_ids, queries, k: int, width: float):
-    """For each query its ``k`` best rows of the block: query ids, row ids and cosines."""
-    dim = vectors.shape[1]
-    k_here = min(k + 1, len(ids))
-    wanted = queries / np.sqrt((queries**2).sum(1))[:, None]
-    turned = (wanted @ rotation(dim).T).astype(np.float32)
-    signs = np.unpackbits(codes, axis=1, count=dim).astype(np.float32) * 2 - 1
-    guess = (turned @ signs.T) / (np.sqrt(dim) * factors).astype(np.float32)
-    error = width * np.sqrt(np.maximum(0, 1 - factors**2) / max(1, dim - 1)) / factors
-    norms = np.sqrt((vectors**2).sum(1))
-    query_norms = np.sqrt((queries**2).sum(1))
-    repeated = len(np.unique(ids)) < len(ids)  # then the best rows may be one id
+def best_of(ids, vectors, codes, factors, query_ids, queries, floors, k: int, width: float, first: bool):
+    """For each query its ``k`` best rows of the block among those reranked: query ids, row ids, cosines; and how many were reranked.
+
+    In the ``first`` pass the best estimates are reranked, then all whose bound reaches the floor.
+    """
+    norms, query_norms = lengths(vectors), lengths(queries)
+    turned = (queries / query_norms[:, None]) @ rotation(vectors.shape[1]).T
+    guess, rounding = estimates(codes, factors, turned)
+    if first:
+        many = min(k + 1, len(ids))
+        chosen = np.zeros(guess.shape, bool)
+        np.put_along_axis(chosen, np.argpartition(-guess, many - 1, axis=1)[:, :many], True, axis=1)
+    else:
+        error = width * np.sqrt(np.maximum(0, 1 - factors**2) / max(1, vectors.shape[1] - 1)) / factors
+        chosen = guess + rounding + error >= floors[:, None] - 1e-9
     out = []
-    for q in range(len(queries)):
-        best = np.argpartition(-guess[q], k_here - 1)[:k_here]
-        floor = -2.0 if repeated else (vectors[best] @ queries[q] / norms[best]).min() / query_norms[q]
-        open_rows = np.flatnonzero(guess[q] + error >= floor - 1e-9)
-        open_rows = np.union1d(open_rows, best)
-        score = vectors[open_rows] @ queries[q] / (norms[open_rows] * query_norms[q])
-        other = ids[open_rows] != query_ids[q]
-        open_rows, score = open_rows[other], score[other]
-        order = np.lexsort((ids[open_rows], -score))
-        found = ids[open_rows][order]
+    for q in np.flatnonzero(chosen.any(1)):
+        rows = np.flatnonzero(chosen[q])
+        rows = rows[ids[rows] != query_ids[q]]
+        score = vectors[rows] @ queries[q] / (norms[rows] * query_norms[q])
+        order = np.lexsort((ids[rows], -score))
+        found = ids[rows][order]
         _, once = np.unique(found, return_index=True)  # a repeated id counts once
         order = order[np.sort(once)][:k]
-        out.append((np.full(len(order), query_ids[q]), ids[open_rows][order], score[order]))
-    return tuple(np.concatenate(c) for c in zip(*out))
+        out.append((np.full(len(order), query_ids[q]), ids[rows][order], score[order]))
+    none = (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))
+    return tuple(np.concatenate(c) for c in zip(none, *out)), int(chosen.sum())
+
+
+def _numbers(many: int) -> Column:
+    return F.sequence(F.lit(0).cast("long"), F.lit(many - 1).cast("long"))
 
 
 def search(
@@ -124,31 +179,48 @@ def search(
     an id; only vectors of one dimension are compared.  A repeated id counts once,
     by its best score.  No queries or no candidates: no rows.
     """
-    rows = blocks(table, BLOCK, id_col, vec_col).withColumn("part", F.pmod(F.xxhash64("ids"), F.lit(PARTS)))
-    asked = blocks(table.where(queries), QUERY_BLOCK, id_col, vec_col).select(
-        "dim", F.col("ids").alias("query_ids"), F.col("vectors").alias("queries"), F.explode(F.expr(f"sequence(0L, {PARTS - 1}L)")).alias("part")
-    )
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in range(batch.num_rows):
-                dim, ids, vectors, codes, factors, query_ids, wanted = (c[row].as_py() for c in batch.columns)
-                found = rerank(
-                    np.frombuffer(ids, np.int64),
-                    np.frombuffer(vectors, np.float64).reshape(-1, dim),
-                    np.frombuffer(codes, np.uint8).reshape(-1, (dim + 7) // 8),
-                    np.frombuffer(factors, np.float64),
-                    np.frombuffer(query_ids, np.int64),
-                    np.frombuffer(wanted, np.float64).reshape(-1, dim),
-                    k,
-                    width,
-                )
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], ["query_id", "vec_id", "score"])
-
-    met = rows.join(asked, ["dim", "part"]).select("dim", "ids", "vectors", "codes", "factors", "query_ids", "queries")
-    found = met.mapInArrow(run, "query_id long, vec_id long, score double")
-    # The best k of each id's best scores; Spark keeps k rows a query and task before it shuffles.
-    once = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = once.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    spark = table.sparkSession
+    with scratch(spark):
+        asked = table.where(queries).select(table[id_col].cast("long").alias("id"), table[vec_col].alias("v"))
+        index = stage(blocks(table, BLOCK, id_col, vec_col), "index")
+        many = index.count()
+        parts = max(-(-many // CELL), min(many, PARTS), 1)
+        rows = index.select("*", F.pmod(F.xxhash64("ids"), F.lit(parts).cast("long")).alias("part"))
+
+        def grid(own: DataFrame, floor_col: str | None, first: bool) -> DataFrame:
+            """For each query and row of its best ones in each block, the score."""
+            cut = stage(blocks(own, QUERY_BLOCK, "id", "v", floor_col), "queries")
+            spread = max(1, -(-cut.count() // QUERY_CELL))
+            column = F.pmod(F.xxhash64("ids"), F.lit(spread).cast("long"))
+            left = rows.drop("floors").withColumn("cell", F.explode(_numbers(spread)))
+            right = cut.select(
+                "dim", F.col("ids").alias("query_ids"), F.col("vectors").alias("queries"), "floors", column.alias("cell"), F.explode(_numbers(parts)).alias("part")
+            )
+            met = left.join(right, ["dim", "part", "cell"])
+            names = ["dim", "ids", "vectors", "codes", "factors", "query_ids", "queries", "floors"]
+
+            def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                for batch in batches:
+                    for row in range(batch.num_rows):
+                        dim, *data = (c[row].as_py() for c in batch.columns)
+                        kinds = (np.int64, np.float64, "<u8", np.float64, np.int64, np.float64, np.float64)
+                        shapes = (-1, (-1, dim), (-1, -(-dim // 64)), -1, -1, (-1, dim), -1)
+                        values = (np.frombuffer(d, kind).reshape(shape) for d, kind, shape in zip(data, kinds, shapes))
+                        found, _ = best_of(*values, k, width, first)
+                        yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], ["query_id", "vec_id", "score"])
+
+            found = met.select(*names).mapInArrow(run, "query_id long, vec_id long, score double")
+            return found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+
+        def ranked(found: DataFrame) -> DataFrame:
+            """The best k of each id's best scores; Spark keeps k rows a query and task before it shuffles."""
+            order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+            return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+        nearest = stage(ranked(grid(asked, None, True)), "first-pass")
+        known = nearest.where(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").alias("floor"))
+        again = asked.join(known, "id", "left").withColumn("floor", F.coalesce("floor", F.lit(-2.0)))
+        best = grid(again, "floor", False).unionByName(nearest.drop("rank"))
+        once = best.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+        result = stage(ranked(once), "nearest", result=True)
+    return result.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
