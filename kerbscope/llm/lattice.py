@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 
 from kerbscope.llm.arrays import mix
 from kerbscope.llm.common import components
-from kerbscope.llm.onebit import sound
-from kerbscope.staging import stage
+from kerbscope.llm.onebit import level, sound
+from kerbscope.staging import scratch, stage
 
 TABLES = 12
 BLOCKS = 2
@@ -164,18 +164,56 @@ class _Cells:
         return np.array([self.known[node] for node in ids.tolist()])
 
 
-def _roots(linked: np.ndarray, homes: np.ndarray) -> np.ndarray:
-    """For each vector the first one it is joined with; ``linked`` is vector x home vector."""
-    n = len(linked)
+#: Below this share of linked pairs they are listed one by one.
+SPARSE = 0.05
+
+
+def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """For each of ``n`` vectors the first one it is joined with by the links ``a``, ``b``."""
     root = np.arange(n)
     while True:
-        new = np.minimum(root, np.where(linked, root[homes][None, :], n).min(1, initial=n))
-        new[homes] = np.minimum(new[homes], np.where(linked, new[:, None], n).min(0, initial=n))
+        new = root.copy()
+        least = np.minimum(root[a], root[b])
+        np.minimum.at(new, a, least)
+        np.minimum.at(new, b, least)
+        new = new[new]
         if (new == root).all():
             return root
         root = new
 
 
+def _left_to(cell: int, linked: np.ndarray, among: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of the links (vector x home vector, which stands at ``among``) those that first meet in ``cell``.
+
+    A pair meets where one holds the other's own cell; ``own`` has the cells by
+    vector, table and probe.  Near copies meet in the first tables, so that few
+    pairs are left to look through in the later ones.
+    """
+    last = (cell >> 56) + 1
+    table = 0
+    while table < last and np.count_nonzero(linked) > SPARSE * linked.size:
+        held = own[:, table]
+        cells_at_home, lives = np.unique(held[:, 0], return_inverse=True)
+        at = np.searchsorted(cells_at_home, held)
+        at[at == len(cells_at_home)] = 0
+        row, probe = np.nonzero((cells_at_home[at] == held) & (held < cell))
+        holds = np.zeros((len(own), len(cells_at_home)), bool)
+        holds[row, at[row, probe]] = True
+        linked &= ~holds[:, lives[among]]
+        linked &= ~holds[among][:, lives].T
+        table += 1
+    a, b = np.nonzero(linked)
+    b = among[b]
+    for table in range(table, last):
+        held = own[:, table]
+        kept = np.empty(len(a), bool)
+        for k in range(0, len(a), 50_000):
+            x, y = held[a[k : k + 50_000]], held[b[k : k + 50_000]]
+            kept[k : k + 50_000] = ~(((x == y[:, :1]) & (x < cell)).any(1) | ((y == x[:, :1]) & (y < cell)).any(1))
+        a, b = a[kept], b[kept]
+    return a, b
+
+
 def work_cell(cell: int, part: np.ndarray, across: bool, home: np.ndarray, ids: np.ndarray, weight: np.ndarray, unit: np.ndarray, threshold: float, known: _Cells):
     """Links of one piece of a cell: ids, how many links each has that first meet here, and what it is joined with.
 
@@ -192,27 +230,17 @@ def work_cell(cell: int, part: np.ndarray, across: bool, home: np.ndarray, ids:
     if not some.any():
         return None
     some = np.flatnonzero(some)
-    among = np.flatnonzero(home[some])
     linked = linked[np.ix_(some, np.flatnonzero(np.isin(homes, some)))]
-    # Pairs that meet in an earlier cell count there: one holds the other's own cell.
-    tables, probes = known.shape[0], known.shape[2]
-    own = known.of(ids[some], unit[some]).reshape(len(some), tables, probes)
-    for table in range((cell >> 56) + 1):
-        held = own[:, table]
-        cells_at_home, lives = np.unique(held[:, 0], return_inverse=True)
-        at = np.searchsorted(cells_at_home, held)
-        at[at == len(cells_at_home)] = 0
-        row, probe = np.nonzero((cells_at_home[at] == held) & (held < cell))
-        holds = np.zeros((len(some), len(cells_at_home)), bool)
-        holds[row, at[row, probe]] = True
-        holds = holds[:, lives]
-        linked &= ~(holds[:, among] | holds[among].T)
-    count = linked @ weight[some][among]
-    away = np.flatnonzero(~home[some])
-    count[among] += linked[away].T @ weight[some][away]
-    new = linked.any(1)
-    new[among] |= linked.any(0)
-    return ids[some][new], count[new], ids[some][_roots(linked, among)][new]
+    own = known.of(ids[some], unit[some]).reshape(len(some), known.shape[0], known.shape[2])
+    a, b = _left_to(cell, linked, np.flatnonzero(home[some]), own)
+    if not len(a):
+        return None
+    n, weight, away = len(some), weight[some], ~home[some][a]
+    # Two vectors at home are linked both ways, one that is not at home and one that is are so once.
+    count = np.bincount(a, weight[b], n) + np.bincount(b[away], weight[a[away]], n)
+    new = np.zeros(n, bool)
+    new[a] = new[b] = True
+    return ids[some][new], count[new].astype(np.int64), ids[some][_roots(n, a, b)][new]
 
 
 def work_cells(rows: dict[str, np.ndarray], vectors: np.ndarray, threshold: float, known: _Cells) -> list[tuple]:
@@ -270,84 +298,86 @@ def near_duplicates(
     wide = table.schema[vec_col].dataType.elementType.typeName() != "float"
     rows = table.select(table[id_col].cast("long").alias("id"), table[vec_col].alias("v"))
     content = F.struct(F.xxhash64("v", F.size("v")).alias("x"), F.xxhash64(F.size("v"), F.lit(5), "v").alias("y"))
-    named = stage(rows.groupBy("id").agg(F.min(content).alias("k")), "vectors")
-    classes = stage(named.where("id is not null").groupBy("k").agg(F.min("id").alias("node"), F.count(F.lit(1)).alias("weight")), "classes")
-    only = rows.withColumn("k", content).join(classes.select("k", F.col("node").alias("id"), "weight"), ["id", "k"])
-
-    def enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            good, sizes, flat = sound(batch.column(1))
-            start = np.cumsum(sizes) - sizes
-            ids, weight = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 2))
-            for dim in np.unique(sizes[good]):
-                for own in np.array_split(good[sizes[good] == dim], 1 + len(good) // 1024):
-                    if not len(own):
-                        continue
-                    vectors = flat[start[own][:, None] + np.arange(dim)]
-                    found = cells(vectors / np.sqrt((vectors**2).sum(1))[:, None], *shape)
-                    data = [v.tobytes() for v in (vectors if wide else vectors.astype(np.float32))]
-                    lists = pa.ListArray.from_arrays(pa.array(np.arange(len(own) + 1, dtype=np.int32) * found.shape[1]), pa.array(found.ravel()))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(ids[own]), pa.array(weight[own]), pa.array(data, pa.binary()), lists], ["node", "weight", "vector", "cells"]
-                    )
-
-    once = only.select("id", F.col("v").cast("array<double>").alias("v"), "weight").dropDuplicates(["id"])
-    entered = stage(once.mapInArrow(enter, "node long, weight long, vector binary, cells array<long>"), "entered")
-    placed = entered.select("node", F.octet_length("vector").alias("size"), F.posexplode("cells").alias("at", "cell"))
-    entries = placed.select("node", "size", "cell", (F.col("at") % probes == 0).alias("home"))
-    shared = entries.groupBy("cell", "size").agg(F.count(F.lit(1)).alias("n"), F.max("home").alias("home")).where("n > 1 and home")
-    # A large cell is dealt to parts, and each pair of parts is a piece of its own.
-    parts = stage(shared.select("cell", "size", F.ceil(F.col("n") / PIECE).cast("int").alias("parts")), "cells")
-    part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
-    pieces = entries.join(parts, ["cell", "size"]).withColumn("part", part).select(
-        "node", "cell", "size", "home", "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
-    )
-    pieces = pieces.select("node", "cell", "size", "home", "part", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"))
-    carried = pieces.join(entered.select("node", "weight", "vector"), "node")
-    key = ["cell", "low", "high"]
-    keyed = carried.repartition(*key, "size").sortWithinPartitions("size", *key, "node")
-    columns = [*key, "size", "home", "part", "node", "weight", "vector"]
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Cells(shape)
-
-        def results(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-            sizes = rows.column("size").to_numpy()
-            for size in np.unique(sizes):
-                own = rows.filter(pa.array(sizes == size))
-                fields = {k: own.column(k).to_numpy(zero_copy_only=False) for k in columns[:-1]}
-                vectors = np.frombuffer(b"".join(own.column("vector").to_pylist()), np.float64 if wide else np.float32)
-                found = work_cells(fields, vectors.reshape(own.num_rows, -1).astype(np.float64), threshold, known)
-                if found:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(np.int64)) for x in zip(*found)], ["node", "links", "root"])
-
-        held, rows = [], 0
-        for batch in batches:
-            held.append(batch)
-            rows += batch.num_rows
-            if rows > 20_000:
-                whole = pa.Table.from_batches(held)
-                fields = np.stack([whole.column(k).to_numpy() for k in (*key, "size")])
-                change = np.flatnonzero((fields[:, 1:] != fields[:, :-1]).any(0))
-                last = int(change[-1]) + 1 if len(change) else 0
-                if last:
-                    yield from results(whole.slice(0, last))
-                held = whole.slice(last).to_batches()
-                rows = whole.num_rows - last
-        if held:
-            yield from results(pa.Table.from_batches(held))
-
-    keyed = keyed.select(*columns)
-    links = stage(keyed.mapInArrow(work, "node long, links long, root long"), "links")
-    reach = components(links.select(F.col("node").alias("a"), F.col("root").alias("b")))
-    count = links.groupBy("node").agg(F.sum("links").alias("links"))
-    sound_nodes = entered.select("node", F.lit(1).alias("sound"))
-    summed = (
-        classes.join(sound_nodes, "node", "left")
-        .join(count, "node", "left")
-        .join(reach, "node", "left")
-        .select("k", "node", "weight", "sound", "links", "component")
-    )
+    with scratch(table.sparkSession):
+        named = stage(rows.groupBy("id").agg(F.min(content).alias("k")), "vectors", result=True)
+        classes = stage(named.where("id is not null").groupBy("k").agg(F.min("id").alias("node"), F.count(F.lit(1)).alias("weight")), "classes")
+        only = rows.withColumn("k", content).join(classes.select("k", F.col("node").alias("id"), "weight"), ["id", "k"])
+
+        def enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                good, sizes, flat = sound(batch.column(1))
+                start = np.cumsum(sizes) - sizes
+                ids, weight = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 2))
+                for dim in np.unique(sizes[good]):
+                    for own in np.array_split(good[sizes[good] == dim], 1 + len(good) // 1024):
+                        if not len(own):
+                            continue
+                        vectors = level(flat[start[own][:, None] + np.arange(dim)])
+                        found = cells(vectors / np.sqrt((vectors**2).sum(1))[:, None], *shape)
+                        data = [v.tobytes() for v in (vectors if wide else vectors.astype(np.float32))]
+                        lists = pa.ListArray.from_arrays(pa.array(np.arange(len(own) + 1, dtype=np.int32) * found.shape[1]), pa.array(found.ravel()))
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(ids[own]), pa.array(weight[own]), pa.array(data, pa.binary()), lists], ["node", "weight", "vector", "cells"]
+                        )
+
+        once = only.select("id", F.col("v").cast("array<double>").alias("v"), "weight").dropDuplicates(["id"])
+        entered = stage(once.mapInArrow(enter, "node long, weight long, vector binary, cells array<long>"), "entered")
+        placed = entered.select("node", F.octet_length("vector").alias("size"), F.posexplode("cells").alias("at", "cell"))
+        entries = placed.select("node", "size", "cell", (F.col("at") % probes == 0).alias("home"))
+        shared = entries.groupBy("cell", "size").agg(F.count(F.lit(1)).alias("n"), F.max("home").alias("home")).where("n > 1 and home")
+        # A large cell is dealt to parts, and each pair of parts is a piece of its own.
+        parts = stage(shared.select("cell", "size", F.ceil(F.col("n") / PIECE).cast("int").alias("parts")), "cells")
+        part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
+        pieces = entries.join(parts, ["cell", "size"]).withColumn("part", part).select(
+            "node", "cell", "size", "home", "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
+        )
+        pieces = pieces.select("node", "cell", "size", "home", "part", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"))
+        carried = pieces.join(entered.select("node", "weight", "vector"), "node")
+        key = ["cell", "low", "high"]
+        keyed = carried.repartition(*key, "size").sortWithinPartitions("size", *key, "node")
+        columns = [*key, "size", "home", "part", "node", "weight", "vector"]
+
+        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            known = _Cells(shape)
+
+            def results(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+                sizes = rows.column("size").to_numpy()
+                for size in np.unique(sizes):
+                    own = rows.filter(pa.array(sizes == size))
+                    fields = {k: own.column(k).to_numpy(zero_copy_only=False) for k in columns[:-1]}
+                    vectors = np.frombuffer(b"".join(own.column("vector").to_pylist()), np.float64 if wide else np.float32)
+                    found = work_cells(fields, vectors.reshape(own.num_rows, -1).astype(np.float64), threshold, known)
+                    if found:
+                        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(np.int64)) for x in zip(*found)], ["node", "links", "root"])
+
+            held, rows = [], 0
+            for batch in batches:
+                held.append(batch)
+                rows += batch.num_rows
+                if rows > 20_000:
+                    whole = pa.Table.from_batches(held)
+                    fields = np.stack([whole.column(k).to_numpy() for k in (*key, "size")])
+                    change = np.flatnonzero((fields[:, 1:] != fields[:, :-1]).any(0))
+                    last = int(change[-1]) + 1 if len(change) else 0
+                    if last:
+                        yield from results(whole.slice(0, last))
+                    held = whole.slice(last).to_batches()
+                    rows = whole.num_rows - last
+            if held:
+                yield from results(pa.Table.from_batches(held))
+
+        keyed = keyed.select(*columns)
+        links = stage(keyed.mapInArrow(work, "node long, links long, root long"), "links")
+        reach = components(links.select(F.col("node").alias("a"), F.col("root").alias("b")))
+        count = links.groupBy("node").agg(F.sum("links").alias("links"))
+        sound_nodes = entered.select("node", F.lit(1).alias("sound"))
+        summed = (
+            classes.join(sound_nodes, "node", "left")
+            .join(count, "node", "left")
+            .join(reach, "node", "left")
+            .select("k", "node", "weight", "sound", "links", "component")
+        )
+        summed = stage(summed, "summary", result=True)
     linked = F.col("sound").isNotNull()
     component = F.when(linked, F.coalesce("component", "node")).otherwise(F.col("id"))
     return (

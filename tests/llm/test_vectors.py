@@ -121,10 +121,51 @@ def test_one_bit_bound_holds():
     unit = rng.standard_normal((400, 64))
     unit /= np.linalg.norm(unit, axis=1)[:, None]
     codes, factors = onebit.encode(unit, onebit.rotation(64))
-    signs = np.unpackbits(codes, axis=1) * 2.0 - 1
-    guess = (unit @ onebit.rotation(64).T) @ signs.T / (8 * factors)
+    assert codes.shape == (400, 1)
+    signs = np.unpackbits(codes.view(np.uint8), axis=1, bitorder="little") * 2.0 - 1
+    exact_guess = (unit @ onebit.rotation(64).T) @ signs.T / (8 * factors)
+    guess, rounding = onebit.estimates(codes, factors, unit @ onebit.rotation(64).T)
+    assert (np.abs(guess - exact_guess) <= rounding + 1e-9).all() and rounding.max() < 0.2
     error = onebit.WIDTH * np.sqrt((1 - factors**2) / 63) / factors
-    assert (np.abs(guess - unit @ unit.T) <= error + 1e-9).mean() > 0.99
+    assert (np.abs(guess - unit @ unit.T) <= error + rounding + 1e-9).mean() > 0.99
+
+
+def test_estimates_of_odd_dimensions():
+    rng = np.random.default_rng(6)
+    for dim in (1, 2, 63, 65, 200):
+        unit = rng.standard_normal((50, dim))
+        unit /= np.linalg.norm(unit, axis=1)[:, None]
+        turn = onebit.rotation(dim)
+        codes, factors = onebit.encode(unit, turn)
+        guess, rounding = onebit.estimates(codes, factors, unit @ turn.T)
+        signs = np.where(unit @ turn.T > 0, 1.0, -1.0)
+        assert (np.abs(guess - (unit @ turn.T) @ signs.T / (np.sqrt(dim) * factors)) <= rounding + 1e-9).all()
+
+
+def test_few_rows_are_reranked_once_the_floor_is_known():
+    rng = np.random.default_rng(9)
+    centres = rng.standard_normal((200, 64))
+    rows = np.concatenate([[near(rng, c, 0.95) for _ in range(10)] for c in centres])
+    codes, factors = onebit.encode(rows / onebit.lengths(rows)[:, None], onebit.rotation(64))
+    asked, ids = rows[::50], np.arange(len(rows))
+    cos = (rows @ asked.T / onebit.lengths(rows)[:, None] / onebit.lengths(asked)).T
+    floors = np.sort(cos, axis=1)[:, -6]
+    found, reranked = onebit.best_of(ids, rows, codes, factors, ids[::50], asked, floors, 5, onebit.WIDTH, False)
+    assert reranked < 0.1 * cos.size
+    want = {(50 * q, j) for q in range(len(asked)) for j in [b for b in np.argsort(-cos[q]) if b != 50 * q][:5]}
+    assert len(want & set(zip(found[0].tolist(), found[1].tolist()))) >= 0.99 * len(want)
+
+
+def test_very_large_and_very_small_vectors_take_part(spark):
+    rng = np.random.default_rng(10)
+    base = rng.standard_normal(DIM)
+    rows = [(i, [float(x) * scale for x in near(rng, base, 0.97)]) for i, scale in enumerate([1.0, 1e200, 1e-200, 1e300, 5e-300, 1e-30])]
+    links = {r.vec_id: (r.n_links, r.component_id) for r in lattice.near_duplicates(table(spark, rows)).collect()}
+    assert links == dict.fromkeys(range(6), (5, 0))
+    found = onebit.search(table(spark, rows), F.col("vec_id") == 0).collect()
+    plain = [np.array(v) / np.abs(v).max() for _, v in rows]
+    cos = {i: v @ plain[0] / np.linalg.norm(v) / np.linalg.norm(plain[0]) for i, v in enumerate(plain) if i}
+    assert [r.vec_id for r in found] == sorted(cos, key=lambda i: -cos[i]) and all(abs(r.score - cos[r.vec_id]) < 1e-12 for r in found)
 
 
 def test_search_like_every_pair(spark, vectors):
