@@ -34,16 +34,16 @@ from pyspark.sql import functions as F
 
 from kerbscope.llm.arrays import pack, release, split_words, text_slices, unpack
 from kerbscope.llm.perfect import PerfectHash, key_hashes, shard_of
-from kerbscope.staging import stage
+from kerbscope.staging import scratch, stage
 
 MIN_DOCS = 3
 TOP = 200
 SCALE = 1_000_000_000
 
-SLICE_BYTES = 8_000_000
+SLICE_BYTES = 4_000_000
 SHARD_TERMS = 16_384
 BROADCAST_BYTES = 64_000_000
-SLOT_BYTES = 64_000_000
+SLOT_BYTES = 32_000_000
 #: Sources in a block, and partial counts in a merge.
 BLOCK = 128
 MERGE = 64
@@ -335,8 +335,9 @@ def audit(
     distance 0 everywhere.  Other columns are not read.
     """
     named = _named(docs, text_col, lang_col, source_col)
-    shards = stage(build_shards(stage(vocabulary(named, min_docs), "vocabulary"), shard_terms), "shards")
-    counted = stage(recount(named.select("lang", "source", "text"), shards, broadcast_bytes), "counts")
+    with scratch(docs.sparkSession):
+        shards = stage(build_shards(stage(vocabulary(named, min_docs), "vocabulary"), shard_terms), "shards", result=True)
+        counted = stage(recount(named.select("lang", "source", "text"), shards, broadcast_bytes), "counts", result=True)
     places = stage(shards.select("lang", "shard", "size"), "shard-sizes")
     terms = places.groupBy("lang").agg(F.sum("size").alias("terms"))
     totals = counted.where("source is not null").groupBy("lang", "source").agg(F.sum("total").alias("total"))
