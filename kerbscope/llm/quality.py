@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kerbscope.llm.arrays import mix, release, text_slices
-from kerbscope.staging import stage
+from kerbscope.staging import scratch, stage
 
 RISK = 0.05
 ALPHA = 0.05
@@ -282,4 +282,6 @@ def filter_documents(
     kept row for row; no labels: only the base rule decides.  Other columns are not read.
     """
     rated = stage(counts(docs, id_col, text_col, stratum_col), "counts")
-    return judge(rated, cutoffs(rated, labels, risk, alpha, id_col, label_col)).withColumnRenamed("id", id_col)
+    with scratch(docs.sparkSession):
+        chosen = stage(cutoffs(rated, labels, risk, alpha, id_col, label_col), "chosen", result=True)
+    return judge(rated, chosen).withColumnRenamed("id", id_col)
