@@ -39,7 +39,8 @@ SCALE = 1.7
 PIECE = 512
 #: Pieces of a cell of up to so many vectors are looked through together.
 SMALL = 48
-KNOWN_VECTORS = 20_000
+#: Vectors whose cells a task keeps, 1.6 kB each.
+KNOWN_VECTORS = 60_000
 
 
 # ------------------------------------------------------------------ E8
@@ -159,8 +160,9 @@ class _Cells:
         if len(self.known) + len(new) > KNOWN_VECTORS:
             self.known.clear()
             new = list(range(len(ids)))
-        if new:
-            self.known.update(zip(ids[new].tolist(), cells(unit[new], *self.shape)))
+        for k in range(0, len(new), 2048):
+            part = new[k : k + 2048]
+            self.known.update(zip(ids[part].tolist(), cells(unit[part], *self.shape)))
         return np.array([self.known[node] for node in ids.tolist()])
 
 
@@ -258,6 +260,12 @@ def work_cells(rows: dict[str, np.ndarray], vectors: np.ndarray, threshold: floa
         a, b = left[k : k + 100_000], right[k : k + 100_000]
         close = (np.einsum("ij,ij->i", unit[a], unit[b]) >= threshold - 1e-9) & (a != b)
         open_groups[group[a[close]]] = True
+    # Their cells are worked out together: a call costs more than a vector.
+    mine = np.flatnonzero(open_groups[group])
+    _, once = np.unique(rows["node"][mine], return_index=True)
+    for k in range(0, len(once), KNOWN_VECTORS // 2):
+        part = mine[once[k : k + KNOWN_VECTORS // 2]]
+        known.of(rows["node"][part], unit[part])
     out = []
     for g in np.flatnonzero(open_groups):
         own = slice(edges[g], edges[g + 1])
