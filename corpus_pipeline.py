@@ -83,9 +83,16 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Best-fit packing (9): pieces of at most 2,048 tokens and their places in the sequences."""
+    """Best-fit packing (9): pieces of at most 2,048 tokens and their places in the sequences.
+
+    The pieces are written before they are numbered: a task in which two Python
+    functions follow each other holds two workers, which an executor keeps.
+    """
     cut = packing.pieces(docs, public_tokenizers.path("word_bpe_49k.json"), CAPACITY)
-    return packing.pack(cut.withColumn("ids_crc32", F.crc32("ids")).drop("ids"), CAPACITY)
+    cut = stage(cut.withColumn("ids_crc32", F.crc32("ids")).drop("ids"), "cut")
+    packed = packing.pack(cut, CAPACITY)
+    discard(cut)  # pack has written them with their numbers
+    return packed
 
 
 STAGES = [

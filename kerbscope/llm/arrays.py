@@ -41,9 +41,12 @@ def unpack_sorted(data: bytes) -> np.ndarray:
 
 def mix(values: np.ndarray) -> np.ndarray:
     """Scrambles 64-bit numbers (finishing steps of the public SplitMix64 generator)."""
-    x = (values ^ (values >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    x = values ^ (values >> np.uint64(30))
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
 
 
 def range_edges(names: np.ndarray, bits: int) -> np.ndarray:

@@ -57,8 +57,8 @@ def word_values(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     words, sizes = split_words(texts)
     number, names = word_numbers(words)
     rank = np.argsort(-np.bincount(number, minlength=len(names)), kind="stable")
-    place = np.empty_like(rank)
-    place[rank] = np.arange(len(rank))
+    place = np.empty(len(rank), np.uint32)
+    place[rank] = np.arange(len(rank), dtype=np.uint32)
     return names[rank], place[number], sizes
 
 
@@ -68,23 +68,29 @@ def shingles(names: np.ndarray, number: np.ndarray, sizes: np.ndarray, width: in
     A text of fewer than ``width`` words is one shingle; one without words has none.
     """
     value = names[number] if len(number) else np.empty(0, np.uint64)
-    row = np.repeat(np.arange(len(sizes)), sizes)
+    row = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
     begins = np.cumsum(sizes) - sizes
+    # What is no longer needed goes at once: these arrays are as long as the block has words.
     codes, rows = [], []
     code = np.zeros(len(value), np.uint64)
     for size in range(1, width + 1):
         n = len(value) - size + 1
         if n <= 0:
             break
-        code = mix(code[:n] * np.uint64(31) + value[size - 1 :])
+        code = code[:n] * np.uint64(31)
+        code += value[size - 1 :]
+        code = mix(code)
         at = np.flatnonzero(row[:n] == row[size - 1 :]) if size == width else begins[sizes == size]
         codes.append(mix(code[at] + np.uint64(size)))
         rows.append(row[at])
     if not codes:
-        return np.empty(0, np.uint64), np.empty(0, np.int64)
+        return np.empty(0, np.uint64), np.empty(0, np.int32)
+    del value, row, code, at
     code, row = np.concatenate(codes), np.concatenate(rows)
+    del codes, rows
     order = np.argsort(code, kind="stable")
     code, row = code[order], row[order]
+    del order
     # The sort is stable, so within a hash the texts are in order and repeats stand together.
     new = np.ones(len(code), bool)
     new[1:] = (code[1:] != code[:-1]) | (row[1:] != row[:-1])
@@ -115,7 +121,7 @@ class Block:
 
     @staticmethod
     def read(ids: pa.Array, names: bytes, number: bytes, sizes: bytes) -> Block:
-        return Block(ids, unpack(names, np.uint64), unpack(number, np.uint32).astype(np.int64), unpack(sizes, np.int64))
+        return Block(ids, unpack(names, np.uint64), unpack(number, np.uint32), unpack(sizes, np.int64))
 
     def shingles(self, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Shingles of the texts with an id, the texts, and where each shingle begins."""
@@ -128,20 +134,22 @@ class Block:
 def text_blocks(texts: DataFrame, width: int) -> DataFrame:
     """Written table of blocks of texts, with the size of each text's set and two names of it."""
 
+    def block(number_of: int, own: pa.RecordBatch) -> pa.RecordBatch:
+        names, number, sizes = word_values(own.column(1))
+        told = set_names(*shingles(names, number, sizes, width), len(own))
+        data = [pack(names), pack(number), pack(sizes.astype(np.int64))]
+        edges = pa.array([0, len(own)], pa.int32())
+        lists = [pa.ListArray.from_arrays(edges, pa.concat_arrays([pa.array(x)] if isinstance(x, np.ndarray) else [x])) for x in (own.column(0), *told)]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([number_of], pa.int64()), lists[0], *(pa.array([x], pa.binary()) for x in data), *lists[1:]],
+            ["block", "id", "names", "number", "sizes", "n", "x", "y"],
+        )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, made = TaskContext.get().partitionId(), 0
         for batch in batches:
             for rows in text_slices(batch.column(1), CHUNK_BYTES):
-                own = batch.slice(rows.start, rows.stop - rows.start)
-                names, number, sizes = word_values(own.column(1))
-                told = set_names(*shingles(names, number, sizes, width), len(own))
-                data = [pack(names), pack(number.astype(np.uint32)), pack(sizes.astype(np.int64))]
-                edges = pa.array([0, len(own)], pa.int32())
-                lists = [pa.ListArray.from_arrays(edges, pa.concat_arrays([pa.array(x)] if isinstance(x, np.ndarray) else [x])) for x in (own.column(0), *told)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([part << 32 | made], pa.int64()), lists[0], *(pa.array([x], pa.binary()) for x in data), *lists[1:]],
-                    ["block", "id", "names", "number", "sizes", "n", "x", "y"],
-                )
+                yield block(part << 32 | made, batch.slice(rows.start, rows.stop - rows.start))
                 made += 1
                 release()
 

@@ -42,7 +42,7 @@ RATE = 4.0
 #: Words kept per worker with their ids, and the longest of them in bytes.
 CACHED_WORDS = 450_000
 CACHED_LENGTH = 64
-SLICE_BYTES = 6_000_000
+SLICE_BYTES = 2_000_000
 
 
 # ------------------------------------------------------------------ tokens
@@ -223,24 +223,26 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int, end_id: int = 0,
     alone.  Null and repeated ids are kept, row for row; other columns are not read.
     """
 
+    def cut(rows: pa.RecordBatch) -> pa.RecordBatch:
+        texts = rows.column(1).cast(pa.binary()).fill_null(b"").to_pylist()
+        ids, sizes = text_ids(texts, tokenizer_path, end_id)
+        many = -(-sizes // capacity)
+        row = np.repeat(np.arange(len(sizes)), many)
+        piece = np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
+        start = piece * capacity
+        length = np.minimum(sizes[row] - start, capacity)
+        edges = np.r_[0, np.cumsum(length * 4)].astype(np.int32)
+        data = pa.BinaryArray.from_buffers(pa.binary(), len(row), [None, pa.py_buffer(edges.tobytes()), pa.py_buffer(ids.tobytes())])
+        return pa.RecordBatch.from_arrays(
+            [rows.column(0).take(pa.array(row)), pa.array(piece.astype(np.int32)), pa.array(start), pa.array(length), data],
+            ["id", "piece", "start", "length", "ids"],
+        )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in text_slices(batch.column(1), SLICE_BYTES):
-                rows = batch.slice(part.start, part.stop - part.start)
-                texts = rows.column(1).cast(pa.binary()).fill_null(b"").to_pylist()
-                ids, sizes = text_ids(texts, tokenizer_path, end_id)
-                many = -(-sizes // capacity)
-                row = np.repeat(np.arange(len(sizes)), many)
-                piece = np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
-                start = piece * capacity
-                length = np.minimum(sizes[row] - start, capacity)
-                edges = np.r_[0, np.cumsum(length * 4)].astype(np.int32)
-                data = pa.BinaryArray.from_buffers(pa.binary(), len(row), [None, pa.py_buffer(edges.tobytes()), pa.py_buffer(ids.tobytes())])
-                yield pa.RecordBatch.from_arrays(
-                    [rows.column(0).take(pa.array(row)), pa.array(piece.astype(np.int32)), pa.array(start), pa.array(length), data],
-                    ["id", "piece", "start", "length", "ids"],
-                )
-            release()
+                yield cut(batch.slice(part.start, part.stop - part.start))
+                release()
 
     source = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
     kind = source.schema["id"].dataType.simpleString()

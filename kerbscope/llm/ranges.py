@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kerbscope.llm.arrays import pack, pack_sorted, range_edges, unpack, unpack_sorted
+from kerbscope.llm.arrays import pack, pack_sorted, range_edges, release, unpack, unpack_sorted
 from kerbscope.staging import stage
 
 
@@ -36,13 +36,16 @@ def answer(asked: DataFrame, columns: list, answers: int, solve: Callable, label
     value per entry, and the totals.
     """
 
-    def one(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+    def one(rows: list[tuple]) -> pa.RecordBatch:
+        # What is no longer needed goes at once: these arrays are as long as the range.
         names = [unpack_sorted(r[2]) for r in rows]
         sizes = np.cumsum([0, *map(len, names)])
         whole = np.concatenate(names)
+        del names
         order = np.argsort(whole, kind="stable")
-        ordered = whole[order]
-        begins = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
+        whole = whole[order]
+        begins = np.flatnonzero(np.r_[True, whole[1:] != whole[:-1]])
+        del whole
         found, totals = solve(begins, [np.concatenate([unpack(r[3 + k], kind) for r in rows])[order] for k, kind in enumerate(columns)])
         back = []
         for values in found:
@@ -50,7 +53,7 @@ def answer(asked: DataFrame, columns: list, answers: int, solve: Callable, label
             flat[order] = values
             back.append([pack(flat[a:b]) for a, b in zip(sizes[:-1], sizes[1:])])
         n = len(rows)
-        yield pa.RecordBatch.from_arrays(
+        return pa.RecordBatch.from_arrays(
             [
                 pa.array([r[1] for r in rows] + [-1], pa.int64()),
                 pa.array([rows[0][0]] * (n + 1), pa.int32()),
@@ -65,11 +68,14 @@ def answer(asked: DataFrame, columns: list, answers: int, solve: Callable, label
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns)):
                 if held and held[0][0] != row[0]:
-                    yield from one(held)
+                    yield one(held)
                     held = []
+                    release()
                 held.append(row)
         if held:
-            yield from one(held)
+            yield one(held)
+        del held
+        release()
 
     schema = ", ".join(["block long, range int", *(f"a{k} binary" for k in range(answers)), "totals array<long>"])
     dealt = asked.repartition("range").sortWithinPartitions("range", "block")

@@ -1,5 +1,7 @@
 """The pipeline's stages, each on its own input."""
 
+import os
+
 import public_tokenizers
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -114,3 +116,14 @@ def test_stages_without_any_label(spark, tmp_path):
     out = pipeline.drop_toxic(spark, docs, str(tmp_path))
     clean = out.count()
     assert out.columns == docs.columns and 0.5 * docs.count() < clean <= docs.count()
+
+
+def test_no_task_of_the_packing_holds_two_python_workers(spark, monkeypatch):
+    given = []
+    pack = pipeline.packing.pack
+    monkeypatch.setattr(pipeline.packing, "pack", lambda table, capacity: given.append(table) or pack(table, capacity))
+    docs = spark.createDataFrame([(1, "one two three"), (2, None), (None, "four"), (2, None)], "doc_id long, text string")
+    out = pipeline.pack_sequences(spark, docs, FOLDER)
+    assert "MapInArrow" not in given[0]._jdf.queryExecution().executedPlan().toString()
+    assert not os.path.exists(given[0]._staged_path)  # numbered, it is read no more
+    assert sorted((r.doc_id or 0, r.piece, r.start) for r in out.collect()) == [(0, 0, 0), (1, 0, 0), (2, 0, 0), (2, 0, 0)]

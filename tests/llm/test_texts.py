@@ -2,12 +2,14 @@
 
 import random
 import re
+import tracemalloc
 from collections import Counter
 from itertools import product
 from zlib import crc32
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -211,6 +213,20 @@ def test_near_duplicates_of_the_given_texts(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in out} == plain_components(rows)
 
 
+def test_shingles_of_a_block_take_little_memory():
+    rnd = np.random.default_rng(1)
+    texts = [" ".join(map(str, rnd.integers(0, 5000, 1000))) for _ in range(100)]
+    words = groups.word_values(pa.array([*texts, "", None, "a b"]))
+    tracemalloc.start()
+    code, row = groups.shingles(*words)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 60 * len(words[1])  # bytes a word
+    sets = [shingle_set(t) for t in [*texts, "", None, "a b"]]
+    assert np.bincount(row, minlength=103).tolist() == [len(s) for s in sets]
+    assert len(set(code.tolist())) == len(set().union(*sets))
+
+
 def test_near_duplicates_at_the_threshold_in_small_groups_and_ranges(spark, monkeypatch):
     monkeypatch.setattr(groups, "GROUP", 4)
     monkeypatch.setattr(groups, "RANGE", 500)
